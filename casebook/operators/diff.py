@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions import names
-from casebook.operators.spread import join_hot_safe
+from casebook.operators.spread import join_salted
 from casebook.sources.catalog import with_catalog
 
 
@@ -61,7 +61,7 @@ def limit_to(df: DataFrame, scope: DataFrame | None) -> DataFrame:
     if scope is None:
         return df
     spread = "relative_path" if "relative_path" in df.columns else "case_key"
-    return join_hot_safe(df, scope.select("case_key").distinct(), ["case_key"], "left_semi", spread)
+    return join_salted(df, scope.select("case_key").distinct(), ["case_key"], "left_semi", spread)
 
 
 def upsert_documents(
@@ -120,7 +120,7 @@ def upsert_documents(
         at.alias("last_seen_at"),
         F.when(unchanged, F.col("p.last_hashed_at")).otherwise(at).alias("last_hashed_at"),
     )
-    gone = join_hot_safe(
+    gone = join_salted(
         not_listed(prior, listing, "relative_path"),
         touched.select("case_key", F.lit(True).alias("_touched")),
         ["case_key"],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions.names import canonical_filename
 from casebook.functions.text import valid_rotation
-from casebook.operators.spread import join_hot_safe, prefix_fold
+from casebook.operators.spread import join_salted, prefix_fold
 from casebook.sources.catalog import with_catalog
 
 # Fixed value: an upload session token.
@@ -169,7 +169,7 @@ def judge_requests(
         F.col("pages").alias("_pages"),
     )
     known_cases = cases.filter("is_present").select("case_key", F.lit(True).alias("_case_known"))
-    joined = join_hot_safe(requests.join(m, "token", "left"), known_cases, ["case_key"], "left", "token")
+    joined = join_salted(requests.join(m, "token", "left"), known_cases, ["case_key"], "left", "token")
     judged = with_catalog(joined, catalog, "type_id")
     ids = F.transform("pages", lambda p: p["id"])
     offered = F.transform("_pages", lambda p: p["page_id"])

@@ -1,61 +1,53 @@
-"""Joins and running folds that stay balanced when one key holds a large share of the rows."""
+"""Joins, counts and running folds that stay balanced when one key holds a large share of
+the rows. The common idea: split a key into pieces, work on the pieces, combine their totals."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot if it holds more than 1/HOT_SHARE of all rows, so there are fewer than
-# HOT_SHARE hot keys whatever the data size: that is what bounds the broadcast below.
-# Keys of at most HOT_ROWS rows are never a burden for one task.
-HOT_SHARE = 1000
-HOT_ROWS = 100_000
-SALTS = 256
+MAX_SALTS = 64
 
 
-def join_hot_safe(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: list[str],
-    how: str,
-    spread: str,
-    counts: DataFrame | None = None,
-) -> DataFrame:
-    """Join many ``facts`` rows to ``dim`` (unique on ``keys``), salting only hot keys.
+def salt_count(df: DataFrame) -> int:
+    """Pieces a key is split into; more than there are shuffle partitions would not help."""
+    return min(MAX_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def salt_of(spread: str, salts: int) -> Column:
+    """Piece of a row. A hash of ``spread``, so a repeated task puts the row in the same piece."""
+    return F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
 
-    ``spread`` names a fact column that differs between rows of one key; hashing it keeps the
-    salt the same when a task is run again. ``counts`` (keys, ``n``) may be given if the
-    caller has counted the facts already; keys it leaves out are treated as not hot.
+
+def join_salted(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, spread: str) -> DataFrame:
+    """Join many ``facts`` rows to a narrow ``dim`` that is unique on ``keys``.
+
+    The rows of a key are split by ``spread`` (a fact column that differs between them) and
+    every ``dim`` row is repeated for each piece, so a key that holds a third of all rows is
+    worked on by many tasks. Adaptive skew handling can split the pieces further.
     """
-    if counts is None:
-        counts = facts.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    hot = F.broadcast(
-        counts.filter((F.col("n") > HOT_ROWS) & (F.col("n") * HOT_SHARE > total)).select(
-            *keys, F.lit(True).alias("_hot")
-        )
-    )
-    salted = (
-        facts.join(hot, keys, "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0),
-        )
-        .drop("_hot")
-    )
-    copies = (
-        dim.join(hot, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("_hot")
-    )
+    salts = salt_count(facts)
+    salted = facts.withColumn("_salt", salt_of(spread, salts))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def count_in_group(rows: DataFrame, keys: list[str], spread: str, name: str) -> DataFrame:
+    """Add the number of rows sharing ``keys``, however many there are.
+
+    Rows are counted per (key, piece) with a combine before the shuffle; the few piece counts
+    of a key are summed and joined back per piece, so no task sees a whole large group.
+    """
+    pieces = rows.withColumn("_salt", salt_of(spread, salt_count(rows)))
+    group = [*keys, "_salt"]
+    counts = (
+        pieces.groupBy(*group)
+        .agg(F.count("*").alias("_n"))
+        .select(*group, F.sum("_n").over(Window.partitionBy(*keys)).alias(name))
+    )
+    return pieces.join(counts, group).drop("_salt")
+
+
 def prefix_fold(
     rows: DataFrame,
     keys: list[str],

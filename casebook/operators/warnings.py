@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions import names
 from casebook.functions.text import fingerprint
-from casebook.operators.spread import join_hot_safe
+from casebook.operators.spread import count_in_group, join_salted
 from casebook.sources.catalog import with_catalog
 
 # Message texts; %s is the folder name, file name or code.
@@ -38,19 +38,11 @@ def duplicate_groups(documents: DataFrame, keys: list[str], digest: str) -> Data
 
 
 def with_duplicate_count(documents: DataFrame, keys: list[str], digest: str, row_id: str) -> DataFrame:
-    """Add ``copies``: how many rows of the same key share the digest (null for a null digest).
-
-    Counted by an aggregate that combines before the shuffle and joined back with salting,
-    so a group of copies of any size is spread over many tasks.
-    """
-    group = [*keys, digest]
-    repeated = duplicate_groups(documents, keys, digest)
-    joined = join_hot_safe(
-        documents, repeated.withColumnRenamed("n", "copies"), group, "left", row_id, counts=repeated
-    )
-    return joined.withColumn(
-        "copies", F.when(F.col(digest).isNotNull(), F.coalesce("copies", F.lit(1).cast("bigint")))
-    )
+    """Add ``copies``: how many rows of the same key share the digest (1 without a digest)."""
+    # Rows without a digest get a group each.
+    own = F.when(F.col(digest).isNull(), F.col(row_id).cast("string"))
+    grouped = documents.withColumn("_group", F.coalesce(digest, own))
+    return count_in_group(grouped, [*keys, "_group"], row_id, "copies").drop("_group")
 
 
 def folder_warnings(folders: DataFrame) -> DataFrame:
@@ -159,7 +151,7 @@ def merge_warnings(
     if scanned is None:
         stored = prior.withColumn("_scanned", F.lit(False))
     else:
-        stored = join_hot_safe(
+        stored = join_salted(
             prior,
             scanned.select("case_key", F.lit(True).alias("_scanned")),
             ["case_key"],

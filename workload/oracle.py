@@ -404,7 +404,7 @@ SQL: dict[str, str] = {
         count(*) filter (not canonical) as different from {parsed} where status = 'OK' group by all""",
     "canonical_name": """select relative_path, catalog_base || '.pdf' as plain,
         catalog_base || '.' || greatest(file_sequence, 1) || '.pdf' as numbered from {parsed} where status = 'OK'""",
-    "path_containment": "select k, false as inside from {files}",
+    "path_containment": "select k, k % 3 = 1 as inside from {files}",
     "path_ignored": "select k, k % 5 in (0, 1, 2) as ignored from {files}",
     "catalog_normalize": """select id as code, name_vi as name, filename_base,
         case when priority between 1 and 3 then priority else 3 end as priority, true as active,
@@ -513,7 +513,7 @@ SQL: dict[str, str] = {
         and effective_status = 'CAN_BO_SUNG' and unit_code = '07'""",
     "case_with_warning": f"select {SHOWN} from {{cases}} where is_present and {ACTIVE}",
     "case_missing_p1": f"select {SHOWN} from {{cases}} where is_present and missing_priority1_count > 0",
-    "case_filter_all": f"""select {SHOWN} from {{cases}} where {search('nguyen')} and {ACTIVE}
+    "case_filter_all": f"""select {SHOWN} from {{cases}} where {search('thị')} and {ACTIVE}
         and effective_status = 'CAN_BO_SUNG' and missing_priority1_count > 0""",
     "case_filter_total": f"select count(*) as total from {{cases}} where {search('nguyen')} and {ACTIVE}",
     "case_page_name": f"""select {SHOWN} from {{cases}} where is_present
@@ -522,7 +522,7 @@ SQL: dict[str, str] = {
         order by progress_percent, case_key limit 50 offset 50""",
     "case_page_updated": f"""select {SHOWN} from {{cases}} where is_present
         order by last_scanned_at desc, case_key limit 50""",
-    "page_clamp": """select *, least(greatest(page, 1), total_pages) as shown_page from (
+    "page_clamp": """select * exclude (total), least(greatest(page, 1), total_pages) as shown_page from (
         select *, greatest(1, (total + size - 1) // size) as total_pages from (
           select o_orderkey, o_orderkey % 60 - 5 as page, o_custkey % 300 - 5 as page_size,
                  least(greatest(o_custkey % 300 - 5, 1), 200) as size from orders) p,
@@ -531,7 +531,7 @@ SQL: dict[str, str] = {
     "case_picker": "select case_key, folder_name, person_name_display from {cases} where is_present",
     "case_lookup": f"select {SHOWN} from {{cases}} where case_key = '05.000.036.001.5_000000000005_le_VAN_5'",
     "document_lookup": """select relative_path, sha256, parse_status from {documents_previous}
-        where relative_path = 'Folder sai 17/not-a-document-13.pdf' and is_present""",
+        where relative_path = '00.000.036.001.1025_000000001025_le_VAN_1025/03.Văn_bản_blue_bolt_3.8921.PDF' and is_present""",
     "review_list": """select c.case_key, c.folder_name, c.person_name_display, c.effective_status,
         count(w.fingerprint) as warning_count
         from {cases} c left join {warnings} w on w.case_key = c.case_key and w.active
@@ -587,7 +587,7 @@ SQL: dict[str, str] = {
     "import_rejects": "select token, case_key, type_id, reason from {judged} where reason is not null",
     "import_provenance": """select token, filename, nullif(document_date, '') as document_date,
         '[' || array_to_string(list_transform(range(1, pages_asked + 1),
-          n -> case when n % 3 = 0 then '"photo.jpg"' else '"scan.pdf"' end), ',') || ']' as source_files,
+          lambda n: case when n % 3 = 0 then '"photo.jpg"' else '"scan.pdf"' end), ',') || ']' as source_files,
         '{"scan.pdf":"' || sha256(k || 'scan.pdf') || '"' ||
         case when pages_asked >= 3 then ',"photo.jpg":"' || sha256(k || 'photo.jpg') || '"' else '' end || '}'
           as source_sha256 from {named}""",

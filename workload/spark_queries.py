@@ -514,7 +514,7 @@ def case_missing_p1(i: Inputs) -> DataFrame:
 
 @query
 def case_filter_all(i: Inputs) -> DataFrame:
-    return listed(i, q="nguyen", status="CAN_BO_SUNG", warning=True, missing_p1=True)
+    return listed(i, q="THị", status="CAN_BO_SUNG", warning=True, missing_p1=True)
 
 
 @query
@@ -570,7 +570,7 @@ def case_lookup(i: Inputs) -> DataFrame:
 
 @query
 def document_lookup(i: Inputs) -> DataFrame:
-    path = "Folder sai 17/not-a-document-13.pdf"
+    path = "00.000.036.001.1025_000000001025_le_VAN_1025/03.Văn_bản_blue_bolt_3.8921.PDF"
     return reports.one_document(documents_previous(i), path).select("relative_path", "sha256", "parse_status")
 
 

@@ -199,7 +199,7 @@ from {{events}}
 VIEWS["accepted"] = """
 select a.* from {actions} a
 left join {catalog} t on t.code = a.code
-where a.case_key not like 'unknown %'
+where a.case_key in (select case_key from {folders_previous})
   and (a.action <> 'override' or (a.status <> 'bogus' and coalesce(t.active, false)))
   and (a.action <> 'manual_status' or a.status <> 'HOAN_THANH')
 """
