@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions.text import override_detail, reopen_detail
-from casebook.operators.checklist import item_status, rollup, type_facts
+from casebook.operators.checklist import item_status, rollup
 from casebook.operators.spread import join_salted, prefix_fold
 from casebook.operators.status import auto_status
 from casebook.operators.warnings import active_per_case
@@ -176,34 +176,39 @@ def _beginning() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp")
 
 
+def override_changes(accepted: DataFrame, facts: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Override actions with the former status and the change in the number of missing types."""
+    defaults = F.broadcast(
+        catalog.filter("active").select("code", F.col("default_applicability").alias("_default"))
+    )
+
+    def missing(status: Column) -> Column:
+        item = item_status(F.col("evidence"), status, F.col("_default"))
+        return F.when(item == schema.MISSING, 1).otherwise(0)
+
+    return (
+        with_previous_override(accepted, facts)
+        .join(defaults, "code")
+        .withColumn("missing_change", missing(F.col("status")) - missing(F.col("old_status")))
+        .select(*accepted.columns, "old_status", "missing_change")
+    )
+
+
 def replay(
     accepted: DataFrame,
+    changes: DataFrame,
     cases: DataFrame,
-    documents: DataFrame,
+    facts: DataFrame,
     catalog: DataFrame,
-    overrides: DataFrame,
     warnings: DataFrame,
-    evidence: DataFrame | None = None,
 ) -> DataFrame:
     """Each action with the state of its case just before and just after it.
 
     The result equals applying the actions one by one with a recompute after each, on
     otherwise unchanged documents, evidence and warnings: the automatic status depends on the
     actions only through the number of missing types, which is a running sum over overrides.
+    ``changes`` and ``facts`` are read more than once and best kept by the caller.
     """
-    facts = type_facts(documents, overrides, evidence)
-    defaults = F.broadcast(
-        catalog.filter("active").select("code", F.col("default_applicability").alias("_default"))
-    )
-    missing = lambda status: F.when(
-        item_status(F.col("evidence"), status, F.col("_default")) == schema.MISSING, 1
-    ).otherwise(0)
-    changed = (
-        with_previous_override(accepted, facts)
-        .join(defaults, "code")
-        .withColumn("_missing_change", missing(F.col("status")) - missing(F.col("old_status")))
-        .select(*accepted.columns, "old_status", "_missing_change")
-    )
     others = accepted.filter(~_is(OVERRIDE))
 
     start = (
@@ -241,7 +246,7 @@ def replay(
             F.when(_is(COMPLETE_CASE), F.col("reviewed_by")).alias("reviewed_by"),
         ),
     )
-    steps = changed.unionByName(others, allowMissingColumns=True).withColumns(
+    steps = changes.unionByName(others, allowMissingColumns=True).withColumns(
         {"_manual": manual, "_completion": completion}
     )
     rows = steps.unionByName(start, allowMissingColumns=True).withColumn(
@@ -253,7 +258,7 @@ def replay(
         ["ts", "seq"],
         "_chunk",
         sums={
-            "_missing_before": F.coalesce("_missing_change", F.lit(0)),
+            "_missing_before": F.coalesce("missing_change", F.lit(0)),
             "_recomputes_before": F.when(_is("stored", NOTE), 0).otherwise(1),
         },
         lasts={
@@ -270,7 +275,7 @@ def replay(
             F.col("_case.missing_type_count") + missing_now,
         )
 
-    missing_after = F.col("_missing_before") + F.coalesce("_missing_change", F.lit(0))
+    missing_after = F.col("_missing_before") + F.coalesce("missing_change", F.lit(0))
     manual_after = F.when(F.col("_manual").isNotNull(), F.col("_manual.manual_status")).otherwise(
         F.col("_manual_before.manual_status")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +16,6 @@ TOKEN_PATTERN = r"^[0-9a-f]{32}\z"
 CHUNK = "hour"
 
 
-@dataclass(frozen=True)
-class ImportPlan:
-    names: DataFrame
-    renames: DataFrame
-    provenance: DataFrame
-    rejected: DataFrame
-
-
 def existing_numbers(documents: DataFrame, catalog: DataFrame) -> DataFrame:
     """Per case and type, the names taken in the case folder itself: the highest sequence
     number (null if none) and whether the plain name exists."""
@@ -89,7 +79,7 @@ def assign_sequences(requests: DataFrame, existing: DataFrame, catalog: DataFram
     sequence = (
         F.when(top.isNotNull(), top + 1 + rank).when(plain, rank + 2).when(rank > 0, rank + 1)
     )
-    renames = top.isNull() & F.when(plain, rank == 0).otherwise(rank == 1)
+    renamed = top.isNull() & F.when(plain, rank == 0).otherwise(rank == 1)
     base = F.col("catalog_base")
     return (
         with_catalog(ranked, catalog, "code")
@@ -100,8 +90,8 @@ def assign_sequences(requests: DataFrame, existing: DataFrame, catalog: DataFram
             F.col("code").alias("type_id"),
             "sequence",
             canonical_filename(base, F.col("sequence")).alias("filename"),
-            F.when(renames, F.concat(base, F.lit(".pdf"))).alias("rename_from"),
-            F.when(renames, F.concat(base, F.lit(".1.pdf"))).alias("rename_to"),
+            F.when(renamed, F.concat(base, F.lit(".pdf"))).alias("rename_from"),
+            F.when(renamed, F.concat(base, F.lit(".1.pdf"))).alias("rename_to"),
         )
     )
 
@@ -184,24 +174,24 @@ def judge_requests(
     return judged.select(*requests.columns, "_sources", "_pages", reason.alias("reason"))
 
 
-def plan_imports(
-    requests: DataFrame,
-    manifests: DataFrame,
-    documents: DataFrame,
-    cases: DataFrame,
-    catalog: DataFrame,
-    at: Column,
-) -> ImportPlan:
-    """Names, renames, provenance rows and rejects for a batch of import requests."""
-    judged = judge_requests(requests, manifests, cases, catalog)
-    accepted = judged.filter("reason is null")
-    named = assign_sequences(accepted, existing_numbers(documents, catalog), catalog)
-
-    source_of_page = _by_name(F.col("_pages"), "page_id", "source_name")
-    digests = _by_name(F.col("_sources"), "name", "sha256")
+def renames(named: DataFrame) -> DataFrame:
+    """Plain names that become number 1."""
+    return named.filter("rename_from is not null").select("case_key", "type_id", "rename_from", "rename_to")
+
+
+def provenance_rows(accepted: DataFrame, named: DataFrame, at: Column) -> DataFrame:
+    """One row per new document: its source files in page order and their digests.
+
+    Page lists stay inside their request row; nothing is exploded or collected.
+    """
     listed = (
         accepted.join(named.select("token", "filename"), "token")
-        .withColumns({"_by_page": source_of_page, "_digests": digests})
+        .withColumns(
+            {
+                "_by_page": _by_name(F.col("_pages"), "page_id", "source_name"),
+                "_digests": _by_name(F.col("_sources"), "name", "sha256"),
+            }
+        )
         .withColumn("source_files", F.transform("pages", lambda p: F.try_element_at("_by_page", p["id"])))
         .withColumn(
             "source_sha256",
@@ -213,16 +203,11 @@ def plan_imports(
             ),
         )
     )
-    provenance = listed.withColumns(
+    rows = listed.withColumns(
         {
             "document_date": F.nullif("document_date", F.lit("")),
             "note": F.nullif("note", F.lit("")),
             "created_at": at,
         }
     )
-    return ImportPlan(
-        names=named.drop("rename_from", "rename_to"),
-        renames=named.filter("rename_from is not null").select("case_key", "type_id", "rename_from", "rename_to"),
-        provenance=schema.conform(provenance, "import_events"),
-        rejected=judged.filter("reason is not null").select("token", "case_key", "type_id", "reason"),
-    )
+    return schema.conform(rows, "import_events")

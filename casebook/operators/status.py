@@ -144,9 +144,11 @@ def recompute(
     at: Column,
     evidence: DataFrame | None = None,
     scope: DataFrame | None = None,
+    require_present: bool = True,
 ) -> Recomputed:
-    """Recompute all present cases, or those in ``scope``."""
-    chosen = cases.filter("is_present")
+    """Recompute all present cases, or those in ``scope``. After an action the case is
+    recomputed whether it is present or not."""
+    chosen = cases.filter("is_present") if require_present else cases
     if scope is not None:
         chosen = chosen.join(scope.select("case_key").distinct(), "case_key", "left_semi")
     figures = case_figures(chosen, documents, catalog, overrides, warnings, evidence)

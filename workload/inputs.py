@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.sources.catalog import pin
+from casebook.sources.work import Work
 from workload.views import T0, T1, TABLES, VIEWS, dependencies
 
 
@@ -46,6 +48,17 @@ class Inputs:
     def state(self, view: str, table: str) -> DataFrame:
         return schema.conform(self.view(view), table)
 
+    @cached_property
+    def work(self) -> Work:
+        return Work(self.spark)
+
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A result several steps of a query share, written once."""
+        key = f"kept {name}"
+        if key not in self._views:
+            self._views[key] = self.work.keep(build(), name)
+        return self._views[key]
+
     @property
     def t0(self) -> Column:
         return F.expr(T0)

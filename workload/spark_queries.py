@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions import names, text
 from casebook.operators import actions, checklist, diff, imports, status, warnings
-from casebook.plans import reports
+from casebook.plans import reports, updates
 from casebook.sources import catalog as catalogs
 from workload.inputs import Inputs
 
@@ -305,8 +305,13 @@ def scan_counters(i: Inputs) -> DataFrame:
 # --- warnings ----------------------------------------------------------------------------
 
 
+def scanned_documents(i: Inputs) -> DataFrame:
+    """The new document snapshot, written before rules and recompute read it, as a scan does."""
+    return i.kept("documents", lambda: documents_now(i))
+
+
 def raised_now(i: Inputs) -> DataFrame:
-    return warnings.scan_warnings(i.view("folders"), documents_now(i), i.catalog)
+    return warnings.scan_warnings(i.view("folders"), scanned_documents(i), i.catalog)
 
 
 def merged_warnings(i: Inputs) -> DataFrame:
@@ -321,7 +326,7 @@ def warnings_now(i: Inputs) -> DataFrame:
 
 
 def rule(i: Inputs, kind: str, prefix: str = "") -> DataFrame:
-    raised = warnings.document_warnings(documents_now(i), i.catalog)
+    raised = warnings.document_warnings(scanned_documents(i), i.catalog)
     wanted = raised.filter((F.col("warning_type") == kind) & F.startswith("message", F.lit(prefix)))
     return wanted.select("relative_path", "severity", "message", "fingerprint")
 
@@ -390,7 +395,7 @@ def dup_groups(i: Inputs) -> DataFrame:
 
 def figures_now(i: Inputs) -> DataFrame:
     return status.case_figures(
-        cases_now(i).filter("is_present"), documents_now(i), i.catalog, overrides(i), warnings_now(i),
+        cases_now(i).filter("is_present"), scanned_documents(i), i.catalog, overrides(i), warnings_now(i),
         i.view("evidence"),
     )
 
@@ -418,7 +423,7 @@ def status_transitions(i: Inputs) -> DataFrame:
 
 @query
 def changed_after_completion(i: Inputs) -> DataFrame:
-    facts = checklist.type_facts(documents_now(i), overrides(i), None)
+    facts = checklist.type_facts(scanned_documents(i), overrides(i), None)
     return status.changed_after_completion(cases_now(i).filter("is_present"), facts)
 
 
@@ -426,7 +431,8 @@ def changed_after_completion(i: Inputs) -> DataFrame:
 def recompute_warnings(i: Inputs) -> DataFrame:
     """Warnings after the recompute: changes after completion are raised and counted."""
     done = status.recompute(
-        cases_now(i), documents_now(i), i.catalog, overrides(i), warnings_now(i), i.t1, i.view("evidence")
+        cases_now(i), scanned_documents(i), i.catalog, overrides(i),
+        i.kept("warnings", lambda: warnings_now(i)), i.t1, i.view("evidence"),
     )
     return done.warnings.groupBy("warning_type", "active").agg(F.count("*").alias("n"))
 
@@ -660,8 +666,8 @@ def note_latest(i: Inputs) -> DataFrame:
 
 
 def replayed(i: Inputs) -> DataFrame:
-    return actions.replay(
-        i.view("accepted"), cases_previous(i), documents_previous(i), i.catalog, overrides(i),
+    return updates.replay_actions(
+        i.work, i.view("accepted"), cases_previous(i), documents_previous(i), i.catalog, overrides(i),
         i.state("reviews", "warnings"), i.view("evidence"),
     )
 
@@ -738,9 +744,9 @@ def manifests(i: Inputs) -> DataFrame:
     )
 
 
-def import_plan(i: Inputs) -> imports.ImportPlan:
-    return imports.plan_imports(
-        import_requests(i), manifests(i), named_documents(i), cases(i), i.catalog, i.t1
+def import_plan(i: Inputs) -> updates.ImportPlan:
+    return updates.plan_imports(
+        i.work, import_requests(i), manifests(i), named_documents(i), cases(i), i.catalog, i.t1
     )
 
 
