@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -145,13 +146,17 @@ def recompute(
     evidence: DataFrame | None = None,
     scope: DataFrame | None = None,
     require_present: bool = True,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> Recomputed:
     """Recompute all present cases, or those in ``scope``. After an action the case is
-    recomputed whether it is present or not."""
+    recomputed whether it is present or not. All three results read the figures: ``keep``
+    writes them once."""
     chosen = cases.filter("is_present") if require_present else cases
     if scope is not None:
         chosen = chosen.join(scope.select("case_key").distinct(), "case_key", "left_semi")
     figures = case_figures(chosen, documents, catalog, overrides, warnings, evidence)
+    if keep is not None:
+        figures = keep(figures, "figures")
     raised = change_warnings(figures.filter("changed_after_completion"))
     return Recomputed(
         cases=with_figures(cases, figures, at),

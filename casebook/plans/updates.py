@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 
 from casebook.operators import actions, imports
 from casebook.operators.checklist import type_facts
 from casebook.operators.status import recompute
+from casebook.plans.scan import moment
+from casebook.sources.catalog import pin
+from casebook.sources.state import StateStore
 from casebook.sources.work import Work
 
 
@@ -69,7 +73,7 @@ def apply_actions(
     moved = actions.apply_case_state(cases, state)
     done = recompute(
         moved, documents, catalog, merged, warnings, at, evidence,
-        scope=state.filter("recompute").select("case_key"), require_present=False,
+        scope=state.filter("recompute").select("case_key"), require_present=False, keep=work.keep,
     )
     return ActionResult(
         cases=done.cases,
@@ -100,3 +104,52 @@ def plan_imports(
         provenance=imports.provenance_rows(accepted, named, at),
         rejected=judged.filter("reason is not null").select("token", "case_key", "type_id", "reason"),
     )
+
+
+def submit_actions(
+    store: StateStore,
+    batch: DataFrame,
+    at: datetime | None = None,
+    evidence: DataFrame | None = None,
+    batch_id: tuple[str, int] | None = None,
+) -> DataFrame:
+    """Apply actions to the stored state and publish it; returns the rejected ones."""
+    work, draft = Work(store.spark), store.draft()
+    result = apply_actions(
+        work,
+        work.keep(batch, "batch"),
+        draft.read("cases"),
+        draft.read("documents"),
+        pin(draft.read("catalog")),
+        draft.read("checklist_overrides"),
+        draft.read("warnings"),
+        moment(at or datetime.now(timezone.utc)),
+        evidence,
+    )
+    rejected = Work(store.spark).keep(result.rejected, "rejected")
+    draft.append("case_history", result.history)
+    draft.replace("cases", result.cases)
+    draft.replace("warnings", result.warnings)
+    draft.replace("checklist_overrides", result.overrides)
+    draft.publish(batch_id)
+    work.drop()
+    return rejected
+
+
+def submit_imports(
+    store: StateStore, requests: DataFrame, manifests: DataFrame, at: datetime | None = None
+) -> ImportPlan:
+    """Plan imports against the stored state and record their provenance."""
+    work, draft = Work(store.spark), store.draft()
+    plan = plan_imports(
+        work,
+        requests,
+        manifests,
+        draft.read("documents"),
+        draft.read("cases"),
+        pin(draft.read("catalog")),
+        moment(at or datetime.now(timezone.utc)),
+    )
+    draft.append("import_events", plan.provenance)
+    draft.publish()
+    return plan

@@ -432,7 +432,7 @@ def recompute_warnings(i: Inputs) -> DataFrame:
     """Warnings after the recompute: changes after completion are raised and counted."""
     done = status.recompute(
         cases_now(i), scanned_documents(i), i.catalog, overrides(i),
-        i.kept("warnings", lambda: warnings_now(i)), i.t1, i.view("evidence"),
+        i.kept("warnings", lambda: warnings_now(i)), i.t1, i.view("evidence"), keep=i.work.keep,
     )
     return done.warnings.groupBy("warning_type", "active").agg(F.count("*").alias("n"))
 
