@@ -28,7 +28,7 @@ def simple_page_counter() -> Callable:
     def count(stream) -> int | None:
         import re
 
-        page = re.compile(rb"/Type\s*/Page(?![A-Za-z])")
+        page = re.compile(rb"/Type\s*/Page[^A-Za-z]")
         keep, tail, pages, packed = 64, b"", 0, False
         head = stream.read(1024)
         if b"%PDF-" not in head:
