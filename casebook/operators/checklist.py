@@ -40,7 +40,8 @@ def type_facts(
     The three inputs are stacked and aggregated once, instead of being aggregated and
     outer-joined one by one; only pairs with some fact appear. ``n`` is the larger of the two
     evidence counts. ``last_hashed_at`` is the newest hash time of present documents; files
-    without a valid type report it under a null code.
+    without a valid type report it under a null code. Override statuses travel as numbers:
+    aggregates over fixed-width values are hashed, those over text would sort every row first.
     """
     none = F.lit(None)
     valid = is_valid_document()
@@ -49,7 +50,7 @@ def type_facts(
         F.when(valid, F.col("taxonomy_code")).alias("code"),
         F.when(valid, 1).otherwise(0).alias("file"),
         F.lit(0).alias("external"),
-        none.cast("string").alias("override_status"),
+        none.cast("int").alias("override"),
         "last_hashed_at",
     )
     if evidence is not None:
@@ -59,7 +60,7 @@ def type_facts(
                 F.col("type_id").alias("code"),
                 F.lit(0).alias("file"),
                 F.lit(1).alias("external"),
-                none.cast("string").alias("override_status"),
+                none.cast("int").alias("override"),
                 none.cast("timestamp").alias("last_hashed_at"),
             )
         )
@@ -69,14 +70,33 @@ def type_facts(
             F.col("taxonomy_code").alias("code"),
             F.lit(0).alias("file"),
             F.lit(0).alias("external"),
-            F.col("status").alias("override_status"),
+            _status_number(F.col("status")).alias("override"),
             none.cast("timestamp").alias("last_hashed_at"),
         )
     )
-    return stacked.groupBy("case_key", "code").agg(
-        F.greatest(F.sum("file"), F.sum("external")).alias("n"),
-        F.max("override_status").alias("override_status"),
-        F.max("last_hashed_at").alias("last_hashed_at"),
+    statuses = F.array(*[F.lit(s) for s in schema.CHECKLIST_STATUSES])
+    return (
+        stacked.groupBy("case_key", "code")
+        .agg(
+            F.greatest(F.sum("file"), F.sum("external")).alias("n"),
+            F.max("override").alias("_override"),
+            F.max("last_hashed_at").alias("last_hashed_at"),
+        )
+        .select(
+            "case_key",
+            "code",
+            "n",
+            F.when(F.col("_override").isNotNull(), F.get(statuses, F.col("_override") - 1)).alias("override_status"),
+            "last_hashed_at",
+        )
+    )
+
+
+def _status_number(status: Column) -> Column:
+    """Position of a checklist status, from 1; other values are an error."""
+    number = F.array_position(F.array(*[F.lit(s) for s in schema.CHECKLIST_STATUSES]), status)
+    return F.when(number == 0, F.raise_error(F.concat(F.lit("unknown checklist status: "), status)).cast("int")).otherwise(
+        number.cast("int")
     )
 
 

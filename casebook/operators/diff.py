@@ -78,13 +78,16 @@ def upsert_documents(
     readability of the new and changed ones, ``touched`` the cases whose unlisted documents
     become absent. Unchanged files keep digest, page count, hash time and an unreadable mark.
     """
-    # Probe and stored rows are joined on the key the listing is already shuffled by.
-    seen = names.with_file_parts(
-        listing.withColumn("filename", F.element_at(F.split("relative_path", "/"), -1))
-    ).join(probe.select("relative_path", "sha256", "page_count", "readable"), "relative_path", "left")
+    # Both joins use the key the listing is shuffled by once; names are parsed after them, so
+    # the shuffle carries paths, sizes and times only.
     joined = (
-        with_catalog(seen, catalog, "file_code").alias("c").join(prior.alias("p"), "relative_path", "left")
+        listing.select("relative_path", "case_key", "size_bytes", "mtime_ns")
+        .join(probe.select("relative_path", "sha256", "page_count", "readable"), "relative_path", "left")
+        .alias("c")
+        .join(prior.alias("p"), "relative_path", "left")
+        .withColumn("_name", F.element_at(F.split("relative_path", "/"), -1))
     )
+    joined = with_catalog(names.with_file_parts(joined, "_name"), catalog, "file_code")
 
     unchanged = F.coalesce(
         F.col("p.is_present")
@@ -105,7 +108,7 @@ def upsert_documents(
     present = joined.select(
         F.col("c.case_key").alias("case_key"),
         "relative_path",
-        F.col("c.filename").alias("filename"),
+        F.col("_name").alias("filename"),
         F.col("file_code").alias("taxonomy_code"),
         F.col("catalog_name").alias("taxonomy_name"),
         F.col("file_sequence").alias("sequence_no"),

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_SALTS = 64
+HOT_ROWS = 100_000
+HOT_SHARE = 1000
 
 
 def salt_count(df: DataFrame) -> int:
@@ -35,17 +37,25 @@ def join_salted(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, spr
 def count_in_group(rows: DataFrame, keys: list[str], spread: str, name: str) -> DataFrame:
     """Add the number of rows sharing ``keys``, however many there are.
 
-    Rows are counted per (key, piece) with a combine before the shuffle; the few piece counts
-    of a key are summed and joined back per piece, so no task sees a whole large group.
+    The counts combine before their shuffle; only groups of two or more are joined back. Hot
+    groups are split into pieces: a group is hot if it has more than HOT_ROWS rows and more
+    than 1/HOT_SHARE of all, so there are fewer than HOT_SHARE of them at any data size,
+    which bounds the broadcast that tells their rows apart.
     """
-    pieces = rows.withColumn("_salt", salt_of(spread, salt_count(rows)))
-    group = [*keys, "_salt"]
-    counts = (
-        pieces.groupBy(*group)
-        .agg(F.count("*").alias("_n"))
-        .select(*group, F.sum("_n").over(Window.partitionBy(*keys)).alias(name))
+    salts = salt_count(rows)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    is_hot = (F.col("_n") > HOT_ROWS) & (F.col("_n") * HOT_SHARE > total)
+    hot = F.broadcast(counts.filter(is_hot).select(*keys, F.lit(True).alias("_hot")))
+    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = counts.filter("_n > 1").withColumn("_salt", F.explode(pieces))
+    return (
+        rows.join(hot, keys, "left")
+        .withColumn("_salt", F.when(F.col("_hot"), salt_of(spread, salts)).otherwise(0))
+        .join(repeated, [*keys, "_salt"], "left")
+        .withColumn(name, F.coalesce("_n", F.lit(1).cast("bigint")))
+        .drop("_hot", "_salt", "_n")
     )
-    return pieces.join(counts, group).drop("_salt")
 
 
 def prefix_fold(
