@@ -169,18 +169,28 @@ def ascii_like(text: Column, query: str) -> Column:
     return ascii_lower(text).like("%" + folded.replace("\\", "\\\\") + "%")
 
 
+def _hundredths(part: Column, whole: Column) -> Column:
+    """``part / whole`` of two integers in hundredths, the exact quotient rounded half-even."""
+    whole_units = F.call_function("div", part, whole)
+    rest = F.pmod(part, whole)
+    up = (rest * 2 > whole) | ((rest * 2 == whole) & (whole_units % 2 == 1))
+    return (whole_units + F.when(up, 1).otherwise(0)).cast("double") / 100.0
+
+
 def percent(part: Column, whole: Column) -> Column:
-    """Share in percent, half-even to two decimals; 0.0 of nothing."""
-    return F.when(whole == 0, F.lit(0.0)).otherwise(
-        F.bround(part.cast("double") * 100.0 / whole.cast("double"), 2)
-    )
+    """Share in percent, half-even to two decimals; 0.0 of nothing.
+
+    Integer arithmetic: rounding a binary quotient would be off by 0.01 near some ties.
+    """
+    exact = _hundredths(part.cast("bigint") * 10_000, F.nullif(whole.cast("bigint"), F.lit(0)))
+    return F.when(whole == 0, F.lit(0.0)).otherwise(exact)
 
 
 def mean2(total: Column, count: Column) -> Column:
-    """Mean, half-even to two decimals; 0.0 of nothing."""
-    return F.when(count == 0, F.lit(0.0)).otherwise(
-        F.bround(total.cast("double") / count.cast("double"), 2)
-    )
+    """Mean of two-decimal values given their decimal sum, half-even to two decimals; 0.0 of
+    nothing."""
+    exact = _hundredths((total * 100).cast("bigint"), F.nullif(count.cast("bigint"), F.lit(0)))
+    return F.when(count == 0, F.lit(0.0)).otherwise(exact)
 
 
 def priority_weight(priority: Column) -> Column:

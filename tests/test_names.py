@@ -114,10 +114,13 @@ def test_search_folds_ascii_only(spark):
     assert column(spark, ["a\\b"], lambda c: text.ascii_like(c, "\\")) == [True]
 
 
-def test_rounding_is_half_even(spark):
-    halves = spark.createDataFrame([(1.0, 32.0), (3.0, 32.0), (0.0, 0.0)], "a double, b double")
-    got = [r["p"] for r in halves.select(text.percent(F.col("a"), F.col("b")).alias("p")).collect()]
-    assert got == [3.12, 9.38, 0.0]
+def test_rounding_is_half_even_and_exact(spark):
+    shares = spark.createDataFrame([(n, *p) for n, p in enumerate([(1, 32), (3, 32), (0, 0), (1, 3), (108, 108)])], "n int, a int, b int")
+    got = [r["p"] for r in shares.orderBy("n").select(text.percent(F.col("a"), F.col("b")).alias("p")).collect()]
+    assert got == [3.12, 9.38, 0.0, 33.33, 100.0]
+    sums = spark.createDataFrame([(0, "149.85", 6), (1, "183.15", 6), (2, "0.00", 0)], "n int, s string, c int")
+    means = sums.orderBy("n").select(text.mean2(F.col("s").cast("decimal(19,2)"), F.col("c")).alias("m"))
+    assert [r["m"] for r in means.collect()] == [24.98, 30.52, 0.0]
 
 
 def test_upload_types(spark):

@@ -64,11 +64,21 @@ left join {{overrides}} o on o.case_key = c.case_key and o.taxonomy_code = t.cod
 """
 
 
+def half_even(part: str, whole: str) -> str:
+    """Exact half-even quotient of two integers, in hundredths (round_even works on doubles)."""
+    q, r = f"({part} // {whole})", f"({part} % {whole})"
+    up = f"case when 2 * {r} > {whole} or (2 * {r} = {whole} and {q} % 2 = 1) then 1 else 0 end"
+    return f"cast({q} + {up} as double) / 100"
+
+
+DONE = "sum(case when status in ('CO_TAI_LIEU', 'KHONG_PHAT_SINH') then weight else 0 end)"
+CENTS = "sum(cast(cast(progress_percent as decimal(9, 2)) * 100 as bigint))"
+
+
 def rollup_of(checklist: str) -> str:
     return f"""
 select case_key,
-       round_even(100.0::double * sum(case when status in ('CO_TAI_LIEU', 'KHONG_PHAT_SINH') then weight else 0 end)
-                  / sum(weight), 2) as progress_percent,
+       {half_even(f'(10000 * {DONE})', 'sum(weight)')} as progress_percent,
        cast(sum(document_count) as bigint) as document_count,
        count(*) filter (status = 'CO_TAI_LIEU') as type_count,
        count(*) filter (status = 'CAN_BO_SUNG') as missing_type_count,
@@ -389,12 +399,6 @@ LABEL_TABLE = """
 """
 O["label"] = f"select * from (values {LABEL_TABLE}) l(value, label)"
 
-O["unit_status"] = """
-select coalesce(nullif(unit_code, ''), 'Chưa xác định') as unit, effective_status as status, count(*) as n,
-       sum(cast(progress_percent as decimal(9, 2))) as progress, sum(missing_priority1_count) as missing_p1
-from {cases} where is_present group by all
-"""
-
 SQL: dict[str, str] = {
     "folder_parse": "select * from {folder_parts}",
     "folder_invalid": "select case_key from {folder_parts} where not folder_valid",
@@ -491,15 +495,15 @@ SQL: dict[str, str] = {
         from (values ('CHUA_XU_LY'), ('DANG_SO_HOA'), ('CHO_KIEM_TRA'), ('CAN_BO_SUNG'), ('HOAN_THANH')) s(status)
         left join (select effective_status, count(*) as n from {cases} where is_present group by 1) c
           on c.effective_status = s.status""",
-    "dash_totals": """select count(*) as total,
-        round_even(cast(sum(cast(progress_percent as decimal(9, 2))) as double) / count(*), 2) as progress,
+    "dash_totals": f"""select count(*) as total,
+        {half_even(CENTS, 'count(*)')} as progress,
         cast(sum(missing_priority1_count) as bigint) as missing_p1,
         count(*) filter (effective_status in ('DANG_SO_HOA', 'CHUA_XU_LY')) as open_cases,
         count(distinct coalesce(nullif(unit_code, ''), 'Chưa xác định')) as units
-        from {cases} where is_present""",
-    "dash_units": """select coalesce(nullif(unit_code, ''), 'Chưa xác định') as unit,
-        round_even(cast(sum(cast(progress_percent as decimal(9, 2))) as double) / count(*), 2) as progress,
-        count(*) as count from {cases} where is_present group by 1""",
+        from {{cases}} where is_present""",
+    "dash_units": f"""select coalesce(nullif(unit_code, ''), 'Chưa xác định') as unit,
+        {half_even(CENTS, 'count(*)')} as progress,
+        count(*) as count from {{cases}} where is_present group by 1""",
     "dash_actions": """select case_key, effective_status, warning_count from {cases} where is_present
         and (effective_status in ('CAN_BO_SUNG', 'DANG_SO_HOA', 'CHO_KIEM_TRA') or warning_count > 0)
         order by case_key limit 10""",
