@@ -27,17 +27,16 @@ def display_name(raw: Column) -> Column:
 
 def with_folder_parts(df: DataFrame, name: str = "folder_name") -> DataFrame:
     """Add the parsed folder columns and ``folder_valid``; all parts are null on a mismatch."""
-    folder = F.col(name)
-    valid = folder.rlike(FOLDER_PATTERN)
-
-    def part(group: int) -> Column:
-        return F.when(valid, F.regexp_extract(folder, FOLDER_PATTERN, group))
-
-    columns = {column: part(i) for i, column in enumerate(FOLDER_COLUMNS[:7], start=1)}
-    columns["person_name_display"] = display_name(columns["person_name_raw"])
-    columns["unit_code"] = columns["m1"]
-    columns["folder_valid"] = F.coalesce(valid, F.lit(False))
-    return df.withColumns(columns)
+    pattern = f"r'{FOLDER_PATTERN}'"
+    parts = [
+        f"case when folder_valid then regexp_extract({name}, {pattern}, {n}) end as {column}"
+        for n, column in enumerate(FOLDER_COLUMNS[:7], start=1)
+    ]
+    return (
+        df.selectExpr("*", f"coalesce({name} rlike {pattern}, false) as folder_valid")
+        .selectExpr("*", *parts)
+        .withColumns({"person_name_display": display_name(F.col("person_name_raw")), "unit_code": F.col("m1")})
+    )
 
 
 def with_file_parts(df: DataFrame, name: str = "filename") -> DataFrame:
@@ -46,29 +45,28 @@ def with_file_parts(df: DataFrame, name: str = "filename") -> DataFrame:
     A first part other than two or three ASCII digits leaves all three null. An empty slug
     part leaves the slug null but keeps code and sequence.
     """
-    filename = F.col(name)
-    stem = F.when(F.lower(filename).endswith(".pdf"), F.substring(filename, F.lit(1), F.length(filename) - 4))
-    parts = F.col("_parts")
-    count = F.size(parts)
-    coded = (count >= 2) & F.get(parts, F.lit(0)).rlike(r"^[0-9]{2,3}\z")
-    last = F.get(parts, count - 1)
-    numbered = (count >= 3) & last.rlike(r"^[0-9]+\z")
-    slug_parts = F.slice(parts, F.lit(2), F.when(numbered, count - 2).otherwise(count - 1))
     return (
-        df.withColumn("_parts", F.split(stem, r"\."))
-        .withColumn("_coded", F.coalesce(coded, F.lit(False)))
-        .withColumns(
-            {
-                "file_code": F.when(F.col("_coded"), F.get(parts, F.lit(0))),
-                "file_sequence": F.when(F.col("_coded") & numbered, last.try_cast("bigint")),
-                "_slug_parts": F.when(F.col("_coded"), slug_parts),
-            }
+        df.selectExpr(
+            "*",
+            f"split(case when endswith(lower({name}), '.pdf') then "
+            rf"substring({name}, 1, length({name}) - 4) end, r'\.') as _parts",
+        )
+        .selectExpr(
+            "*",
+            r"coalesce(size(_parts) >= 2 and get(_parts, 0) rlike r'^[0-9]{2,3}\z', false) as _coded",
+            r"coalesce(size(_parts) >= 3 and get(_parts, size(_parts) - 1) rlike r'^[0-9]+\z', false) as _numbered",
+        )
+        .selectExpr(
+            "*",
+            "case when _coded then get(_parts, 0) end as file_code",
+            "case when _coded and _numbered then try_cast(get(_parts, size(_parts) - 1) as bigint) end as file_sequence",
+            "case when _coded then slice(_parts, 2, size(_parts) - if(_numbered, 2, 1)) end as _slug_parts",
         )
-        .withColumn(
-            "file_slug",
-            F.when(~F.array_contains("_slug_parts", ""), F.array_join("_slug_parts", ".")),
+        .selectExpr(
+            "*",
+            "case when not array_contains(_slug_parts, '') then array_join(_slug_parts, '.') end as file_slug",
         )
-        .drop("_parts", "_coded", "_slug_parts")
+        .drop("_parts", "_coded", "_numbered", "_slug_parts")
     )
 
 

@@ -140,37 +140,27 @@ def upsert_documents(
 
 def upsert_cases(prior: DataFrame, folders: DataFrame, at: Column) -> DataFrame:
     """New cases start unprocessed; known ones get names and seen times refreshed."""
-    found = names.with_folder_parts(folders).alias("f")
-    old = prior.alias("p")
-    listed = F.col("f.folder_name").isNotNull()
-
-    def refreshed(name: str) -> Column:
-        return F.when(listed, F.col(f"f.{name}")).otherwise(F.col(f"p.{name}"))
-
-    columns = {
-        "case_key": F.col("case_key"),
-        **{n: refreshed(n) for n in ("folder_path", "folder_name", *names.FOLDER_COLUMNS)},
-        "auto_status": F.coalesce("p.auto_status", F.lit(schema.UNPROCESSED)),
-        "effective_status": F.coalesce("p.effective_status", F.lit(schema.UNPROCESSED)),
-        "progress_percent": F.coalesce("p.progress_percent", F.lit(0.0)),
-        **{
-            n: F.coalesce(F.col(f"p.{n}"), F.lit(0))
-            for n in (
-                "document_count",
-                "warning_count",
-                "missing_priority1_count",
-                "type_count",
-                "missing_type_count",
-            )
-        },
-        "is_present": F.when(listed, F.lit(True)).otherwise(F.col("p.is_present")),
-        "first_seen_at": F.coalesce("p.first_seen_at", at),
-        "last_seen_at": F.when(listed, at).otherwise(F.col("p.last_seen_at")),
-        "last_scanned_at": F.when(listed, at).otherwise(F.col("p.last_scanned_at")),
-        **{n: F.col(f"p.{n}") for n in ("manual_status", "completed_at", "reviewed_by", "note")},
-    }
-    joined = old.join(found, "case_key", "full_outer")
-    return schema.conform(joined.select(*[c.alias(n) for n, c in columns.items()]), "cases")
+    found = names.with_folder_parts(folders).withColumn("at", at).alias("f")
+    refreshed = ("folder_path", "folder_name", *names.FOLDER_COLUMNS)
+    counters = ("document_count", "warning_count", "missing_priority1_count", "type_count", "missing_type_count")
+    kept = ("manual_status", "completed_at", "reviewed_by", "note")
+    joined = prior.alias("p").join(found, "case_key", "full_outer")
+    return schema.conform(
+        joined.selectExpr(
+            "case_key",
+            *[f"case when f.folder_name is not null then f.{n} else p.{n} end as {n}" for n in refreshed],
+            f"coalesce(p.auto_status, '{schema.UNPROCESSED}') as auto_status",
+            f"coalesce(p.effective_status, '{schema.UNPROCESSED}') as effective_status",
+            "coalesce(p.progress_percent, 0D) as progress_percent",
+            *[f"coalesce(p.{n}, 0L) as {n}" for n in counters],
+            "f.folder_name is not null or p.is_present as is_present",
+            "coalesce(p.first_seen_at, f.at) as first_seen_at",
+            "coalesce(f.at, p.last_seen_at) as last_seen_at",
+            "coalesce(f.at, p.last_scanned_at) as last_scanned_at",
+            *[f"p.{n}" for n in kept],
+        ),
+        "cases",
+    )
 
 
 def tombstone_cases(cases: DataFrame, folders: DataFrame, at: Column) -> DataFrame:

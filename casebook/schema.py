@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The stored codes of the data model.
@@ -125,13 +124,15 @@ ADDED_DEFAULTS: dict[str, dict[str, object]] = {
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Bring ``df`` to the current schema of ``table``; absent columns get their default."""
     defaults = ADDED_DEFAULTS.get(table, {})
+    present = {f.name: f.dataType for f in df.schema.fields}
 
-    def column(field: T.StructField) -> Column:
-        if field.name in df.columns:
-            return F.col(field.name).cast(field.dataType).alias(field.name)
-        return F.lit(defaults.get(field.name)).cast(field.dataType).alias(field.name)
+    def expression(field: T.StructField) -> str:
+        if present.get(field.name) == field.dataType:
+            return f"`{field.name}`"
+        value = f"`{field.name}`" if field.name in present else str(defaults.get(field.name, "null"))
+        return f"cast({value} as {field.dataType.simpleString()}) as `{field.name}`"
 
-    return df.select(*[column(f) for f in TABLES[table].fields])
+    return df.selectExpr(*[expression(f) for f in TABLES[table].fields])
 
 
 def empty(spark, schema: T.StructType) -> DataFrame:
