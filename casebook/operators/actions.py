@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,7 @@ from casebook.operators.warnings import active_per_case
 
 OVERRIDE, MANUAL, COMPLETE_CASE, REOPEN, NOTE = "override", "manual_status", "complete", "reopen", "note"
 
-# One piece of a running fold. A case's actions within one hour are sorted together.
-CHUNK = "hour"
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -138,14 +138,14 @@ def apply_case_state(cases: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
-def with_previous_override(accepted: DataFrame, facts: DataFrame) -> DataFrame:
+def with_previous_override(accepted: DataFrame, facts: DataFrame, keep: Keep) -> DataFrame:
     """Override actions with the status in force before them (``old_status``, null if none)
     and the evidence count of their type (``evidence``).
 
     Stored facts go in as the first row of their (case, type), so they need no join.
     """
     overrides = accepted.filter(_is(OVERRIDE)).select(
-        *accepted.columns, F.date_trunc(CHUNK, "ts").alias("_chunk"), F.lit(None).cast("bigint").alias("n")
+        *accepted.columns, F.lit(None).cast("bigint").alias("n")
     )
     stored = facts.filter("code is not null").select(
         "case_key",
@@ -154,7 +154,6 @@ def with_previous_override(accepted: DataFrame, facts: DataFrame) -> DataFrame:
         F.lit("stored").alias("action"),
         F.lit(-1).cast("bigint").alias("seq"),
         _beginning().alias("ts"),
-        _beginning().alias("_chunk"),
         "n",
     )
     rows = overrides.unionByName(stored, allowMissingColumns=True)
@@ -162,9 +161,9 @@ def with_previous_override(accepted: DataFrame, facts: DataFrame) -> DataFrame:
         rows,
         ["case_key", "code"],
         ["ts", "seq"],
-        "_chunk",
         sums={},
         lasts={"old_status": F.col("status"), "evidence": F.col("n")},
+        keep=keep,
     )
     return folded.filter("action != 'stored'").select(
         *accepted.columns, "old_status", F.coalesce("evidence", F.lit(0)).alias("evidence")
@@ -176,7 +175,7 @@ def _beginning() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp")
 
 
-def override_changes(accepted: DataFrame, facts: DataFrame, catalog: DataFrame) -> DataFrame:
+def override_changes(accepted: DataFrame, facts: DataFrame, catalog: DataFrame, keep: Keep) -> DataFrame:
     """Override actions with the former status and the change in the number of missing types."""
     defaults = F.broadcast(
         catalog.filter("active").select("code", F.col("default_applicability").alias("_default"))
@@ -187,7 +186,7 @@ def override_changes(accepted: DataFrame, facts: DataFrame, catalog: DataFrame)
         return F.when(item == schema.MISSING, 1).otherwise(0)
 
     return (
-        with_previous_override(accepted, facts)
+        with_previous_override(accepted, facts, keep)
         .join(defaults, "code")
         .withColumn("missing_change", missing(F.col("status")) - missing(F.col("old_status")))
         .select(*accepted.columns, "old_status", "missing_change")
@@ -201,13 +200,13 @@ def replay(
     facts: DataFrame,
     catalog: DataFrame,
     warnings: DataFrame,
+    keep: Keep,
 ) -> DataFrame:
     """Each action with the state of its case just before and just after it.
 
     The result equals applying the actions one by one with a recompute after each, on
     otherwise unchanged documents, evidence and warnings: the automatic status depends on the
     actions only through the number of missing types, which is a running sum over overrides.
-    ``changes`` and ``facts`` are read more than once and best kept by the caller.
     """
     others = accepted.filter(~_is(OVERRIDE))
 
@@ -249,14 +248,10 @@ def replay(
     steps = changes.unionByName(others, allowMissingColumns=True).withColumns(
         {"_manual": manual, "_completion": completion}
     )
-    rows = steps.unionByName(start, allowMissingColumns=True).withColumn(
-        "_chunk", F.date_trunc(CHUNK, "ts")
-    )
     folded = prefix_fold(
-        rows,
+        steps.unionByName(start, allowMissingColumns=True),
         ["case_key"],
         ["ts", "seq"],
-        "_chunk",
         sums={
             "_missing_before": F.coalesce("missing_change", F.lit(0)),
             "_recomputes_before": F.when(_is("stored", NOTE), 0).otherwise(1),
@@ -266,6 +261,7 @@ def replay(
             "_manual_before": F.col("_manual"),
             "_completion_before": F.col("_completion"),
         },
+        keep=keep,
     ).filter("action != 'stored'")
 
     def auto(missing_now: Column) -> Column:

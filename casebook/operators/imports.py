@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ from casebook.sources.catalog import with_catalog
 
 # Fixed value: an upload session token.
 TOKEN_PATTERN = r"^[0-9a-f]{32}\z"
-CHUNK = "hour"
 
 
 def existing_numbers(documents: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -40,7 +41,12 @@ def existing_numbers(documents: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def assign_sequences(requests: DataFrame, existing: DataFrame, catalog: DataFrame) -> DataFrame:
+def assign_sequences(
+    requests: DataFrame,
+    existing: DataFrame,
+    catalog: DataFrame,
+    keep: Callable[[DataFrame, str], DataFrame],
+) -> DataFrame:
     """Name every request; those for one case and type are numbered in request order.
 
     Numbered names exist: continue after the highest. Only the plain name exists (or was just
@@ -53,7 +59,6 @@ def assign_sequences(requests: DataFrame, existing: DataFrame, catalog: DataFram
         "case_key",
         F.col("type_id").alias("code"),
         "requested_at",
-        F.date_trunc(CHUNK, "requested_at").alias("_chunk"),
         F.lit(1).alias("_one"),
     )
     taken = existing.select(
@@ -61,7 +66,6 @@ def assign_sequences(requests: DataFrame, existing: DataFrame, catalog: DataFram
         "code",
         F.lit("").alias("token"),
         beginning.alias("requested_at"),
-        beginning.alias("_chunk"),
         F.lit(0).alias("_one"),
         F.struct("max_sequence", "plain_exists").alias("_taken"),
     )
@@ -69,9 +73,9 @@ def assign_sequences(requests: DataFrame, existing: DataFrame, catalog: DataFram
         asked.unionByName(taken, allowMissingColumns=True),
         ["case_key", "code"],
         ["requested_at", "token"],
-        "_chunk",
         sums={"_rank": F.col("_one")},
         lasts={"_names": F.col("_taken")},
+        keep=keep,
     ).filter("_one = 1")
 
     top, rank = F.col("_names.max_sequence"), F.col("_rank")

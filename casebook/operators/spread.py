@@ -3,6 +3,8 @@ the rows. The common idea: split a key into pieces, work on the pieces, combine
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,41 +64,44 @@ def prefix_fold(
     rows: DataFrame,
     keys: list[str],
     order: list[str],
-    chunk: str,
     sums: dict[str, Column],
     lasts: dict[str, Column],
+    keep: Callable[[DataFrame, str], DataFrame],
 ) -> DataFrame:
     """Add, per row, the sum (``sums``) and the last non-null value (``lasts``) over the rows
-    of the same key that come before it in ``order``.
+    of the same key that come before it in ``order``, which must be unique within a key.
 
-    ``chunk`` splits a key into consecutive pieces and must not decrease along ``order``. Rows
-    are sorted within one (key, chunk) only; what earlier chunks contribute is folded over the
-    per-chunk totals and joined back, so no key has to fit into one task.
+    The rows are range-partitioned by key and order, so even a single key falls into chunks of
+    about equal size. Rows are sorted within one (key, chunk) only; what earlier chunks
+    contribute is folded over the per-chunk totals and joined back. ``keep`` writes the
+    chunked rows, since both steps have to see the same chunks.
     """
-    w_rows = (
-        Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = keep(
+        rows.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()),
+        "chunks",
     )
-    w_chunks = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    piece = [*keys, "_chunk"]
+    w_rows = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    w_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
 
-    inner = rows.withColumns(
+    inner = cut.withColumns(
         {
             **{f"_in_{n}": F.coalesce(F.sum(c).over(w_rows), F.lit(0)) for n, c in sums.items()},
             **{f"_in_{n}": F.last(c, ignorenulls=True).over(w_rows) for n, c in lasts.items()},
         }
     )
     position = F.struct(*order)
-    totals = rows.groupBy(*keys, chunk).agg(
+    totals = cut.groupBy(*piece).agg(
         *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
         *[F.max_by(c, F.when(c.isNotNull(), position)).alias(f"_t_{n}") for n, c in lasts.items()],
     )
     carry = totals.select(
-        *keys,
-        chunk,
+        *piece,
         *[F.coalesce(F.sum(f"_t_{n}").over(w_chunks), F.lit(0)).alias(f"_c_{n}") for n in sums],
         *[F.last(f"_t_{n}", ignorenulls=True).over(w_chunks).alias(f"_c_{n}") for n in lasts],
     )
-    joined = inner.join(carry, [*keys, chunk])
-    return joined.select(
+    return inner.join(carry, piece).select(
         *rows.columns,
         *[(F.col(f"_in_{n}") + F.col(f"_c_{n}")).alias(n) for n in sums],
         *[F.coalesce(F.col(f"_in_{n}"), F.col(f"_c_{n}")).alias(n) for n in lasts],

@@ -45,8 +45,8 @@ def replay_actions(
 ) -> DataFrame:
     """Accepted actions with case state before and after; the shared parts are kept."""
     facts = work.keep(type_facts(documents, overrides, evidence), "action_facts")
-    changes = work.keep(actions.override_changes(accepted, facts, catalog), "action_changes")
-    return actions.replay(accepted, changes, cases, facts, catalog, warnings)
+    changes = work.keep(actions.override_changes(accepted, facts, catalog, work.keep), "action_changes")
+    return actions.replay(accepted, changes, cases, facts, catalog, warnings, work.keep)
 
 
 def apply_actions(
@@ -97,7 +97,7 @@ def plan_imports(
     judged = work.keep(imports.judge_requests(requests, manifests, cases, catalog), "judged")
     accepted = judged.filter("reason is null")
     taken = imports.existing_numbers(documents, catalog)
-    named = work.keep(imports.assign_sequences(accepted, taken, catalog), "named")
+    named = work.keep(imports.assign_sequences(accepted, taken, catalog, work.keep), "named")
     return ImportPlan(
         names=named.drop("rename_from", "rename_to"),
         renames=imports.renames(named),

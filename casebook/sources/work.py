@@ -28,9 +28,11 @@ class Work:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{work_dir(spark)}/casebook-{uuid.uuid4().hex}"
+        self.count = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
+        self.count += 1
+        path = f"{self.path}/{self.count:03d}-{name}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

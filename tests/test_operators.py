@@ -37,9 +37,9 @@ def test_prefix_fold_equals_a_loop(spark):
     for n in range(400):
         key = "hot" if n % 3 else f"k{rng.randrange(4)}"
         rows.append((key, rng.randrange(50), n, rng.randrange(5), rng.choice([None, "a", "b"])))
-    df = spark.createDataFrame(rows, "k string, t int, id int, x int, v string").withColumn("chunk", F.expr("t div 7"))
+    df = spark.createDataFrame(rows, "k string, t int, id int, x int, v string")
     out = spread.prefix_fold(
-        df, ["k"], ["t", "id"], "chunk", sums={"before": F.col("x")}, lasts={"latest": F.col("v")}
+        df, ["k"], ["t", "id"], {"before": F.col("x")}, {"latest": F.col("v")}, Work(spark).keep
     )
     got = {r["id"]: (r["before"], r["latest"]) for r in out.collect()}
     want, total, last = {}, {}, {}

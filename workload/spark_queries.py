@@ -675,7 +675,7 @@ def replayed(i: Inputs) -> DataFrame:
 @query
 def override_audit(i: Inputs) -> DataFrame:
     facts = facts_previous(i)
-    return actions.with_previous_override(i.view("accepted"), facts).select(
+    return actions.with_previous_override(i.view("accepted"), facts, i.work.keep).select(
         "seq",
         "evidence",
         text.override_detail(F.col("code"), F.col("old_status"), F.col("status")).alias("detail"),

@@ -50,13 +50,9 @@ def archive(k: str) -> str:
     return f"'Kho luu ' || {text(k)}"
 
 
-# Customers 3 mod 19 have lost their folder in the current snapshot, customers 4 mod 19 are
-# new in it. Every order is in at least one of the two snapshots.
-_IN_PREVIOUS = (
-    "(o_custkey % 19 <> 4 and (o_custkey % 19 = 3 or o_orderstatus = 'F' "
-    "or o_orderdate < timestamp '1999-01-01 00:00:00'))"
-)
-_IN_CURRENT = "(o_custkey % 19 <> 3 and (o_custkey % 19 = 4 or o_orderstatus <> 'F'))"
+# Every order is in at least one of the two snapshots.
+_IN_PREVIOUS = "(o_orderstatus = 'F' or o_orderdate < timestamp '1999-01-01 00:00:00')"
+_IN_CURRENT = "(o_orderstatus <> 'F')"
 
 VIEWS: dict[str, str] = {}
 
@@ -87,15 +83,16 @@ select case when n % 40 = 0 then 'R' || id else id end as code, 'old ' || name_v
 from {entries}
 """
 
+# The richest customers are new in the current snapshot, the poorest have lost their folder.
 VIEWS["folders_previous"] = f"""
-select {folder('c_custkey')} as case_key, c_custkey as k, c_acctbal as bal from {{customer}} where c_custkey % 19 <> 4
+select {folder('c_custkey')} as case_key, c_custkey as k, c_acctbal as bal from {{customer}} where c_acctbal < 9500
 union all
 select {archive('s_suppkey')} as case_key, s_suppkey as k, s_acctbal as bal from {{supplier}}
 """
 
 VIEWS["folders"] = f"""
 select case_key, '/data/' || case_key as folder_path, case_key as folder_name
-from (select {folder('c_custkey')} as case_key from {{customer}} where c_custkey % 19 <> 3
+from (select {folder('c_custkey')} as case_key from {{customer}} where c_acctbal > -500
       union all
       select {archive('s_suppkey')} as case_key from {{supplier}}) f
 """
@@ -128,11 +125,13 @@ from (
 """
 
 VIEWS["listing"] = """
-select relative_path, case_key, size_now as size_bytes, mtime_ns from {files} where in_current
+select relative_path, case_key, size_now as size_bytes, mtime_ns
+from {files} where in_current and case_key in (select case_key from {folders})
 """
 
 VIEWS["probe"] = """
-select relative_path, sha256_now as sha256, page_count, readable from {files} where in_current
+select relative_path, sha256_now as sha256, page_count, readable
+from {files} where in_current and case_key in (select case_key from {folders})
 """
 
 # The document table after the previous scan. One in 31 was already absent; customers
@@ -146,7 +145,7 @@ select case_key, relative_path, filename, case when v <> 0 then f.code end as ta
        k % 31 <> 0 and c % 29 <> 0 as is_present,
        {T0} as first_seen_at, {T0} as last_seen_at, {T0} as last_hashed_at
 from {{files}} f left join {{catalog}} t on t.code = f.code and v <> 0
-where in_previous
+where in_previous and case_key in (select case_key from {{folders_previous}})
 """
 
 # The case table before the current scan: some cases completed or set by hand, some absent.
@@ -220,7 +219,8 @@ select case_key, relative_path, 'SAI_TEN_FILE' as warning_type, 'WARNING' as sev
        'Tên file không theo mẫu: ' || filename as message, k % 5 <> 0 as active,
        case_key || ':' || relative_path || ':SAI_TEN_FILE:Tên file không theo mẫu: ' || filename as fingerprint,
        {T0} as created_at, {T0} as updated_at
-from {{files}} where in_previous and v in (0, 2)
+from {{files}} where in_previous and (filename like 'not-a-document%' or filename like '%..%')
+  and case_key in (select case_key from {{folders_previous}})
 union all
 select case_key, cast(null as varchar(40)) as relative_path, 'REVIEW_PENDING' as warning_type,
        'WARNING' as severity, 'review' as message, bal < 0 as active,
@@ -306,11 +306,10 @@ from (select cast(o_orderdate as timestamp) as started_at, count(distinct o_cust
 VIEWS["named_files"] = """
 select case_key, case_key || '/' || filename as relative_path, filename, is_present
 from (
-  select case_key, f.code || '.' || slug || case when f.code in ('07', '33', '101') then '' else '.' || seq end
+  select case_key, f.code || '.' || coalesce(slug, 'tai_lieu_la') || case when f.code in ('07', '33', '101') then '' else '.' || seq end
          || '.pdf' as filename, max(in_current) as is_present
-  from (select case_key, code, v, in_current, cast(k % 9 + 1 as varchar(40)) as seq from {files}) f
-  join {catalog} t on t.code = f.code
-  where v > 4
+  from (select case_key, code, in_current, cast(k % 9 + 1 as varchar(40)) as seq from {files}) f
+  left join {catalog} t on t.code = f.code
   group by 1, 2
 ) names
 """
