@@ -164,14 +164,17 @@ def judge_requests(
     )
     known_cases = cases.filter("is_present").select("case_key", F.lit(True).alias("_case_known"))
     joined = join_salted(requests.join(m, "token", "left"), known_cases, ["case_key"], "left", "token")
-    judged = with_catalog(joined, catalog, "type_id")
-    ids = F.transform("pages", lambda p: p["id"])
-    offered = F.transform("_pages", lambda p: p["page_id"])
+    judged = with_catalog(joined, catalog, "type_id").withColumns(
+        {
+            "_ids": F.transform("pages", lambda p: p["id"]),
+            "_offered": F.transform("_pages", lambda p: p["page_id"]),
+        }
+    )
     reason = (
         F.when(~F.col("catalog_known"), "invalid type code")
         .when(~F.col("token").rlike(TOKEN_PATTERN) | F.col("_pages").isNull(), "unreadable session")
         .when(~F.col("_m_case").eqNullSafe(F.col("case_key")), "session of another case")
-        .when(page_list_problem(ids, offered), "invalid page list")
+        .when(page_list_problem(F.col("_ids"), F.col("_offered")), "invalid page list")
         .when(F.col("_case_known").isNull(), "unknown case")
         .when(F.exists("pages", lambda p: ~valid_rotation(p["rotation"])), "invalid rotation")
     )

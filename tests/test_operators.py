@@ -61,6 +61,34 @@ def test_salted_join_and_group_count(spark):
     assert counted == {r["id"]: sizes[r["k"]] for r in facts.collect()}
 
 
+def test_hot_groups_are_split_and_counted_exactly(spark, monkeypatch):
+    monkeypatch.setattr(spread, "HOT_ROWS", 20)
+    monkeypatch.setattr(spread, "HOT_SHARE", 5)
+    rows = [("hot", "h", n) for n in range(120)] + [(f"k{n % 40}", f"d{n % 3}", 1000 + n) for n in range(150)]
+    rows += [("hot", None, 5000 + n) for n in range(30)]
+    df = spark.createDataFrame(rows, "case_key string, sha256 string, id int")
+    got = {r["id"]: r["copies"] for r in warnings.with_duplicate_count(df, ["case_key"], "sha256", "id").collect()}
+    sizes: dict = {}
+    for case, digest, n in rows:
+        sizes[(case, digest)] = sizes.get((case, digest), 0) + 1
+    assert got == {n: 1 if digest is None else sizes[(case, digest)] for case, digest, n in rows}
+
+
+def test_running_fold_cuts_a_single_hot_key(spark):
+    """One key holding all rows still falls into several chunks."""
+    df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("t"), F.lit(1).alias("x"))
+    seen = []
+
+    def keep(rows, name):
+        seen.append(rows)
+        return Work(spark).keep(rows, name)
+
+    out = spread.prefix_fold(df, ["k"], ["t"], {"before": F.col("x")}, {}, keep)
+    assert out.filter("before != t").count() == 0 and out.count() == 4000
+    sizes = [r["count"] for r in seen[0].groupBy("_chunk").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
+
+
 def random_state(spark, seed):
     rng = random.Random(seed)
     cases = [
