@@ -72,15 +72,13 @@ def prefix_fold(
     of the same key that come before it in ``order``, which must be unique within a key.
 
     The rows are range-partitioned by key and order, so even a single key falls into chunks of
-    about equal size. Rows are sorted within one (key, chunk) only; what earlier chunks
+    about equal size; adaptive execution merges neighbours only while they are small, which
+    keeps chunk numbers in order. Rows are sorted within one (key, chunk) only; what earlier chunks
     contribute is folded over the per-chunk totals and joined back. ``keep`` writes the
     chunked rows, since both steps have to see the same chunks.
     """
-    chunks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = keep(
-        rows.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()),
-        "chunks",
-    )
+    ranged = rows.repartitionByRange(*keys, *order)
+    cut = keep(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
     piece = [*keys, "_chunk"]
     w_rows = Window.partitionBy(*piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     w_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

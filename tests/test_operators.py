@@ -76,16 +76,20 @@ def test_hot_groups_are_split_and_counted_exactly(spark, monkeypatch):
 
 def test_running_fold_cuts_a_single_hot_key(spark):
     """One key holding all rows still falls into several chunks."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("t"), F.lit(1).alias("x"))
-    seen = []
+    kept = []
 
     def keep(rows, name):
-        seen.append(rows)
-        return Work(spark).keep(rows, name)
+        kept.append(Work(spark).keep(rows, name))
+        return kept[-1]
 
-    out = spread.prefix_fold(df, ["k"], ["t"], {"before": F.col("x")}, {}, keep)
+    try:
+        out = spread.prefix_fold(df, ["k"], ["t"], {"before": F.col("x")}, {}, keep)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert out.filter("before != t").count() == 0 and out.count() == 4000
-    sizes = [r["count"] for r in seen[0].groupBy("_chunk").count().collect()]
+    sizes = [r["count"] for r in kept[0].groupBy("_chunk").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000
 
 
