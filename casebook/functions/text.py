@@ -218,7 +218,10 @@ def iso_micros(ts: Column) -> Column:
 
 
 def reopen_detail(completed_at: Column, reviewed_by: Column) -> Column:
-    """Audit text naming the former completion; null if the case was never completed."""
+    """Audit text naming the former completion; null if the case was never completed.
+
+    The words are fixed values of the audit trail.
+    """
     return F.when(
         completed_at.isNotNull(),
         F.concat(

@@ -56,12 +56,12 @@ def not_listed(prior: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     return prior.join(listing.select(key), key, "left_anti")
 
 
-def limit_to(df: DataFrame, scope: DataFrame | None) -> DataFrame:
-    """Rows of the cases in ``scope`` (any number of distinct keys); everything without a scope."""
+def limit_to(df: DataFrame, scope: DataFrame | None, spread: str = "relative_path") -> DataFrame:
+    """Rows of the cases in ``scope`` (any number of keys); everything without a scope."""
     if scope is None:
         return df
-    spread = "relative_path" if "relative_path" in df.columns else "case_key"
-    return join_salted(df, scope.select("case_key").distinct(), ["case_key"], "left_semi", spread)
+    by = spread if spread in df.columns else "case_key"
+    return join_salted(df, scope.select("case_key").distinct(), ["case_key"], "left_semi", by)
 
 
 def upsert_documents(

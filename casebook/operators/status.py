@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.operators.checklist import rollup, type_facts
+from casebook.operators.diff import limit_to
 from casebook.operators.warnings import active_per_case, change_warnings, merge_warnings
 
 
@@ -152,9 +153,15 @@ def recompute(
     recomputed whether it is present or not. All three results read the figures: ``keep``
     writes them once."""
     chosen = cases.filter("is_present") if require_present else cases
-    if scope is not None:
-        chosen = chosen.join(scope.select("case_key").distinct(), "case_key", "left_semi")
-    figures = case_figures(chosen, documents, catalog, overrides, warnings, evidence)
+    # With a scope, only its rows are aggregated; without one nothing is filtered.
+    figures = case_figures(
+        limit_to(chosen, scope),
+        limit_to(documents, scope),
+        catalog,
+        limit_to(overrides, scope),
+        limit_to(warnings, scope, "fingerprint"),
+        None if evidence is None else limit_to(evidence, scope, "type_id"),
+    )
     if keep is not None:
         figures = keep(figures, "figures")
     raised = change_warnings(figures.filter("changed_after_completion"))

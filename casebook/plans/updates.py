@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from casebook.operators import actions, imports
 from casebook.operators.checklist import type_facts
+from casebook.operators.diff import limit_to
 from casebook.operators.status import recompute
 from casebook.plans.scan import moment
 from casebook.sources.catalog import pin
@@ -31,6 +32,7 @@ class ImportPlan:
     renames: DataFrame
     provenance: DataFrame
     rejected: DataFrame
+    work: Work
 
 
 def replay_actions(
@@ -43,10 +45,27 @@ def replay_actions(
     warnings: DataFrame,
     evidence: DataFrame | None = None,
 ) -> DataFrame:
-    """Accepted actions with case state before and after; the shared parts are kept."""
-    facts = work.keep(type_facts(documents, overrides, evidence), "action_facts")
+    """Accepted actions with case state before and after; the shared parts are kept.
+
+    Only the cases acted on are looked at.
+    """
+    acted = work.keep(accepted.select("case_key").distinct(), "acted_cases")
+    facts = type_facts(
+        limit_to(documents, acted),
+        limit_to(overrides, acted),
+        None if evidence is None else limit_to(evidence, acted, "type_id"),
+    )
+    facts = work.keep(facts, "action_facts")
     changes = work.keep(actions.override_changes(accepted, facts, catalog, work.keep), "action_changes")
-    return actions.replay(accepted, changes, cases, facts, catalog, warnings, work.keep)
+    return actions.replay(
+        accepted,
+        changes,
+        limit_to(cases, acted),
+        facts,
+        catalog,
+        limit_to(warnings, acted, "fingerprint"),
+        work.keep,
+    )
 
 
 def apply_actions(
@@ -93,7 +112,10 @@ def plan_imports(
     catalog: DataFrame,
     at: Column,
 ) -> ImportPlan:
-    """Names, renames, provenance rows and rejects for a batch of import requests."""
+    """Names, renames, provenance rows and rejects for a batch of import requests.
+
+    The parts read tables kept in ``work``; drop that once they have been used.
+    """
     judged = work.keep(imports.judge_requests(requests, manifests, cases, catalog), "judged")
     accepted = judged.filter("reason is null")
     taken = imports.existing_numbers(documents, catalog)
@@ -103,6 +125,7 @@ def plan_imports(
         renames=imports.renames(named),
         provenance=imports.provenance_rows(accepted, named, at),
         rejected=judged.filter("reason is not null").select("token", "case_key", "type_id", "reason"),
+        work=work,
     )
 
 
