@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.views import T0, T1, with_views
+from workload.views import T1, with_views
 
 # Helper views of the SQL side only.
 O: dict[str, str] = {}
