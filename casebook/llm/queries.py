@@ -6,20 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casebook.llm.contrast_lm import op4_contrast_lm
 from casebook.llm.decision_list import op9_decision_list
 from casebook.llm.factor_machine import op5_factorization_machine
+from casebook.llm.filter_cascade import OP6_SQL, op6_filter_cascade
 from casebook.llm.lsh_forest import OP7_SQL, op7_lsh_forest
+from casebook.llm.nn_descent import op1_nn_descent
 from casebook.llm.pattern_packing import op10_pattern_packing
 from casebook.llm.source_schedule import op8_source_schedule
+from casebook.llm.suffix_dedup import op3_suffix_dedup
 from casebook.llm.token_prefixes import op2_prefix_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nn_descent": op1_nn_descent,
     "op2_prefix_counts": op2_prefix_counts,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_contrast_lm": op4_contrast_lm,
     "op5_factorization_machine": op5_factorization_machine,
+    "op6_filter_cascade": op6_filter_cascade,
     "op7_lsh_forest": op7_lsh_forest,
     "op8_source_schedule": op8_source_schedule,
     "op9_decision_list": op9_decision_list,
     "op10_pattern_packing": op10_pattern_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_lsh_forest": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_filter_cascade": OP6_SQL, "op7_lsh_forest": OP7_SQL}
