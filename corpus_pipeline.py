@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import factor_machine, lsh_forest, pattern_packing, source_schedule
+from casebook.llm import factor_machine, lsh_forest, pattern_packing, source_schedule, suffix_dedup
 from casebook.llm.common import table
 from casebook.sources.work import Work
 
@@ -31,6 +31,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings that an earlier document has too. A character that is cut apart goes wholly;
+    documents of which nothing but white space is left go, empty ones stay."""
+    left = suffix_dedup.without_repeats(docs, columns=COLUMNS)
+    cut = F.expr("try_validate_utf8(cast(kept as string))")
+    whole = F.coalesce(cut, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    text = F.when(F.col("n_removed") > 0, whole).otherwise(F.col("text"))
+    rows = left.withColumn("_text", text).where((F.col("n_removed") == 0) | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.select("doc_id", F.col("_text").alias("text"), "lang", "source", F.char_length("_text").cast("long").alias("n_chars"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, the last pass of a source cut where its share ends."""
     return source_schedule.Mix(docs, keep=COLUMNS).documents().select(*COLUMNS)
@@ -46,6 +57,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
     ("mixing", mixing),
     ("packing", packing),
 ]
