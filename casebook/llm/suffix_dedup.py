@@ -27,12 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.llm.common import flat_bytes, map_batches, mix64, slices, table, texts_as_bytes
 from casebook.sources.work import Work
 
 #: Bytes of an anchor.
-GRAM = 20
+GRAM = 16
 #: Depth to which suffixes are compared byte by byte, and a difference cover of it: the differences of these residues
 #: modulo V give every residue.
 V, COVER = 16, (0, 1, 2, 5, 8)
@@ -102,27 +103,17 @@ def runs(texts: list[bytes], window: int) -> dict[str, np.ndarray]:
     return {"n": n, "lo": lo - offsets[n], "count": count, "at": at, "anchor": hashes[anchor], "span": mix64(span + at.astype(np.uint64) * _U(_B))}
 
 
-def _tags(texts: list[bytes]) -> np.ndarray:
-    """16 bits of each text, which tell rows apart that repeat an id with another text."""
-    import xxhash
-
-    return np.array([xxhash.xxh3_64_intdigest(t) & 0x7FFF for t in texts], np.int64)
-
-
-_PLACE = 40  # a row's tag and a position are kept in one number
-
-
 def found_runs(docs: DataFrame, window: int) -> DataFrame:
-    """``key`` (the anchor; something else for settled runs), ``span``, ``doc``, ``place`` (tag and first window),
-    ``count``, ``at`` and ``sure``."""
+    """``key`` (the anchor; something else for settled runs), ``doc``, ``lo`` and ``packed``: 51 bits of the span's hash,
+    then the number of windows, the anchor's distance (6 bits each) and whether the run is settled. This is what is
+    shuffled, so it is kept narrow."""
 
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "t", 8 << 20):
-            texts, docs_of = texts_as_bytes(part["t"]), part["i"].to_numpy(zero_copy_only=False)
-            found = runs(texts, window)
+            found = runs(texts_as_bytes(part["t"]), window)
             if not found["n"].size:
                 continue
-            doc = docs_of[found["n"]]
+            doc = part["i"].to_numpy()[found["n"]]
             # within this batch only the earliest document with a span goes on
             order = np.lexsort((doc, found["span"], found["anchor"]))
             same = np.zeros(order.size, bool)
@@ -131,12 +122,23 @@ def found_runs(docs: DataFrame, window: int) -> DataFrame:
             sure = np.zeros(order.size, bool)
             sure[order] = doc[order] > doc[order[np.flatnonzero(~same)]][group]
             key = np.where(sure, mix64(doc.astype(np.uint64) * _U(_B) + found["lo"].astype(np.uint64)), found["anchor"])
-            place = (_tags(texts)[found["n"]] << _PLACE) | found["lo"]
-            columns = [key.view(np.int64), found["span"].view(np.int64), doc, place, found["count"].astype(np.int16), found["at"].astype(np.int16), sure]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "span", "doc", "place", "count", "at", "sure"])
+            packed = (found["span"] >> _U(13) << _U(13)) | ((found["count"] << 7) | (found["at"] << 1) | sure).astype(np.uint64)
+            columns = [key.view(np.int64), doc, found["lo"], packed.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc", "lo", "packed"])
+
+    return map_batches(docs.select("i", "t"), run, "key long, doc long, lo long, packed long")
+
 
-    usable = docs.where(docs["doc_id"].isNotNull()).select(docs["doc_id"].cast("long").alias("i"), docs["text"].cast("string").alias("t"))
-    return map_batches(usable, run, "key long, span long, doc long, place long, count short, at short, sure boolean")
+def one_text(docs: DataFrame, work: Work) -> tuple[DataFrame, DataFrame | None]:
+    """``i`` and ``t`` of the rows that take part: those with an id, and where an id repeats with several texts, the
+    rows with one of them (the least by hash). Also such ids (``_several``, ``_low``), None if there are none."""
+    rows = docs.where(docs["doc_id"].isNotNull()).select(docs["doc_id"].cast("long").alias("i"), docs["text"].cast("string").alias("t"))
+    several = rows.groupBy("i").agg(F.min(F.xxhash64("t")).alias("_low"), F.max(F.xxhash64("t")).alias("_high")).where("_low < _high")
+    several = work.keep(several.select(F.col("i").alias("_several"), "_low"), "several")
+    if not several.take(1):
+        return rows, None
+    rows = rows.join(several, F.col("i") == F.col("_several"), "left")
+    return rows.where(F.col("_low").isNull() | (F.xxhash64("t") == F.col("_low"))).select("i", "t"), several
 
 
 def cover_ranks(flat: np.ndarray, positions: np.ndarray, length: int) -> np.ndarray:
@@ -189,7 +191,7 @@ def equal_windows(flat: np.ndarray, starts: np.ndarray, window: int) -> np.ndarr
     return numbers
 
 
-def _spread(places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each of ``counts`` items in turn: which it belongs to and its number there."""
     of = np.repeat(np.arange(counts.size), counts)
     return of, np.arange(of.size) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -198,7 +200,7 @@ def _spread(places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 def settle_block(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
     """Windows of open runs that an earlier document has: for anchors that lie wholly in this block (sorted by anchor)
     the windows themselves, for the first and the last anchor all windows with their digests."""
-    key, doc, place = (batch[c].to_numpy() for c in ("key", "doc", "place"))
+    key, doc, lo = (batch[c].to_numpy() for c in ("key", "doc", "lo"))
     count, at = batch["count"].to_numpy().astype(np.int64), batch["at"].to_numpy().astype(np.int64)
     spans = batch["bytes"].to_pylist()
     lead = (-at) % V  # so that each anchor is at a multiple of V
@@ -208,7 +210,7 @@ def settle_block(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
     flat = np.zeros(int(slots.sum()) + 2 * (V + window), np.uint8)
     for b, n, s in zip(begins + lead, spans, sizes - lead, strict=True):
         flat[b : b + s] = np.frombuffer(n, np.uint8)
-    of, step = _spread(place, count)
+    of, step = _spread(count)
     starts = begins[of] + lead[of] + step
     numbers = equal_windows(flat, starts, window)
     # equal windows count only within an anchor: a chance likeness elsewhere has runs of its own
@@ -224,7 +226,7 @@ def settle_block(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
     for k, n in enumerate(keep):
         digests[k] = None if gone[n] else hashlib.blake2b(flat[starts[n] : starts[n] + window].tobytes(), digest_size=16).digest()
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc[of[keep]]), pa.array(place[of[keep]] + step[keep]), pa.array(digests.tolist(), pa.binary())], ["doc", "place", "digest"]
+        [pa.array(doc[of[keep]]), pa.array(lo[of[keep]] + step[keep]), pa.array(digests.tolist(), pa.binary())], ["doc", "lo", "digest"]
     )
 
 
@@ -233,46 +235,45 @@ def _span_bytes(rows: DataFrame, window: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "t"):
-            texts = texts_as_bytes(part["t"])
-            tags = _tags(texts)
             out = []
-            for doc, text, tag, own in zip(part["i"].to_pylist(), texts, tags.tolist(), part["runs"].to_pylist(), strict=True):
+            for doc, text, own in zip(part["i"].to_pylist(), texts_as_bytes(part["t"]), part["runs"].to_pylist(), strict=True):
                 for r in own:
-                    if r["place"] >> _PLACE == tag:
-                        lo = r["place"] & ((1 << _PLACE) - 1)
-                        out.append((r["key"], doc, r["place"], r["count"], r["at"], text[lo : lo + r["count"] - 1 + window]))
+                    count = r["packed"] >> 7 & 63
+                    out.append((r["key"], doc, r["lo"], count, r["packed"] >> 1 & 63, text[r["lo"] : r["lo"] + count - 1 + window]))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], kinds[n]) for n in range(6)], ["key", "doc", "place", "count", "at", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], kinds[n]) for n in range(6)], ["key", "doc", "lo", "count", "at", "bytes"])
 
-    return map_batches(rows, run, "key long, doc long, place long, count short, at short, bytes binary")
+    return map_batches(rows, run, "key long, doc long, lo long, count short, at short, bytes binary")
 
 
 def repeated_windows(docs: DataFrame, window: int = 50, work: Work | None = None) -> DataFrame:
-    """``doc``, ``place`` and ``count``: runs of windows that an earlier document has. ``place`` is the row's tag and
-    the first window's position in the text's bytes."""
-    if window < max(2 * V, GRAM):
-        raise ValueError(f"a window has at least {2 * V} bytes")
+    """``doc``, ``lo`` and ``count``: runs of windows that an earlier document has. ``docs`` has ``i`` and ``t``."""
+    if not max(2 * V, GRAM) <= window <= GRAM + 62:
+        raise ValueError(f"a window has {2 * V} to {GRAM + 62} bytes")
     spark = docs.sparkSession
     work = work or Work(spark)
-    by_key, by_span = Window.partitionBy("key"), Window.partitionBy("key", "span")
-    rows = found_runs(docs, window)
-    rows = rows.withColumn("first", F.min("doc").over(by_span))
+    # one shuffle serves both windows
+    rows = found_runs(docs, window).repartition("key").withColumn("span", F.shiftright("packed", 1))
+    rows = rows.withColumn("first", F.min("doc").over(Window.partitionBy("key", "span")))
+    by_key = Window.partitionBy("key")
     rows = rows.withColumn("low", F.min("first").over(by_key)).withColumn("high", F.max("first").over(by_key))
-    settled = F.col("sure") | (F.col("doc") > F.col("first"))
+    settled = (F.col("packed").bitwiseAND(1) == 1) | (F.col("doc") > F.col("first"))
     judged = rows.withColumn("settled", settled).where(F.col("settled") | (F.col("low") < F.col("high")))
-    judged = work.keep(judged.select("key", "doc", "place", "count", "at", "settled"), "judged")
+    judged = work.keep(judged.select("key", "doc", "lo", "packed", "settled"), "judged")
+    del rows
     release(spark)
-    unsettled = judged.where(~F.col("settled")).groupBy("doc").agg(F.collect_list(F.struct("key", "place", "count", "at")).alias("runs"))
-    texts = docs.select(docs["doc_id"].cast("long").alias("i"), docs["text"].cast("string").alias("t"))
-    spans = _span_bytes(texts.join(unsettled, F.col("i") == F.col("doc")).select("i", "t", "runs"), window)
+    unsettled = judged.where(~F.col("settled")).groupBy("doc").agg(F.collect_list(F.struct("key", "lo", "packed")).alias("runs"))
+    spans = _span_bytes(docs.join(unsettled, F.col("i") == F.col("doc")).select("i", "t", "runs"), window)
     spans = spans.repartition("key").sortWithinPartitions("key", "doc")
-    blocks = work.keep(map_batches(spans, lambda b: settle_block(b, window), "doc long, place long, digest binary"), "blocks")
+    blocks = work.keep(map_batches(spans, lambda b: settle_block(b, window), "doc long, lo long, digest binary"), "blocks")
+    del spans
     release(spark)
     edges = blocks.where("digest is not null")
     least = edges.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select(F.col("digest").alias("_d"), "least")
     merged = edges.join(least, F.col("digest") == F.col("_d")).where("doc > least")
-    single = blocks.where("digest is null").select("doc", "place").unionByName(merged.select("doc", "place"))
-    return judged.where("settled").select("doc", "place", F.col("count").cast("int").alias("count")).unionByName(single.withColumn("count", F.lit(1)))
+    single = blocks.where("digest is null").select("doc", "lo").unionByName(merged.select("doc", "lo")).withColumn("count", F.lit(1))
+    count = F.shiftright("packed", 7).bitwiseAND(63).cast("int")
+    return judged.where("settled").select("doc", "lo", count.alias("count")).unionByName(single)
 
 
 def release(spark: SparkSession) -> None:
@@ -297,26 +298,29 @@ def without_repeats(docs: DataFrame, window: int = 50, columns: tuple[str, ...]
     that are left).
 
     Rows with a null id take no part: nothing is removed from them or because of them. A null text is empty. Rows that
-    repeat an id are no earlier documents for each other.
+    repeat an id are no earlier documents for each other; where they differ in text, those with one of the texts take part.
     """
-    found = repeated_windows(docs, window)
-    mine = found.groupBy("doc").agg(F.collect_list(F.struct("place", "count")).alias("gone"))
+    work = Work(docs.sparkSession)
+    usable, several = one_text(docs, work)
+    found = repeated_windows(usable, window, work)
+    mine = found.groupBy("doc").agg(F.collect_list(F.struct("lo", "count")).alias("gone"))
+    same = F.col("_i") == F.col("doc")
+    if several is not None:
+        mine = mine.join(several, F.col("doc") == F.col("_several"), "left")
+        same = same & (F.col("_low").isNull() | (F.xxhash64("_t") == F.col("_low")))
     texts = docs.select(docs["doc_id"].cast("long").alias("_i"), docs["text"].cast("string").alias("_t"), *(docs[c].alias(f"_c{n}") for n, c in enumerate(columns)))
-    rows = texts.join(mine, F.col("_i") == F.col("doc"), "left").drop("doc", "_i")
-    schema = docs.select(*columns).schema
+    rows = texts.join(mine, same, "left").drop("doc", "_i", "_several", "_low")
+    schema = T.StructType(list(docs.select(*columns).schema.fields))
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept", "binary")):
         schema = schema.add(name, kind)
 
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "_t"):
-            texts = texts_as_bytes(part["_t"])
             out = []
-            for text, tag, gone in zip(texts, _tags(texts).tolist(), part["gone"].to_pylist(), strict=True):
-                places = np.array([g["place"] for g in gone or ()], np.int64)
-                counts = np.array([g["count"] for g in gone or ()], np.int64)
-                own = places >> _PLACE == tag
-                if own.any():
-                    mask = covered_bytes(len(text), places[own] & ((1 << _PLACE) - 1), counts[own], window)
+            for text, gone in zip(texts_as_bytes(part["_t"]), part["gone"].to_pylist(), strict=True):
+                if gone:
+                    starts, counts = (np.array([g[c] for g in gone], np.int64) for c in ("lo", "count"))
+                    mask = covered_bytes(len(text), starts, counts, window)
                     spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum())
                     kept = np.frombuffer(text, np.uint8)[~mask].tobytes()
                 else:
