@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of steps whose results are already written.
+
+    The cleaner acts when the driver's JVM finds a step's plan unused, which first takes Python to let go of it; a
+    driver with memory to spare may not look for hours, while the files fill the executors' disks.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def word_count(text: Column | str) -> Column:
     """Number of words of a text; 0 for a null."""
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casebook.llm.common import map_batches, table
-from casebook.llm.suffix_dedup import release
+from casebook.llm.common import map_batches, release, table
 from casebook.sources.work import Work
 
 #: Neighbours of a node in the graph, and of the nodes it is a neighbour of, so many take part in a meeting.

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casebook.llm.common import flat_bytes, map_batches, mix64, slices, table, texts_as_bytes
+from casebook.llm.common import flat_bytes, map_batches, mix64, release, slices, table, texts_as_bytes
 from casebook.sources.work import Work
 
 #: Bytes of an anchor.
@@ -276,14 +276,6 @@ def repeated_windows(docs: DataFrame, window: int = 50, work: Work | None = None
     return judged.where("settled").select("doc", "lo", count.alias("count")).unionByName(single)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove the shuffle files of steps whose results are already written."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def covered_bytes(size: int, starts: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
     """Which of ``size`` bytes the windows cover."""
     change = np.zeros(size + 1, np.int64)
