@@ -109,7 +109,7 @@ def found_runs(docs: DataFrame, window: int) -> DataFrame:
     shuffled, so it is kept narrow."""
 
     def run(batch: pa.RecordBatch):
-        for part in slices(batch, "t", 8 << 20):
+        for part in slices(batch, "t", 3 << 20):
             found = runs(texts_as_bytes(part["t"]), window)
             if not found["n"].size:
                 continue
