@@ -27,7 +27,7 @@ CLASSES = 256
 #: Documents in an enumerated pattern at most.
 PATTERN_DOCS = 3
 #: Pieces sorted in one task while ranks are given.
-CHUNK_ROWS = 200_000
+CHUNK_ROWS = 20_000
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.ndarray:

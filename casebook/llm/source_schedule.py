@@ -27,7 +27,7 @@ MOST_SOURCES = 100_000
 MOST_REPEATS = 3
 #: The golden ratio's fraction of 2**31, rounded to an odd number: t * STEP mod 2**31 visits every value once.
 STEP, CYCLE = 1327217885, 1 << 31
-SLOTS_IN_CHUNK, ROWS_IN_CHUNK = 1_000_000, 100_000
+SLOTS_IN_CHUNK, ROWS_IN_CHUNK = 1_000_000, 5_000
 
 
 def targets(sizes: list[int], weights: list[int], repeats: int = MOST_REPEATS) -> list[float]:
