@@ -102,7 +102,7 @@ def ignored_pattern(patterns: tuple[str, ...]) -> str:
     """One regular expression for names starting with a dot or matching a shell pattern."""
     import fnmatch
 
-    return "|".join([r"^\..*", *(fnmatch.translate(p).replace(r"\Z", r"\z") for p in patterns)])
+    return "|".join([r"^\..*", *("^" + fnmatch.translate(p).replace(r"\Z", r"\z") for p in patterns)])
 
 
 def is_ignored(relative_path: Column, patterns: tuple[str, ...]) -> Column:

@@ -214,7 +214,7 @@ def override_detail(code: Column, old: Column, new: Column) -> Column:
 
 def iso_micros(ts: Column) -> Column:
     """UTC ISO text with microseconds."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def reopen_detail(completed_at: Column, reviewed_by: Column) -> Column:

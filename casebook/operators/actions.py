@@ -48,6 +48,7 @@ def rejection_reason(code_active: Column, case_known: Column) -> Column:
             "invalid case status",
         )
         .when(~case_known, "unknown case")
+        .when(F.col("ts").isNull(), "no action time")
     )
 
 

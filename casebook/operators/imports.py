@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions.names import canonical_filename
-from casebook.functions.text import valid_rotation
+from casebook.functions.text import allowed_upload, valid_rotation
 from casebook.operators.spread import join_salted, prefix_fold
 from casebook.sources.catalog import with_catalog
 
@@ -177,8 +177,15 @@ def judge_requests(
         .when(page_list_problem(F.col("_ids"), F.col("_offered")), "invalid page list")
         .when(F.col("_case_known").isNull(), "unknown case")
         .when(F.exists("pages", lambda p: ~valid_rotation(p["rotation"])), "invalid rotation")
-    )
-    return judged.select(*requests.columns, "_sources", "_pages", reason.alias("reason"))
+        .when(F.exists("_sources", lambda s: ~allowed_upload(s["name"])), "source type not allowed")
+        .when(F.col("requested_at").isNull(), "no request time")
+    )
+    judged = judged.withColumn("reason", reason)
+    # a session is used up by its first request that is fine
+    order = ["requested_at", "case_key", "type_id"]
+    turn = F.row_number().over(Window.partitionBy("token", F.col("reason").isNull()).orderBy(*order))
+    used = F.when(F.col("reason").isNull() & (turn > 1), "session already used")
+    return judged.select(*requests.columns, "_sources", "_pages", F.coalesce("reason", used).alias("reason"))
 
 
 def renames(named: DataFrame) -> DataFrame:

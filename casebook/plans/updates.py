@@ -135,8 +135,12 @@ def submit_actions(
     at: datetime | None = None,
     evidence: DataFrame | None = None,
     batch_id: tuple[str, int] | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
-    """Apply actions to the stored state and publish it; returns the rejected ones."""
+    """Apply actions to the stored state and publish it; returns the rejected ones.
+
+    With ``rejects`` they are also kept in that folder, as parquet, before the state is published.
+    """
     work, draft = Work(store.spark), store.draft()
     result = apply_actions(
         work,
@@ -150,6 +154,8 @@ def submit_actions(
         evidence,
     )
     rejected = Work(store.spark).keep(result.rejected, "rejected")
+    if rejects:
+        rejected.write.mode("overwrite").parquet(rejects)
     draft.append("case_history", result.history)
     draft.replace("cases", result.cases)
     draft.replace("warnings", result.warnings)

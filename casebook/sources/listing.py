@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook import schema
-from casebook.functions.names import stays_inside
+from casebook.functions.names import is_ignored, stays_inside
 from casebook.sources.work import Work
 
 # Shell patterns of names that are never looked at.
@@ -127,7 +127,9 @@ def list_pdfs(
     return files.select(*[f.name for f in schema.LISTING.fields])
 
 
-def listing_from_inventory(inventory: DataFrame, root: str) -> DataFrame:
+def listing_from_inventory(
+    inventory: DataFrame, root: str, ignore: tuple[str, ...] = IGNORED
+) -> DataFrame:
     """A listing from an inventory table (``path``, ``size_bytes``, ``mtime_ns``) with absolute
     paths under ``root``; the way to go for object stores with more files than can be walked."""
     prefix = root.rstrip("/") + "/"
@@ -136,7 +138,7 @@ def listing_from_inventory(inventory: DataFrame, root: str) -> DataFrame:
         inventory.filter(F.startswith("path", F.lit(prefix)))
         .withColumn("relative_path", relative)
         .filter(F.lower("relative_path").endswith(".pdf") & F.contains("relative_path", F.lit("/")))
-        .filter(stays_inside(F.col("relative_path")))
+        .filter(stays_inside(F.col("relative_path")) & ~is_ignored(F.col("relative_path"), ignore))
         .select(
             "relative_path",
             F.substring_index("relative_path", "/", 1).alias("case_key"),
@@ -146,10 +148,18 @@ def listing_from_inventory(inventory: DataFrame, root: str) -> DataFrame:
     )
 
 
-def folders_from_inventory(listing: DataFrame, root: str) -> DataFrame:
-    """The folders that hold at least one listed file."""
+def folders_from_inventory(
+    listing: DataFrame, root: str, case_keys: DataFrame | None = None
+) -> DataFrame:
+    """The folders that hold at least one listed file, and those of ``case_keys`` (``case_key``).
+
+    A listing knows no empty folders: pass the keys of all folders where there may be some.
+    """
     base = root.rstrip("/")
-    return listing.select("case_key").distinct().select(
+    keys = listing.select("case_key")
+    if case_keys is not None:
+        keys = keys.unionByName(case_keys.select("case_key"))
+    return keys.distinct().select(
         "case_key",
         F.concat(F.lit(f"{base}/"), "case_key").alias("folder_path"),
         F.col("case_key").alias("folder_name"),

@@ -17,17 +17,22 @@ def read_action_files(spark: SparkSession, path: str, files_per_batch: int = 100
     )
 
 
-def start(store: StateStore, stream: DataFrame, checkpoint: str, name: str = "actions") -> StreamingQuery:
+def start(store: StateStore, stream: DataFrame, checkpoint: str, name: str = "actions", rejects: str | None = None) -> StreamingQuery:
     """Start applying ``stream``.
 
+    Rejected actions, unreadable lines among them, are kept in ``rejects`` (by default the folder
+    ``<checkpoint>-rejected``), one folder ``batch=<id>`` for each batch.
+
     The published version records the last batch of ``name`` it contains, so a batch that is
     delivered again after a failure is skipped.
     """
 
+    kept = (rejects or f"{checkpoint.rstrip('/')}-rejected").rstrip("/")
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         if store.content().get("batches", {}).get(name, -1) >= batch_id:
             return
-        submit_actions(store, batch, batch_id=(name, batch_id))
+        submit_actions(store, batch, batch_id=(name, batch_id), rejects=f"{kept}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -409,7 +409,11 @@ SQL: dict[str, str] = {
     "canonical_name": """select relative_path, catalog_base || '.pdf' as plain,
         catalog_base || '.' || greatest(file_sequence, 1) || '.pdf' as numbered from {parsed} where status = 'OK'""",
     "path_containment": "select k, k % 3 = 1 as inside from {files}",
-    "path_ignored": "select k, k % 5 in (0, 1, 2) as ignored from {files}",
+    "path_ignored": """select k, coalesce(list_bool_or(list_transform(string_split(path, '/'), lambda s: starts_with(s, '.')
+        or s in ('Thumbs.db', '.DS_Store') or starts_with(s, '~$'))), false) as ignored
+        from (select k, case when k % 5 = 0 then '.x/' when k % 5 = 1 then '~$' when k % 10 = 2 then 'Thumbs.db/'
+          when k % 5 = 2 then 'xThumbs.db/' when k % 10 = 3 then '01.a~$b.pdf/' when k % 10 = 4 then 'thumbs.db/'
+          else '' end || filename as path from {files})""",
     "catalog_normalize": """select id as code, name_vi as name, filename_base,
         case when priority between 1 and 3 then priority else 3 end as priority, true as active,
         'CHUA_XAC_DINH' as default_applicability, split_part(filename_base, '.', 2) as slug from {entries}""",

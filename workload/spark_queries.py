@@ -96,7 +96,10 @@ def path_ignored(i: Inputs) -> DataFrame:
     prefix = (
         F.when(F.col("k") % 5 == 0, ".x/")
         .when(F.col("k") % 5 == 1, "~$")
-        .when(F.col("k") % 5 == 2, "Thumbs.db/")
+        .when(F.col("k") % 10 == 2, "Thumbs.db/")
+        .when(F.col("k") % 5 == 2, "xThumbs.db/")  # near misses
+        .when(F.col("k") % 10 == 3, "01.a~$b.pdf/")
+        .when(F.col("k") % 10 == 4, "thumbs.db/")
         .otherwise("")
     )
     paths = i.view("files").select("k", F.concat(prefix, "filename").alias("path"))
