@@ -69,7 +69,7 @@ class Model:
 
     @functools.cached_property
     def total(self) -> float:
-        return float(self.words.sum())
+        return float(self.words.sum(dtype=np.float64))
 
     def losses(self, words: np.ndarray, pairs: np.ndarray, own_words: np.ndarray, own_pairs: np.ndarray, own_total: np.ndarray) -> np.ndarray:
         """-log p of each token; the ``own`` counts are those to be left out."""
@@ -89,13 +89,30 @@ def _own_counts(cells: np.ndarray, of: np.ndarray, n_cells: int) -> np.ndarray:
     return counts[back]
 
 
+#: Cells that are gathered as one row.
+CHUNK = 1 << 16
+
+
+def _dense(group: pa.Table) -> pa.Table:
+    """Two dense rows of counts for one chunk of cells."""
+    chunk, cell = group["chunk"][0], group["cell"].to_numpy() % CHUNK
+    out = []
+    for column in ("n_target", "n_all"):
+        counts = np.zeros(CHUNK, "<f4")
+        counts[cell] = group[column].to_numpy()
+        out.append(pa.array([counts.tobytes()], pa.binary()))
+    return pa.Table.from_arrays([pa.array([chunk.as_py()], pa.int64()), *out], ["chunk", "n_target", "n_all"])
+
+
 def models(docs: DataFrame) -> tuple[Model, Model]:
     """The target's and the background's model from rows of ``t`` and ``is_target``."""
-    counts = counted(docs).toPandas()  # WORD_CELLS + PAIR_CELLS rows at most
+    chunks = counted(docs).withColumn("chunk", F.floor(F.col("cell") / CHUNK)).groupBy("chunk")
+    rows = chunks.applyInArrow(_dense, "chunk long, n_target binary, n_all binary").collect()  # one for each CHUNK cells
     out = []
     for column in ("n_target", "n_all"):
         cells = np.zeros(WORD_CELLS + PAIR_CELLS, np.float32)
-        cells[counts["cell"].to_numpy()] = counts[column].to_numpy()
+        for row in rows:
+            cells[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row[column], "<f4")
         out.append(Model(cells[:WORD_CELLS], cells[WORD_CELLS:]))
     return out[0], out[1]
 
