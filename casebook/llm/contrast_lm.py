@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import map_batches, mix64, slices, table, texts_as_bytes, word_hashes
+from casebook.llm.common import map_batches, mix64, release, slices, table, texts_as_bytes, word_hashes
 
 #: Cells of single words and of pairs of words.
 WORD_CELLS, PAIR_CELLS = 1 << 18, 1 << 22
@@ -150,8 +150,11 @@ def contrast(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct()
     rows = docs.select(docs["doc_id"].cast("long").alias("i"), docs["text"].cast("string").alias("t"))
-    marked = rows.join(chosen, F.col("i") == F.col("_id"), "left").select("i", "t", F.col("_id").isNotNull().alias("is_target"))
-    return scored(marked, *models(marked))
+    # a merge join at any size: what is shuffled then grows in step with the input
+    marked = rows.join(chosen.hint("merge"), F.col("i") == F.col("_id"), "left").select("i", "t", F.col("_id").isNotNull().alias("is_target"))
+    target, background = models(marked)
+    release(docs.sparkSession)
+    return scored(marked, target, background)
 
 
 def op4_contrast_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
