@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm.common import map_batches, mix64, release, slices, table, texts_as_bytes, word_hashes
+from casebook.sources.work import Work
 
 #: Cells of single words and of pairs of words.
 WORD_CELLS, PAIR_CELLS = 1 << 18, 1 << 22
@@ -152,6 +153,8 @@ def contrast(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].cast("long").alias("i"), docs["text"].cast("string").alias("t"))
     # a merge join at any size: what is shuffled then grows in step with the input
     marked = rows.join(chosen.hint("merge"), F.col("i") == F.col("_id"), "left").select("i", "t", F.col("_id").isNotNull().alias("is_target"))
+    marked = Work(docs.sparkSession).keep(marked, "marked")  # read twice; texts are shuffled once
+    release(docs.sparkSession)
     target, background = models(marked)
     release(docs.sparkSession)
     return scored(marked, target, background)
