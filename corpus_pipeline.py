@@ -23,12 +23,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares most five-word shingles, the one with the least id.
 
-    Documents without words are no duplicates of each other and stay; of rows that repeat an id one is kept.
+    Documents without words are no duplicates of each other and stay, as do rows with a null id. Of rows that repeat both
+    id and text one is kept.
     """
     found = lsh_forest.linked(docs, width=5, per_cent=80)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.select(*COLUMNS).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept
+    marks = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"), F.bool_and("kept").alias("_kept"))
+    marks = Work(spark).keep(marks.where("_id is not null and (_n > 1 or not _kept)"), "marks")
+    rows = docs.select(*COLUMNS)
+    alone = rows.join(marks, F.col("doc_id") == F.col("_id"), "left_anti")
+    again = rows.join(marks.where("_kept"), F.col("doc_id") == F.col("_id"), "left_semi")
+    others = F.min(F.struct("lang", "source", "n_chars")).alias("_other")
+    once = again.groupBy("doc_id", "text").agg(others).select("doc_id", "text", "_other.*")
+    return alone.unionByName(once.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
