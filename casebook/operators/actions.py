@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions.text import override_detail, reopen_detail
 from casebook.operators.checklist import item_status, rollup
-from casebook.operators.spread import join_salted, prefix_fold
+from casebook.operators.spread import prefix_fold
 from casebook.operators.status import auto_status
 from casebook.operators.warnings import active_per_case
 
@@ -58,7 +58,7 @@ def check_actions(actions: DataFrame, cases: DataFrame, catalog: DataFrame) -> C
         catalog.filter("active").select(F.col("code"), F.lit(True).alias("_code_active"))
     )
     known = cases.select("case_key", F.lit(True).alias("_known"))
-    flagged = join_salted(actions.join(codes, "code", "left"), known, ["case_key"], "left", "seq")
+    flagged = actions.join(codes, "code", "left").join(known, "case_key", "left")
     judged = flagged.withColumn(
         "reason",
         rejection_reason(

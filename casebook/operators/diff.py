@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions import names
-from casebook.operators.spread import join_salted
 from casebook.sources.catalog import with_catalog
 
 
@@ -56,12 +55,11 @@ def not_listed(prior: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     return prior.join(listing.select(key), key, "left_anti")
 
 
-def limit_to(df: DataFrame, scope: DataFrame | None, spread: str = "relative_path") -> DataFrame:
+def limit_to(df: DataFrame, scope: DataFrame | None) -> DataFrame:
     """Rows of the cases in ``scope`` (any number of keys); everything without a scope."""
     if scope is None:
         return df
-    by = spread if spread in df.columns else "case_key"
-    return join_salted(df, scope.select("case_key").distinct(), ["case_key"], "left_semi", by)
+    return df.join(scope.select("case_key"), "case_key", "left_semi")
 
 
 def upsert_documents(
@@ -123,13 +121,8 @@ def upsert_documents(
         at.alias("last_seen_at"),
         F.when(unchanged, F.col("p.last_hashed_at")).otherwise(at).alias("last_hashed_at"),
     )
-    gone = join_salted(
-        not_listed(prior, listing, "relative_path"),
-        touched.select("case_key", F.lit(True).alias("_touched")),
-        ["case_key"],
-        "left",
-        "relative_path",
-    ).withColumns(
+    marked = touched.select("case_key", F.lit(True).alias("_touched"))
+    gone = not_listed(prior, listing, "relative_path").join(marked, "case_key", "left").withColumns(
         {
             "is_present": F.col("is_present") & F.col("_touched").isNull(),
             "last_seen_at": F.when(F.col("_touched"), at).otherwise(F.col("last_seen_at")),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions.names import canonical_filename
 from casebook.functions.text import allowed_upload, valid_rotation
-from casebook.operators.spread import join_salted, prefix_fold
+from casebook.operators.spread import prefix_fold
 from casebook.sources.catalog import with_catalog
 
 # Fixed value: an upload session token.
@@ -41,6 +41,18 @@ def existing_numbers(documents: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
+def with_planned(documents: DataFrame, events: DataFrame) -> DataFrame:
+    """What ``existing_numbers`` needs of documents, and the names that earlier batches gave and no scan has seen yet."""
+    planned = events.select(
+        F.concat_ws("/", "case_key", "filename").alias("relative_path"),
+        "case_key",
+        "filename",
+        F.lit(True).alias("is_present"),
+    )
+    unseen = planned.distinct().join(documents.select("relative_path"), "relative_path", "left_anti")
+    return documents.select(unseen.columns).unionByName(unseen)
+
+
 def assign_sequences(
     requests: DataFrame,
     existing: DataFrame,
@@ -53,7 +65,6 @@ def assign_sequences(
     given to an earlier request): the new document is number 2 and the plain one becomes
     number 1 (``rename_from``, ``rename_to``). Neither exists: the plain name.
     """
-    beginning = F.lit("1970-01-01 00:00:00").cast("timestamp")
     asked = requests.select(
         "token",
         "case_key",
@@ -65,14 +76,13 @@ def assign_sequences(
         "case_key",
         "code",
         F.lit("").alias("token"),
-        beginning.alias("requested_at"),
         F.lit(0).alias("_one"),
         F.struct("max_sequence", "plain_exists").alias("_taken"),
     )
     ranked = prefix_fold(
         asked.unionByName(taken, allowMissingColumns=True),
         ["case_key", "code"],
-        ["requested_at", "token"],
+        ["_one", "requested_at", "token"],  # stored names come first
         sums={"_rank": F.col("_one")},
         lasts={"_names": F.col("_taken")},
         keep=keep,
@@ -153,9 +163,16 @@ def _by_name(entries: Column, key: str, value: str) -> Column:
 
 
 def judge_requests(
-    requests: DataFrame, manifests: DataFrame, cases: DataFrame, catalog: DataFrame
+    requests: DataFrame,
+    manifests: DataFrame,
+    cases: DataFrame,
+    catalog: DataFrame,
+    events: DataFrame | None = None,
 ) -> DataFrame:
-    """Requests with their manifest arrays and a ``reason`` (null if accepted)."""
+    """Requests with their manifest arrays and a ``reason`` (null if accepted).
+
+    ``events``: the stored provenance; a session of which it holds a row is used up.
+    """
     m = manifests.select(
         "token",
         F.col("case_key").alias("_m_case"),
@@ -163,7 +180,9 @@ def judge_requests(
         F.col("pages").alias("_pages"),
     )
     known_cases = cases.filter("is_present").select("case_key", F.lit(True).alias("_case_known"))
-    joined = join_salted(requests.join(m, "token", "left"), known_cases, ["case_key"], "left", "token")
+    spent = None if events is None else events.select("token", F.lit(True).alias("_spent")).distinct()
+    joined = requests.join(m, "token", "left").join(known_cases, "case_key", "left")
+    joined = joined.withColumn("_spent", F.lit(False)) if spent is None else joined.join(spent, "token", "left")
     judged = with_catalog(joined, catalog, "type_id").withColumns(
         {
             "_ids": F.transform("pages", lambda p: p["id"]),
@@ -179,6 +198,7 @@ def judge_requests(
         .when(F.exists("pages", lambda p: ~valid_rotation(p["rotation"])), "invalid rotation")
         .when(F.exists("_sources", lambda s: ~allowed_upload(s["name"])), "source type not allowed")
         .when(F.col("requested_at").isNull(), "no request time")
+        .when(F.col("_spent"), "session already used")
     )
     judged = judged.withColumn("reason", reason)
     # a session is used up by its first request that is fine

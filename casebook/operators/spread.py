@@ -1,5 +1,8 @@
-"""Joins, counts and running folds that stay balanced when one key holds a large share of
-the rows. The common idea: split a key into pieces, work on the pieces, combine their totals."""
+"""Counts and running folds that stay balanced when one key holds a large share of the rows.
+
+Joins of many rows to a table that is unique on the key are plain joins on the left side's key: adaptive execution splits a
+hot partition of the left side, by its measured size, and repeats only the matching rows of the other side.
+"""
 
 from __future__ import annotations
 
@@ -8,56 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_SALTS = 64
-HOT_ROWS = 100_000
-HOT_SHARE = 1000
-
-
-def salt_count(df: DataFrame) -> int:
-    """Pieces a key is split into; more than there are shuffle partitions would not help."""
-    return min(MAX_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def salt_of(spread: str, salts: int) -> Column:
-    """Piece of a row. A hash of ``spread``, so a repeated task puts the row in the same piece."""
-    return F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-
 
-def join_salted(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, spread: str) -> DataFrame:
-    """Join many ``facts`` rows to a narrow ``dim`` that is unique on ``keys``.
-
-    The rows of a key are split by ``spread`` (a fact column that differs between them) and
-    every ``dim`` row is repeated for each piece, so a key that holds a third of all rows is
-    worked on by many tasks. Adaptive skew handling can split the pieces further.
-    """
-    salts = salt_count(facts)
-    salted = facts.withColumn("_salt", salt_of(spread, salts))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-def count_in_group(rows: DataFrame, keys: list[str], spread: str, name: str) -> DataFrame:
+def count_in_group(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Add the number of rows sharing ``keys``, however many there are.
 
-    The counts combine before their shuffle; only groups of two or more are joined back. Hot
-    groups are split into pieces: a group is hot if it has more than HOT_ROWS rows and more
-    than 1/HOT_SHARE of all, so there are fewer than HOT_SHARE of them at any data size,
-    which bounds the broadcast that tells their rows apart.
+    The counts combine before their shuffle, and only groups of two or more are joined back. The hash as a further join
+    key has the counts shuffled anew: adaptive execution splits a hot group only where both sides come from a shuffle.
     """
-    salts = salt_count(rows)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    is_hot = (F.col("_n") > HOT_ROWS) & (F.col("_n") * HOT_SHARE > total)
-    hot = F.broadcast(counts.filter(is_hot).select(*keys, F.lit(True).alias("_hot")))
-    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = counts.filter("_n > 1").withColumn("_salt", F.explode(pieces))
-    return (
-        rows.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), salt_of(spread, salts)).otherwise(0))
-        .join(repeated, [*keys, "_salt"], "left")
-        .withColumn(name, F.coalesce("_n", F.lit(1).cast("bigint")))
-        .drop("_hot", "_salt", "_n")
-    )
+    own = F.xxhash64(*keys)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").withColumn("_hash", own)
+    joined = rows.withColumn("_hash", own).join(counts, [*keys, "_hash"], "left")
+    return joined.withColumn(name, F.coalesce("_n", F.lit(1).cast("bigint"))).drop("_n", "_hash")
 
 
 def prefix_fold(

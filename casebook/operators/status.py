@@ -159,8 +159,8 @@ def recompute(
         limit_to(documents, scope),
         catalog,
         limit_to(overrides, scope),
-        limit_to(warnings, scope, "fingerprint"),
-        None if evidence is None else limit_to(evidence, scope, "type_id"),
+        limit_to(warnings, scope),
+        None if evidence is None else limit_to(evidence, scope),
     )
     if keep is not None:
         figures = keep(figures, "figures")

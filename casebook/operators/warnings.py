@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions import names
 from casebook.functions.text import fingerprint
-from casebook.operators.spread import count_in_group, join_salted
+from casebook.operators.spread import count_in_group
 from casebook.sources.catalog import with_catalog
 
 # Message texts; %s is the folder name, file name or code.
@@ -42,7 +42,7 @@ def with_duplicate_count(documents: DataFrame, keys: list[str], digest: str, row
     # Rows without a digest get a group each.
     own = F.when(F.col(digest).isNull(), F.col(row_id).cast("string"))
     grouped = documents.withColumn("_group", F.coalesce(digest, own))
-    return count_in_group(grouped, [*keys, "_group"], row_id, "copies").drop("_group")
+    return count_in_group(grouped, [*keys, "_group"], "copies").drop("_group")
 
 
 def folder_warnings(folders: DataFrame) -> DataFrame:
@@ -151,13 +151,8 @@ def merge_warnings(
     if scanned is None:
         stored = prior.withColumn("_scanned", F.lit(False))
     else:
-        stored = join_salted(
-            prior,
-            scanned.select("case_key", F.lit(True).alias("_scanned")),
-            ["case_key"],
-            "left",
-            "fingerprint",
-        ).withColumn("_scanned", F.coalesce("_scanned", F.lit(False)))
+        marked = scanned.select("case_key", F.lit(True).alias("_scanned"))
+        stored = prior.join(marked, "case_key", "left").withColumn("_scanned", F.coalesce("_scanned", F.lit(False)))
     p, c = stored.alias("p"), candidates.alias("c")
     raised = F.col("c.case_key").isNotNull()
     merged = p.join(c, "fingerprint", "full_outer")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions.text import UNDETERMINED, ascii_like, ascii_lower, mean2, or_else
-from casebook.operators.spread import join_salted
 
 ACTION_STATUSES = ("CAN_BO_SUNG", "DANG_SO_HOA", "CHO_KIEM_TRA")
 ACTION_ROWS = 10
@@ -332,6 +331,4 @@ def require_case(cases: DataFrame, key: str) -> DataFrame:
 
 def warnings_of_cases(warnings: DataFrame, cases: DataFrame) -> DataFrame:
     """Active warnings of the present cases."""
-    return join_salted(
-        warnings.filter("active"), present(cases).select("case_key"), ["case_key"], "left_semi", "fingerprint"
-    )
+    return warnings.filter("active").join(present(cases).select("case_key"), "case_key", "left_semi")

@@ -53,7 +53,7 @@ def replay_actions(
     facts = type_facts(
         limit_to(documents, acted),
         limit_to(overrides, acted),
-        None if evidence is None else limit_to(evidence, acted, "type_id"),
+        None if evidence is None else limit_to(evidence, acted),
     )
     facts = work.keep(facts, "action_facts")
     changes = work.keep(actions.override_changes(accepted, facts, catalog, work.keep), "action_changes")
@@ -63,7 +63,7 @@ def replay_actions(
         limit_to(cases, acted),
         facts,
         catalog,
-        limit_to(warnings, acted, "fingerprint"),
+        limit_to(warnings, acted),
         work.keep,
     )
 
@@ -111,14 +111,19 @@ def plan_imports(
     cases: DataFrame,
     catalog: DataFrame,
     at: Column,
+    events: DataFrame | None = None,
 ) -> ImportPlan:
     """Names, renames, provenance rows and rejects for a batch of import requests.
 
+    ``events`` holds the provenance of earlier batches: their names count as taken until a scan has seen the files, and
+    their sessions as used up.
+
     The parts read tables kept in ``work``; drop that once they have been used.
     """
-    judged = work.keep(imports.judge_requests(requests, manifests, cases, catalog), "judged")
+    judged = work.keep(imports.judge_requests(requests, manifests, cases, catalog, events), "judged")
     accepted = judged.filter("reason is null")
-    taken = imports.existing_numbers(documents, catalog)
+    known = documents if events is None else imports.with_planned(documents, events)
+    taken = imports.existing_numbers(known, catalog)
     named = work.keep(imports.assign_sequences(accepted, taken, catalog, work.keep), "named")
     return ImportPlan(
         names=named.drop("rename_from", "rename_to"),
@@ -178,6 +183,7 @@ def submit_imports(
         draft.read("cases"),
         pin(draft.read("catalog")),
         moment(at or datetime.now(timezone.utc)),
+        draft.read("import_events"),
     )
     draft.append("import_events", plan.provenance)
     draft.publish()

@@ -50,20 +50,38 @@ def test_prefix_fold_equals_a_loop(spark):
     assert got == want
 
 
-def test_salted_join_and_group_count(spark):
+def test_group_count(spark):
     facts = spark.createDataFrame([("hot" if n % 3 else f"k{n % 7}", n) for n in range(300)], "k string, id int")
-    dim = spark.createDataFrame([("hot", 1), ("k0", 2), ("k1", 3)], "k string, x int")
-    for how in ("left", "inner", "left_semi", "left_anti"):
-        salted = spread.join_salted(facts, dim, ["k"], how, "id")
-        assert sorted(map(str, salted.collect())) == sorted(map(str, facts.join(dim, ["k"], how).collect()))
-    counted = {r["id"]: r["n"] for r in spread.count_in_group(facts, ["k"], "id", "n").collect()}
+    counted = {r["id"]: r["n"] for r in spread.count_in_group(facts, ["k"], "n").collect()}
     sizes = {r["k"]: r["count"] for r in facts.groupBy("k").count().collect()}
     assert counted == {r["id"]: sizes[r["k"]] for r in facts.collect()}
 
 
-def test_hot_groups_are_split_and_counted_exactly(spark, monkeypatch):
-    monkeypatch.setattr(spread, "HOT_ROWS", 20)
-    monkeypatch.setattr(spread, "HOT_SHARE", 5)
+def test_hot_groups_are_split_at_run_time(spark):
+    """A group with most of the rows is joined to its count in several tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 900))
+        rows = spark.range(0, 60_000, 1, 8).select(key.alias("k"), "id")
+        counted = spread.count_in_group(rows, ["k"], "n")
+        got = {(r["k"] == "hot", r["n"]) for r in counted.collect()}
+        assert (True, 40_000) in got and len({n for hot, n in got if hot}) == 1
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_copies_are_counted_within_their_case(spark):
     rows = [("hot", "h", n) for n in range(120)] + [(f"k{n % 40}", f"d{n % 3}", 1000 + n) for n in range(150)]
     rows += [("hot", None, 5000 + n) for n in range(30)]
     df = spark.createDataFrame(rows, "case_key string, sha256 string, id int")
