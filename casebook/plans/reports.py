@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions.text import UNDETERMINED, ascii_like, ascii_lower, mean2, or_else
+from casebook.operators.spread import prefix_fold
 
 ACTION_STATUSES = ("CAN_BO_SUNG", "DANG_SO_HOA", "CHO_KIEM_TRA")
 ACTION_ROWS = 10
@@ -166,13 +168,19 @@ def filter_cases(cases: DataFrame, f: CaseFilter, warnings: DataFrame | None = N
     return chosen
 
 
+def sort_value(sort: str) -> tuple[Column, bool]:
+    """What the case list is sorted by, and whether it descends."""
+    ascending = {
+        "progress": F.col("progress_percent"),
+        "name": ascii_lower(F.coalesce("person_name_display", "folder_name")),
+    }
+    return (ascending[sort], False) if sort in ascending else (F.col("last_scanned_at"), True)
+
+
 def sort_columns(sort: str) -> list[Column]:
     """Sort order of the case list; the case key breaks ties."""
-    order = {
-        "progress": F.asc("progress_percent"),
-        "name": F.asc(ascii_lower(F.coalesce("person_name_display", "folder_name"))),
-    }.get(sort, F.desc("last_scanned_at"))
-    return [order, F.asc("case_key")]
+    value, descending = sort_value(sort)
+    return [value.desc() if descending else value.asc(), F.asc("case_key")]
 
 
 def clamp_page(page: int, page_size: int, total: int) -> tuple[int, int, int]:
@@ -198,6 +206,22 @@ def page_rows(chosen: DataFrame, sort: str, page: int, page_size: int) -> DataFr
     return chosen.orderBy(*sort_columns(sort)).offset((page - 1) * page_size).limit(page_size)
 
 
+def page_after(chosen: DataFrame, sort: str, value: object, key: str, page_size: int) -> DataFrame:
+    """The rows that follow the one with this ``sort_value`` (None for a null) and case key.
+
+    Tasks keep ``page_size`` rows however far the page lies; ``page_rows`` keeps all pages before it too.
+    """
+    by, descending = sort_value(sort)
+    tie = by.eqNullSafe(F.lit(value)) & (F.col("case_key") > key)
+    if value is None:  # nulls are the least values
+        later = F.lit(False) if descending else by.isNotNull()
+    elif descending:
+        later = (by < F.lit(value)) | by.isNull()
+    else:
+        later = by > F.lit(value)
+    return chosen.filter(later | tie).orderBy(*sort_columns(sort)).limit(page_size)
+
+
 def case_page(
     cases: DataFrame,
     f: CaseFilter,
@@ -252,6 +276,20 @@ def present_documents(documents: DataFrame) -> DataFrame:
     return documents.filter("is_present")
 
 
+def severity_rank() -> Column:
+    """0 for WARNING, which a case's detail shows before ERROR, else 1."""
+    return F.when(F.col("severity") == "WARNING", 0).otherwise(1)
+
+
+def numbered(rows: DataFrame, order: list[str], keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Rows with their ``position`` (from 1) among the rows of their case, of which there may be any number.
+
+    ``order`` must be unique within a case.
+    """
+    folded = prefix_fold(rows, ["case_key"], order, sums={"_before": F.lit(1)}, lasts={}, keep=keep)
+    return folded.withColumn("position", (F.col("_before") + 1).cast("bigint")).drop("_before")
+
+
 def recent_history(history: DataFrame, rows: int = HISTORY_ROWS) -> DataFrame:
     """The newest audit rows of every case (``position`` 1 is the newest).
 
@@ -312,10 +350,7 @@ def case_detail(
     return CaseDetail(
         case=one_case(cases, key),
         documents=documents.filter(here & F.col("is_present")).orderBy("relative_path"),
-        # Severity descends alphabetically, so WARNING comes before ERROR.
-        warnings=warnings.filter(here & F.col("active")).orderBy(
-            F.desc("severity"), "created_at", "fingerprint"
-        ),
+        warnings=warnings.filter(here & F.col("active")).orderBy(severity_rank(), "created_at", "fingerprint"),
         history=history.filter(here).orderBy(F.desc("created_at"), F.desc("seq")),
         checklist=checklist(one_case(cases, key), facts, catalog).orderBy("priority", "code"),
     )

@@ -78,6 +78,27 @@ def test_top_rows_are_limited_before_the_shuffle(store):
     assert "TakeOrderedAndProject" in plan(reports.action_queue(store.read("cases")))
 
 
+def test_pages_after_a_row_keep_one_page(store):
+    number = F.substring("case_key", 2, 9).cast("int")
+    cases = store.read("cases").withColumns(
+        {
+            "progress_percent": F.when(number % 7 > 0, (number % 3).cast("double")),
+            "last_scanned_at": F.when(number % 5 > 0, F.timestamp_seconds(number % 4)),
+        }
+    )
+    for sort, field in (("progress", "progress_percent"), ("updated", "last_scanned_at")):
+        whole = [(r["case_key"], r[field]) for r in cases.orderBy(*reports.sort_columns(sort)).collect()]
+        seen = whole[:1]
+        while len(seen) < len(whole):
+            key, value = seen[-1]
+            page = reports.page_after(cases, sort, value, key, 20)
+            assert "TakeOrderedAndProject(limit=20," in plan(page)
+            found = [(r["case_key"], r[field]) for r in page.collect()]
+            assert found
+            seen += found
+        assert seen == whole
+
+
 def test_require_case(store):
     assert reports.require_case(store.read("cases"), "c1").count() == 1
     with pytest.raises(LookupError):

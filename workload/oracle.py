@@ -526,6 +526,8 @@ SQL: dict[str, str] = {
     "case_filter_total": f"select count(*) as total from {{cases}} where {search('nguyen')} and {ACTIVE}",
     "case_page_name": f"""select {SHOWN} from {{cases}} where is_present
         order by {FOLD % 'coalesce(person_name_display, case_key)'}, case_key limit 50 offset 100""",
+    "case_page_after": f"""select {SHOWN} from {{cases}} where is_present
+        order by {FOLD % 'coalesce(person_name_display, case_key)'}, case_key limit 50 offset 100""",
     "case_page_progress": f"""select {SHOWN} from {{cases}} where is_present
         order by progress_percent, case_key limit 50 offset 50""",
     "case_page_updated": f"""select {SHOWN} from {{cases}} where is_present
@@ -549,6 +551,11 @@ SQL: dict[str, str] = {
     "detail_warnings": """select w.case_key, fingerprint, severity, l.label, message
         from {warnings} w join {label} l on l.value = w.warning_type
         where active and w.case_key in (select case_key from {cases} where is_present)""",
+    "detail_documents_order": """select case_key, relative_path,
+        row_number() over (partition by case_key order by relative_path) as position from {documents_previous} where is_present""",
+    "detail_warnings_order": """select case_key, fingerprint,
+        row_number() over (partition by case_key order by severity desc, created_at, fingerprint) as position
+        from {warnings} where active""",
     "detail_history_top12": """select case_key, position, seq, l.label, detail from (
         select *, row_number() over (partition by case_key order by created_at desc, seq desc) as position
         from {history}) h join {label} l on l.value = h.event_type where position <= 12""",

@@ -551,6 +551,16 @@ def case_page_updated(i: Inputs) -> DataFrame:
     return paged(i, "updated", 1)
 
 
+@query
+def case_page_after(i: Inputs) -> DataFrame:
+    """The page after the last row of page 2."""
+    chosen = reports.filter_cases(cases(i), reports.CaseFilter())
+    value, _ = reports.sort_value("name")
+    before = reports.page_rows(chosen, "name", 2, 50)
+    last = before.agg(F.max(F.struct(value.alias("value"), "case_key")).alias("last")).first()["last"]
+    return reports.page_after(chosen, "name", last["value"], last["case_key"], 50).select(*SHOWN)
+
+
 @query
 def page_clamp(i: Inputs) -> DataFrame:
     asked = i.table("orders").select(
@@ -605,6 +615,22 @@ def detail_warnings(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def detail_documents_order(i: Inputs) -> DataFrame:
+    shown = reports.present_documents(documents_previous(i)).select("case_key", "relative_path")
+    return reports.numbered(shown, ["relative_path"], i.work.keep)
+
+
+@query
+def detail_warnings_order(i: Inputs) -> DataFrame:
+    shown = i.view("warnings").filter("active").select(
+        "case_key", reports.severity_rank().alias("rank"), "created_at", "fingerprint"
+    )
+    return reports.numbered(shown, ["rank", "created_at", "fingerprint"], i.work.keep).select(
+        "case_key", "fingerprint", "position"
+    )
+
+
 @query
 def detail_history_top12(i: Inputs) -> DataFrame:
     return reports.recent_history(i.view("history")).select(
