@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -253,6 +255,39 @@ def test_losses_prefer_the_target(spark, docs):
     assert contrast_lm.contrast(table.limit(0), spark.range(0).select(F.col("id").alias("doc_id"))).count() == 0
 
 
+@pytest.mark.parametrize("block", [8 << 20, 3000])
+def test_contrast_counts_every_word_and_pair_by_itself(spark, monkeypatch, block):
+    monkeypatch.setattr(contrast_lm, "BLOCK_BYTES", block)
+    monkeypatch.setattr(contrast_lm, "BUCKET_BYTES", block)
+    rng = random.Random(8)
+    # more distinct words than 2^18, so that fewer cells than words would mix up unrelated ones
+    rows = [(k, " ".join([*(f"w{rng.randrange(1 << 30)}" for _ in range(10)), *(f"c{rng.randrange(9)}" for _ in range(6))])) for k in range(200 if block < 8 << 20 else 30000)]
+    rows += [(5, rows[5][1]), (None, "c1 c2 c1"), (-1, None), (-2, " ")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = contrast_lm.contrast(table, spark.range(0, len(rows), 3).select(F.col("id").alias("doc_id"))).collect()
+    assert len(got) == len(rows)
+    words, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for i, t in rows:
+        w = (t or "").split()
+        for row in (0, 1) if i is not None and i >= 0 and i % 3 == 0 else (1,):
+            words[row].update(w)
+            pairs[row].update(zip(w, w[1:]))  # noqa: B905
+    text, size = dict(rows), len(words[1])
+    for r in [x for x in got if x["doc_id"] is None or x["doc_id"] < 60]:
+        w = (text[r["doc_id"]] or "").split()
+        assert r["n_tokens"] == len(w) and (r["score"] is None) == (not w)
+        for row, name in enumerate(["target_loss", "background_loss"]) if w else ():
+            inside = row or (r["doc_id"] is not None and r["doc_id"] % 3 == 0)
+            own, own_pairs = (Counter(w), Counter(zip(w, w[1:]))) if inside else (Counter(), Counter())  # noqa: B905
+            loss = 0.0
+            for k, x in enumerate(w):
+                p = (words[row][x] - own[x] + 0.1) / (words[row].total() - own.total() + 0.1 * size)
+                if k and (before := words[row][w[k - 1]] - own[w[k - 1]]):
+                    p = 0.6 * (pairs[row][w[k - 1], x] - own_pairs[w[k - 1], x]) / before + 0.4 * p
+                loss -= math.log(p)
+            assert r[name] == pytest.approx(loss / len(w), rel=1e-9)
+
+
 def test_pipeline_stages_return_documents(spark, docs, tmp_path):
     import corpus_pipeline
 
