@@ -1,12 +1,12 @@
 """Near-duplicates by an LSH forest over MinHash signatures.
 
 Each tree orders the documents by a sequence of min-hashes of its own. A region is the set of documents that share a
-prefix of that sequence. Every region of the least depth is looked at; one with more than ``BLOCK`` documents is divided
-by the following min-hashes, as deep as it takes, so depth follows how crowded the region is. Candidates are
+prefix of that sequence. Candidates are
 
-  1. in every region, at every depth that was needed: each document and the region's first document;
-  2. in every region that then still holds more than one component: all pairs of different components (a region of the
-     final depth has at most ``BLOCK`` documents).
+  1. in every region: each document and the region's first document. A region with more than ``BLOCK`` documents is also
+     divided by the following min-hashes, as deep as it takes, so that what is most alike is linked early;
+  2. in every region of the least depth that then still holds more than one component: all pairs of different components,
+     however many documents it has. Its documents are dealt to blocks, and every two blocks are compared in a task.
 
 Documents with equal shingle sets are one node from the start, so copies cost nothing here. Each candidate whose
 signatures do not rule it out is confirmed on the full shingle sets of the texts, and confirmed links make components.
@@ -29,8 +29,10 @@ TREES, LABEL = 16, 6
 HASHES = TREES * LABEL
 #: Depths of regions, from the least on; a depth beyond LABEL goes on with the next tree's min-hashes.
 DEPTHS = (3, 4, 5, 6, 8, 12, 24, HASHES)
-#: Documents in a region that is compared pair by pair.
-BLOCK = 64
+#: Documents of a block; a region with more is several blocks, and each is compared with each.
+BLOCK = 128
+#: Pairs of two blocks from which on each of their texts is sent once and not for each pair.
+MANY = 256
 #: Signatures estimate the similarity with a deviation of at most 0.051; a pair is ruled out at this much below.
 MARGIN = 0.22
 _rng = np.random.default_rng(20)
@@ -137,21 +139,64 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, per_cent: int) ->
 
 
 def _different(rows: DataFrame, least: float) -> DataFrame:
-    """Pairs u > v of different components within a region whose signatures agree in at least a share ``least``."""
-    blocks = rows.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("node", "component", "signature"))).alias("in")).select("in")
+    """``u``, ``v`` and ``cell``: pairs u > v of different components within a region (rows of region, its ``size``, node,
+    component and signature) whose signatures agree in at least a share ``least``, each with one of the cells (a region
+    and two of its blocks) in which it was met."""
+    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = rows.withColumn("n", n_blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    blocks = dealt.groupBy("region", "n", "block").agg(F.collect_list(F.struct("node", "component", "signature")).alias("in"))
+    sent = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    sent = sent.select("region", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "in")
+    met = sent.groupBy("region", "a", "b").agg(F.collect_list("in").alias("blocks")).where((F.col("a") == F.col("b")) | (F.size("blocks") == 2))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        us, vs = [], []
-        for block in batch["in"].to_pylist():
-            marks = np.frombuffer(b"".join(x["signature"] for x in block), "<u2").reshape(-1, HASHES)
-            nodes, own = np.array([x["node"] for x in block]), np.array([x["component"] for x in block])
-            for k in range(1, len(block)):
-                near = ((marks[:k] == marks[k]).mean(1) >= least) & (own[:k] != own[k])
-                us += [int(nodes[k])] * int(near.sum())
-                vs += nodes[:k][near].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+    def run(batch: pa.RecordBatch):
+        names = ["region", "a", "b"]
+        for n in range(batch.num_rows):
+            sides = []
+            for block in batch["blocks"][n].as_py():
+                marks = np.frombuffer(b"".join(x["signature"] for x in block), "<u2").reshape(-1, HASHES)
+                sides.append((marks, np.array([x["node"] for x in block]), np.array([x["component"] for x in block])))
+            (marks, nodes, own), (marks_2, nodes_2, own_2) = sides[0], sides[-1]
+            us, vs = [], []
+            for k in range(len(nodes)):
+                to = k if len(sides) == 1 else len(nodes_2)
+                near = ((marks_2[:to] == marks[k]).mean(1) >= least) & (own_2[:to] != own[k])
+                found = nodes_2[:to][near]
+                us.append(np.maximum(found, nodes[k]))
+                vs.append(np.minimum(found, nodes[k]))
+            u, v = np.concatenate(us), np.concatenate(vs)
+            if u.size:
+                cell = [pa.array(np.full(u.size, batch[c][n].as_py(), np.int64)) for c in names]
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), *cell], ["u", "v", *names])
+
+    pairs = map_batches(met, run, "u long, v long, region long, a long, b long")
+    return pairs.groupBy("u", "v").agg(F.min(F.struct("region", "a", "b")).alias("cell"))
+
+
+def _confirmed_in_cells(pairs: DataFrame, texts: DataFrame, width: int, per_cent: int, work: Work) -> DataFrame:
+    """As _confirmed, for pairs with a ``cell``: where a cell has MANY pairs, its texts are sent there once."""
+    size = pairs.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") >= MANY).select("cell")
+    crowded = work.keep(pairs.join(size, "cell"), "crowded-pairs")
+    few = _confirmed(pairs.join(size, "cell", "left_anti").select("u", "v"), texts, width, per_cent)
+    if not crowded.take(1):
+        return few
+    members = crowded.select("cell", F.col("u").alias("node")).unionByName(crowded.select("cell", F.col("v").alias("node"))).distinct()
+    there = members.join(texts, F.col("node") == F.col("doc_id")).select(F.col("cell").alias("_cell"), "node", F.col("text").alias("t"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        sets: dict[int, np.ndarray] = {}
+        for batch in right.select(["node", "t"]).to_batches():
+            for part in slices(batch, "t"):
+                for node, text in zip(part["node"].to_pylist(), texts_as_bytes(part["t"]), strict=True):
+                    sets[node] = shingles(text, width)
+        alike = []
+        for u, v in zip(left["u"].to_pylist(), left["v"].to_pylist(), strict=True):
+            common = np.intersect1d(sets[u], sets[v], assume_unique=True).size
+            alike.append(common > 0 and 100 * common >= per_cent * (sets[u].size + sets[v].size - common))
+        return left.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
 
-    return map_batches(blocks, run, "u long, v long").distinct()
+    both = crowded.groupBy("cell").cogroup(there.groupBy("_cell"))
+    return few.unionByName(both.applyInArrow(run, "u long, v long"))
 
 
 def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | None = None) -> DataFrame:
@@ -169,27 +214,24 @@ def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | Non
     nodes = classes.groupBy("node").agg(F.min("signature").alias("signature"))
     of = lambda name, mark: nodes.select(F.col("node").alias(name), F.col("signature").alias(mark))
 
-    stars, final = [], []
+    stars, regions = [], None
     now = work.keep(_regions(nodes, DEPTHS[0], True), "regions")
     for depth in DEPTHS:
         size = now.groupBy("region").agg(F.count("*").alias("size"), F.min("node").alias("head")).where("size > 1")
         now = work.keep(now.join(size, "region"), f"depth-{depth}")
         stars.append(now.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")))
-        final.append(now.where(F.col("size") <= BLOCK).select("region", "node"))
+        regions = regions or now.select("region", "size", "node")
         crowded = now.where(F.col("size") > BLOCK).select("node", "tree")
         if depth == DEPTHS[-1] or not crowded.take(1):
             break
         deeper = DEPTHS[DEPTHS.index(depth) + 1]
         now = work.keep(_regions(crowded.join(nodes, "node").select("node", "tree", "signature"), deeper, False), f"regions-{deeper}")
-    pairs, regions = stars[0].distinct(), final[0]
+    pairs = stars[0].distinct()
     for more in stars[1:]:
         pairs = pairs.unionByName(more.distinct())
-    for more in final[1:]:
-        regions = regions.unionByName(more)
     pairs = _plausible(pairs.distinct().join(of("u", "mark_u"), "u").join(of("v", "mark_v"), "v"), least)
     pairs = work.keep(pairs, "first-pairs")
 
-    regions = work.keep(regions, "blocks")
     wanted = regions.select("node").unionByName(pairs.select(F.col("u").alias("node"))).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     once = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     texts = once.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
@@ -197,13 +239,13 @@ def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | Non
     links = work.keep(_confirmed(pairs, texts, width, per_cent), "first-links")
 
     found = components(links, work).select(F.col("node").alias("_node"), "component")
-    in_regions = regions.join(found, F.col("node") == F.col("_node"), "left").select("region", "node", F.coalesce("component", "node").alias("component"))
+    in_regions = regions.join(found, F.col("node") == F.col("_node"), "left").select("region", "size", "node", F.coalesce("component", "node").alias("component"))
     in_regions = work.keep(in_regions, "in-regions")
     mixed = in_regions.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
     open_rows = in_regions.join(mixed, "region", "left_semi").join(nodes, "node")
     more = work.keep(_different(open_rows, least), "more-pairs")
     if more.take(1):
-        links = links.unionByName(_confirmed(more, texts, width, per_cent))
+        links = work.keep(links.unionByName(_confirmed_in_cells(more, texts, width, per_cent, work)), "links")
         found = components(links, work).select(F.col("node").alias("_node"), "component")
 
     named = classes.join(found, F.col("node") == F.col("_node"), "left")

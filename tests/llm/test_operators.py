@@ -255,6 +255,28 @@ def test_losses_prefer_the_target(spark, docs):
     assert contrast_lm.contrast(table.limit(0), spark.range(0).select(F.col("id").alias("doc_id"))).count() == 0
 
 
+def test_links_within_a_crowded_template_are_found(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "BLOCK", 8)
+    monkeypatch.setattr(lsh_forest, "MANY", 16)
+    rng = random.Random(4)
+    base, rows = [f"t{k}" for k in range(400)], []
+    for k in range(300):  # about 0.7 alike to each other
+        rows.append((k, [*base, *(f"d{k}-{n}" for n in range(85))]))
+    for k in range(60):  # about 0.81 alike to one of them
+        rows.append((1000 + k, [*rows[rng.randrange(300)][1][:-50], *(f"p{k}-{n}" for n in range(50))]))
+    rng.shuffle(rows)
+    sets = {i: set(zip(w, w[1:])) for i, w in rows}  # noqa: B905
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and root[i] != root[j] and 100 * len(both := sets[i] & sets[j]) >= 80 * (len(sets[i]) + len(sets[j]) - len(both)):
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    assert 200 < len(set(root.values())) < 360
+    found = lsh_forest.linked(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), width=2, per_cent=80)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == root
+
+
 @pytest.mark.parametrize("block", [8 << 20, 3000])
 def test_contrast_counts_every_word_and_pair_by_itself(spark, monkeypatch, block):
     monkeypatch.setattr(contrast_lm, "BLOCK_BYTES", block)
