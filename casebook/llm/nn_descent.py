@@ -10,7 +10,7 @@ round, until the list has none left or the rounds are over.
 
 Nearness is the inner product. With one more component that brings all vectors to the length of the longest, the largest
 inner product with a query is the nearest of these vectors too, so norms may differ. Graph and search work on components
-rounded to bytes; what they find is scored exactly, in double precision, on the original vectors. Equal vectors are one
+rounded to bytes on each vector's own scale, so a long vector doesn't blur the others; what they find is scored exactly, in double precision, on the original vectors. Equal vectors are one
 node.
 """
 
@@ -44,26 +44,43 @@ def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return found.groupBy("id").agg(F.min("vector").alias("vector"))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1).astype(np.float32)
+#: Bytes of a code after its components: their scale, what the fill-up component lacks to the longest norm, and that
+#: times the longest norm, as float32.
+TAIL = 12
 
 
-def coded(nodes: DataFrame, longest: float, largest: float, seed: int) -> DataFrame:
-    """``node``, ``code`` (components as bytes, and one more that fills up to the longest norm) and, as ``places``, the
-    node's place in STARTS random orders."""
+def _matrix(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Components, and the two figures of the fill-up component, of each code."""
+    raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
+    tail = np.ascontiguousarray(raw[:, -TAIL:]).view("<f4")
+    return raw[:, :-TAIL].view(np.int8).astype(np.float32) * tail[:, :1], tail[:, 1], tail[:, 2]
+
+
+def _products(codes: list[bytes]) -> np.ndarray:
+    """Inner products of all codes with the fill-up component, less the square of the longest norm."""
+    x, lack, by_longest = _matrix(codes)
+    return x @ x.T + np.outer(lack, lack) - by_longest[:, None] - by_longest[None, :]
+
+
+def coded(nodes: DataFrame, longest: float, seed: int) -> DataFrame:
+    """``node``, ``code`` (components as bytes, their scale, and how far the component that fills up to the longest norm
+    is from it) and, as ``places``, the node's place in STARTS random orders."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = np.array(batch["vector"].to_pylist(), np.float64)
-        more = np.sqrt(np.maximum(0.0, longest**2 - (x * x).sum(1)))
-        full = np.concatenate([x, more[:, None]], 1)
-        code = np.rint(full * (127 / max(largest, float(more.max(initial=0)), 1e-300))).astype(np.int8)
+        squares = (x * x).sum(1)
+        lack = squares / (longest + np.sqrt(np.maximum(0.0, longest**2 - squares)))
+        scale = np.maximum(np.abs(x).max(1) / 127, 1e-300)
+        tails = np.stack([scale, lack, lack * longest], 1).astype("<f4")
+        code = np.rint(x / scale[:, None]).astype(np.int8)
         rng = np.random.default_rng(seed)
-        signs = full @ rng.standard_normal((full.shape[1], STARTS * 16))
+        signs = x @ rng.standard_normal((x.shape[1] + 1, STARTS * 16))[:-1]
         # 16 signs as one number, read as a Gray code so that neighbouring numbers differ in few signs
         bits = (signs.reshape(len(x), STARTS, 16) > 0).astype(np.int64)
         bits = np.bitwise_xor.accumulate(bits, axis=2)
         places = (bits << np.arange(15, -1, -1)).sum(2)
-        return pa.RecordBatch.from_arrays([batch["node"], pa.array([c.tobytes() for c in code], pa.binary()), pa.array(places.tolist(), pa.list_(pa.int64()))], ["node", "code", "places"])
+        codes = pa.array([c.tobytes() + t.tobytes() for c, t in zip(code, tails, strict=True)], pa.binary())
+        return pa.RecordBatch.from_arrays([batch["node"], codes, pa.array(places.tolist(), pa.list_(pa.int64()))], ["node", "code", "places"])
 
     return map_batches(nodes.select("node", "vector"), run, "node long, code binary, places array<long>")
 
@@ -80,10 +97,10 @@ def _block_pairs(blocks: DataFrame, k: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch):
         for own, codes in zip(batch["nodes"].to_pylist(), batch["codes"], strict=True):
-            x, nodes = _matrix(pa.array(codes.as_py(), pa.binary())), np.array(own)
+            nodes = np.array(own)
             if nodes.size < 2:
                 continue
-            scores = x @ x.T
+            scores = _products(codes.as_py())
             np.fill_diagonal(scores, -np.inf)
             keep = min(k, nodes.size - 1)
             best = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
@@ -104,8 +121,7 @@ def _meetings(centres: DataFrame) -> DataFrame:
             if not new.any():
                 continue
             worst = np.array([m["worst"] for m in own], np.float32)
-            x = np.frombuffer(b"".join(m["code"] for m in own), np.int8).reshape(nodes.size, -1).astype(np.float32)
-            scores = x @ x.T
+            scores = _products([m["code"] for m in own])
             good = (new[:, None] | new[None, :]) & (scores > worst[:, None]) & (nodes[:, None] != nodes[None, :])
             a, b = np.nonzero(good)
             us.append(nodes[a])
@@ -167,10 +183,9 @@ def _merge(lists: DataFrame) -> DataFrame:
             asked = np.array([h["asked"] for h in held or ()], bool)
             if met:
                 more, at = np.unique(np.array([m["node"] for m in met]), return_index=True)
-                x = np.frombuffer(b"".join(met[n]["code"] for n in at), np.int8).reshape(more.size, -1).astype(np.float32)
+                x = _matrix([met[n]["code"] for n in at])[0]
                 fresh = ~np.isin(more, nodes)
-                own = np.frombuffer(code, np.int8).astype(np.float32)[: x.shape[1]].copy()
-                own[-1] = 0  # a query's nearness is the inner product itself
+                own = _matrix([code])[0][0]  # a query's nearness is the inner product itself
                 nodes = np.concatenate([nodes, more[fresh]])
                 scores = np.concatenate([scores, (x @ own)[fresh]])
                 asked = np.concatenate([asked, np.zeros(int(fresh.sum()), bool)])
@@ -231,9 +246,8 @@ def nearest(rows: DataFrame, every: int, k: int = 20, id_col: str = "vec_id", ve
 def _nearest_of(vectors: DataFrame, every: int, k: int, work: Work) -> DataFrame:
     nodes = work.keep(vectors.groupBy("vector").agg(F.min("id").alias("node")), "nodes")
     squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    largest = F.array_max(F.transform("vector", F.abs))
-    n, longest, most = nodes.agg(F.count("*"), F.sqrt(F.max(squares)), F.max(largest)).first()
-    codes = work.keep(coded(nodes, longest, most, seed=1), "codes")
+    n, longest = nodes.agg(F.count("*"), F.sqrt(F.max(squares))).first()
+    codes = work.keep(coded(nodes, longest, seed=1), "codes")
     graph = build_graph(codes, n, work)
     member = vectors.join(nodes.withColumnRenamed("vector", "_v"), F.col("vector") == F.col("_v")).select("id", "node")
     member = work.keep(member, "members")

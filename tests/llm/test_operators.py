@@ -206,6 +206,20 @@ def test_neighbours_are_found(spark):
     assert nn_descent.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), every=20).count() == 0
 
 
+def test_a_few_long_vectors_do_not_blur_the_others(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[[7, 1501, 2207]] *= 100
+    rows = [(i, [float(v) for v in x[i]]) for i in range(3000)]
+    got = rows_of(nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=60))
+    hits = 0
+    for q in range(0, 3000, 60):
+        best = np.sort(np.delete(x @ x[q], q))[-20]
+        hits += sum(s >= best - 1e-9 for i, _, _, s in got if i == q)
+    assert hits / (50 * 20) >= 0.9
+
+
 def test_quality_statistics_and_rules(spark):
     text = "a b c d e\na b c d e\n x# y\n\n"
     counts, _ = stats(text.encode())
