@@ -10,6 +10,7 @@ from casebook.llm.contrast_lm import op4_contrast_lm
 from casebook.llm.decision_list import op9_decision_list
 from casebook.llm.factor_machine import op5_factorization_machine
 from casebook.llm.filter_cascade import OP6_SQL, op6_filter_cascade
+from casebook.llm.fm_dedup import op11_fm_index
 from casebook.llm.lsh_forest import OP7_SQL, op7_lsh_forest
 from casebook.llm.nn_descent import op1_nn_descent
 from casebook.llm.pattern_packing import op10_pattern_packing
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_schedule": op8_source_schedule,
     "op9_decision_list": op9_decision_list,
     "op10_pattern_packing": op10_pattern_packing,
+    "op11_fm_index": op11_fm_index,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_filter_cascade": OP6_SQL, "op7_lsh_forest": OP7_SQL}
