@@ -280,3 +280,26 @@ def without_repeats(
 
 def op11_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP11_SQL = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), each as (
+  select doc_id, len(w) as n, unnest(w) as word, unnest(range(1, len(w) + 1)) as p,
+    unnest(list_transform(range(1, len(w) + 1), lambda k: case when k + 19 <= len(w) then sha256(array_to_string(w[k : k + 19], ' ')) end)) as own
+  from words
+), judged as (
+  select doc_id, p, word,
+    own is not null and row_number() over (partition by own order by doc_id, p) > 1 as again
+  from each
+), marked as (
+  select doc_id, p, word, coalesce(max(case when again then p end) over (partition by doc_id order by p) >= p - 19, false) as gone
+  from judged
+), left_over as (
+  select doc_id, count(*) filter (where gone) as n_removed, string_agg(word, ' ' order by p) filter (where not gone) as kept
+  from marked group by doc_id
+)
+select w.doc_id, len(w.w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from words w left join left_over l on l.doc_id = w.doc_id
+"""

@@ -10,7 +10,8 @@ from casebook.llm.contrast_lm import op4_contrast_lm
 from casebook.llm.decision_list import op9_decision_list
 from casebook.llm.factor_machine import op5_factorization_machine
 from casebook.llm.filter_cascade import OP6_SQL, op6_filter_cascade
-from casebook.llm.fm_dedup import op11_fm_index
+from casebook.llm.fm_dedup import OP11_SQL, op11_fm_index
+from casebook.llm.hard_negatives import OP12_SQL, op12_rotated_codes
 from casebook.llm.lsh_forest import OP7_SQL, op7_lsh_forest
 from casebook.llm.nn_descent import op1_nn_descent
 from casebook.llm.pattern_packing import op10_pattern_packing
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decision_list": op9_decision_list,
     "op10_pattern_packing": op10_pattern_packing,
     "op11_fm_index": op11_fm_index,
+    "op12_rotated_codes": op12_rotated_codes,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_filter_cascade": OP6_SQL, "op7_lsh_forest": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_filter_cascade": OP6_SQL, "op7_lsh_forest": OP7_SQL, "op11_fm_index": OP11_SQL, "op12_rotated_codes": OP12_SQL}
