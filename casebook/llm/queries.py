@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.llm.contrast_lm import op4_contrast_lm
+from casebook.llm.conversation_trie import OP13_SQL, op13_prefix_trie
 from casebook.llm.decision_list import op9_decision_list
 from casebook.llm.factor_machine import op5_factorization_machine
 from casebook.llm.filter_cascade import OP6_SQL, op6_filter_cascade
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pattern_packing": op10_pattern_packing,
     "op11_fm_index": op11_fm_index,
     "op12_rotated_codes": op12_rotated_codes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_filter_cascade": OP6_SQL, "op7_lsh_forest": OP7_SQL, "op11_fm_index": OP11_SQL, "op12_rotated_codes": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_filter_cascade": OP6_SQL, "op7_lsh_forest": OP7_SQL, "op11_fm_index": OP11_SQL, "op12_rotated_codes": OP12_SQL, "op13_prefix_trie": OP13_SQL}
