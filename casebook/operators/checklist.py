@@ -35,7 +35,27 @@ def external_evidence(evidence: DataFrame) -> DataFrame:
 def type_facts(
     documents: DataFrame, overrides: DataFrame, evidence: DataFrame | None = None
 ) -> DataFrame:
-    """Everything known about (case, type) pairs, in one shuffle.
+    """Everything known about (case, type) pairs, from the documents themselves."""
+    valid = is_valid_document()
+    counted = documents.filter("is_present").select(
+        "case_key",
+        F.when(valid, F.col("taxonomy_code")).alias("code"),
+        F.when(valid, 1).otherwise(0).cast("bigint").alias("file"),
+        "last_hashed_at",
+    )
+    return _facts(counted, overrides, evidence)
+
+
+def facts_from_counts(counts: DataFrame, overrides: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
+    """The same from document counts (``operators.deltas``), without reading a document."""
+    counted = counts.select(
+        "case_key", "code", F.when(F.col("code").isNotNull(), F.col("n")).otherwise(0).alias("file"), "last_hashed_at"
+    )
+    return _facts(counted, overrides, evidence)
+
+
+def _facts(counted: DataFrame, overrides: DataFrame, evidence: DataFrame | None) -> DataFrame:
+    """Document counts, evidence and overrides per (case, type), in one shuffle.
 
     The three inputs are stacked and aggregated once, instead of being aggregated and
     outer-joined one by one; only pairs with some fact appear. ``n`` is the larger of the two
@@ -44,14 +64,8 @@ def type_facts(
     aggregates over fixed-width values are hashed, those over text would sort every row first.
     """
     none = F.lit(None)
-    valid = is_valid_document()
-    stacked = documents.filter("is_present").select(
-        "case_key",
-        F.when(valid, F.col("taxonomy_code")).alias("code"),
-        F.when(valid, 1).otherwise(0).alias("file"),
-        F.lit(0).alias("external"),
-        none.cast("int").alias("override"),
-        "last_hashed_at",
+    stacked = counted.select(
+        "case_key", "code", "file", F.lit(0).alias("external"), none.cast("int").alias("override"), "last_hashed_at"
     )
     if evidence is not None:
         stacked = stacked.unionByName(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook import schema
-from casebook.operators.checklist import rollup, type_facts
+from casebook.operators.checklist import facts_from_counts, rollup, type_facts
 from casebook.operators.diff import limit_to
 from casebook.operators.warnings import active_per_case, change_warnings, merge_warnings
 
@@ -49,13 +49,17 @@ def case_figures(
     warnings: DataFrame,
     evidence: DataFrame | None = None,
 ) -> DataFrame:
-    """Fresh figures and statuses of the given cases, with what the recompute needs to know.
+    """Fresh figures and statuses of the given cases, with what the recompute needs to know."""
+    return figures_from_facts(cases, type_facts(documents, overrides, evidence), catalog, warnings)
+
+
+def figures_from_facts(cases: DataFrame, facts: DataFrame, catalog: DataFrame, warnings: DataFrame) -> DataFrame:
+    """Figures of the given cases from what is known per (case, type) and the warnings.
 
     One aggregate over documents, evidence and overrides and one over warnings, both joined to
     the cases at case grain. The change-after-completion warning is accounted for in
     ``warning_count`` before it is written: it adds one where it is due and not yet active.
     """
-    facts = type_facts(documents, overrides, evidence)
     slim = cases.select(
         "case_key", "manual_status", "effective_status", "completed_at", "last_scanned_at"
     ).withColumnRenamed("effective_status", "old_effective_status")
@@ -148,20 +152,19 @@ def recompute(
     scope: DataFrame | None = None,
     require_present: bool = True,
     keep: Callable[[DataFrame, str], DataFrame] | None = None,
+    counts: DataFrame | None = None,
 ) -> Recomputed:
     """Recompute all present cases, or those in ``scope``. After an action the case is
     recomputed whether it is present or not. All three results read the figures: ``keep``
-    writes them once."""
+    writes them once. With ``counts`` (see ``operators.deltas``) no document is read."""
     chosen = cases.filter("is_present") if require_present else cases
     # With a scope, only its rows are aggregated; without one nothing is filtered.
-    figures = case_figures(
-        limit_to(chosen, scope),
-        limit_to(documents, scope),
-        catalog,
-        limit_to(overrides, scope),
-        limit_to(warnings, scope),
-        None if evidence is None else limit_to(evidence, scope),
-    )
+    reported = None if evidence is None else limit_to(evidence, scope)
+    if counts is None:
+        facts = type_facts(limit_to(documents, scope), limit_to(overrides, scope), reported)
+    else:
+        facts = facts_from_counts(limit_to(counts, scope), limit_to(overrides, scope), reported)
+    figures = figures_from_facts(limit_to(chosen, scope), facts, catalog, limit_to(warnings, scope))
     if keep is not None:
         figures = keep(figures, "figures")
     raised = change_warnings(figures.filter("changed_after_completion"))

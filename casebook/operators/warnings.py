@@ -146,7 +146,7 @@ def merge_warnings(
 
     Warnings of scanned cases go inactive unless raised again; others keep their state.
     Candidates activate the stored warning of the same fingerprint or become new ones.
-    ``is_new`` marks the latter.
+    ``is_new`` marks the latter, ``was_active`` says how they were stored.
     """
     if scanned is None:
         stored = prior.withColumn("_scanned", F.lit(False))
@@ -171,6 +171,7 @@ def merge_warnings(
         F.coalesce("p.created_at", at).alias("created_at"),
         F.when(raised | F.col("_scanned"), at).otherwise(F.col("p.updated_at")).alias("updated_at"),
         F.col("p.case_key").isNull().alias("is_new"),
+        F.coalesce("p.active", F.lit(False)).alias("was_active"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -45,6 +47,8 @@ _CATALOG = """
     code string, name string, filename_base string, priority int, active boolean,
     default_applicability string
 """
+# Present documents of a case by type (null: none valid) and hash time: what the recompute needs of them.
+_COUNTS = "case_key string, code string, last_hashed_at timestamp, n bigint"
 _OVERRIDES = "case_key string, taxonomy_code string, status string, note string, updated_at timestamp"
 _WARNINGS = """
     case_key string, relative_path string, warning_type string, severity string, message string,
@@ -87,6 +91,7 @@ def _columns(text: str, **nested: T.StructType) -> T.StructType:
 TABLES: dict[str, T.StructType] = {
     "cases": _columns(_CASES),
     "documents": _columns(_DOCUMENTS),
+    "document_counts": _columns(_COUNTS),
     "catalog": _columns(_CATALOG),
     "checklist_overrides": _columns(_OVERRIDES),
     "warnings": _columns(_WARNINGS),
@@ -121,8 +126,8 @@ ADDED_DEFAULTS: dict[str, dict[str, object]] = {
 }
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Bring ``df`` to the current schema of ``table``; absent columns get their default."""
+def conform(df: DataFrame, table: str, more: Sequence[str] = ()) -> DataFrame:
+    """Bring ``df`` to the current schema of ``table``; absent columns get their default. Columns named in ``more`` stay."""
     defaults = ADDED_DEFAULTS.get(table, {})
     present = {f.name: f.dataType for f in df.schema.fields}
 
@@ -132,7 +137,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         value = f"`{field.name}`" if field.name in present else str(defaults.get(field.name, "null"))
         return f"cast({value} as {field.dataType.simpleString()}) as `{field.name}`"
 
-    return df.selectExpr(*[expression(f) for f in TABLES[table].fields])
+    return df.selectExpr(*[expression(f) for f in TABLES[table].fields], *more)
 
 
 def empty(spark, schema: T.StructType) -> DataFrame:

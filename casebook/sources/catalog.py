@@ -133,3 +133,10 @@ def active_types(catalog: DataFrame) -> DataFrame:
         priority_weight(F.col("priority")).alias("weight"),
         F.col("default_applicability").alias("default_status"),
     )
+
+
+def same_codes(one: DataFrame, other: DataFrame) -> bool:
+    """Whether two catalogs (small, see ``pin``) know the same codes."""
+    marked = one.select("code", F.lit(1).alias("side")).unionByName(other.select("code", F.lit(2).alias("side")))
+    sides = marked.distinct().groupBy("code").agg(F.count("*").alias("n"))
+    return sides.filter("n < 2").isEmpty()

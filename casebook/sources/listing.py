@@ -83,6 +83,39 @@ def list_folders(spark: SparkSession, root: str, ignore: tuple[str, ...] = IGNOR
     return start.mapInPandas(folders, schema.FOLDERS)
 
 
+def folders_of_cases(spark: SparkSession, root: str, cases: DataFrame, tasks: int) -> DataFrame:
+    """The folders of the named cases (``case_key``) that exist, without listing ``root``.
+
+    Each is looked up by itself, spread over tasks. A missing root is an error, as in a listing.
+    """
+    root = root.rstrip("/")
+    keys = cases.select("case_key").distinct().filter(stays_inside(F.col("case_key")) & (F.col("case_key") != ""))
+
+    def existing(batches):
+        import os
+
+        remote = "://" in root and not root.startswith("file://")
+        if remote:
+            from pyarrow import fs
+
+            system, base = fs.FileSystem.from_uri(root)
+        else:
+            base = root.removeprefix("file://")
+
+        def is_dir(path: str) -> bool:
+            if remote:
+                return system.get_file_info(path).type == fs.FileType.Directory
+            return os.path.isdir(path) and not os.path.islink(path)
+
+        for batch in batches:
+            if len(batch) and not (is_dir(base) if remote else os.path.isdir(base)):
+                raise FileNotFoundError(root)
+            yield batch[[is_dir(f"{base}/{key}") for key in batch["case_key"]]]
+
+    found = keys.repartition(tasks).mapInPandas(existing, "case_key string")
+    return found.select("case_key", F.concat(F.lit(f"{root}/"), "case_key").alias("folder_path"), F.col("case_key").alias("folder_name"))
+
+
 def list_pdfs(
     work: Work, folders: DataFrame, root: str, tasks: int, ignore: tuple[str, ...] = IGNORED
 ) -> DataFrame:

@@ -97,6 +97,9 @@ class Draft:
     def read(self, table: str) -> DataFrame:
         return self.store.read(table, self.before)
 
+    def has(self, table: str) -> bool:
+        return table in self.content["tables"]
+
     def replace(self, table: str, df: DataFrame) -> DataFrame:
         """Write the new content of a table and read it back, which also cuts the lineage."""
         self.content["tables"][table] = [self._write(table, df)]

@@ -201,6 +201,16 @@ select coalesce(p.case_key, c.case_key) as case_key, coalesce(p.fingerprint, c.f
 from {{warnings_previous}} p full join {{raised}} c on c.fingerprint = p.fingerprint
 """
 
+O["counters"] = """
+select (select count(*) from {folders}) as folders_seen,
+        (select count(*) from {listing}) as files_seen,
+        (select count(*) from {folders} where case_key not in (select case_key from {cases_previous})) as cases_created,
+        (select count(*) from {folders} where case_key in (select case_key from {cases_previous})) as cases_updated,
+        (select count(*) from {diff} where change_kind = 'NEW') as docs_created,
+        (select count(*) from {diff} where change_kind in ('UNCHANGED', 'CHANGED')) as docs_updated,
+        (select count(*) from {merged} where is_new) as warnings_created
+"""
+
 O["warnings_after"] = """
 select case_key, warning_type, active from {merged} union all select case_key, warning_type, active from {reviews}
 """
@@ -457,13 +467,13 @@ SQL: dict[str, str] = {
         where case_key in (select case_key from {scope})""",
     "scoped_upsert": """select relative_path, parse_status, is_present, last_seen_at, last_hashed_at
         from {scoped_documents}""",
-    "scan_counters": """select (select count(*) from {folders}) as folders_seen,
-        (select count(*) from {listing}) as files_seen,
-        (select count(*) from {folders} where case_key not in (select case_key from {cases_previous})) as cases_created,
-        (select count(*) from {folders} where case_key in (select case_key from {cases_previous})) as cases_updated,
-        (select count(*) from {diff} where change_kind = 'NEW') as docs_created,
-        (select count(*) from {diff} where change_kind in ('UNCHANGED', 'CHANGED')) as docs_updated,
-        (select count(*) from {merged} where is_new) as warnings_created""",
+    "scan_counters": "select * from {counters}",
+    "run_summary": f"""select 1::bigint as run_id, 'SUCCESS' as status, {T1} as started_at, c.* exclude (cases_created, cases_updated, docs_updated),
+        0::bigint as errors,
+        '{{"run_id":1,"status":"SUCCESS","folders_seen":' || folders_seen || ',"files_seen":' || files_seen || ',"cases_created":' || cases_created
+        || ',"cases_updated":' || cases_updated || ',"docs_created":' || docs_created || ',"docs_updated":' || docs_updated
+        || ',"warnings_created":' || warnings_created || ',"errors":0,"error_messages":[],"duration_ms":0}}' as summary_json
+        from {{counters}} c""",
     "warn_bad_folder": "select case_key, severity, message, fingerprint from {raised_folders}",
     "warn_malformed_name": RULE + "'SAI_TEN_FILE' and message like 'Tên file không theo mẫu%'",
     "warn_not_canonical": RULE + "'SAI_TEN_FILE' and message like 'Tên file khác tên chuẩn%'",
@@ -481,6 +491,10 @@ SQL: dict[str, str] = {
         group by all having count(*) > 1""",
     "case_status": """select case_key, auto_status, effective_status, progress_percent, document_count, warning_count,
         missing_priority1_count, type_count, missing_type_count, changed_after_completion from {figures}""",
+    "recompute_from_changes": """select case_key, auto_status, effective_status, progress_percent, document_count, warning_count,
+        missing_priority1_count, type_count, missing_type_count, changed_after_completion from {figures}""",
+    "counts_from_changes": """select case_key, case when parse_status = 'OK' then taxonomy_code end as code, last_hashed_at, count(*) as n
+        from {documents} where is_present group by all""",
     "case_snapshot": """select c.case_key, coalesce(f.auto_status, c.auto_status) as auto_status, c.manual_status,
         coalesce(f.effective_status, c.effective_status) as effective_status,
         coalesce(f.progress_percent, c.progress_percent) as progress_percent,

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook import schema
 from casebook.functions import names, text
-from casebook.operators import actions, checklist, diff, imports, status, warnings
+from casebook.operators import actions, checklist, deltas, diff, imports, status, warnings
 from casebook.plans import reports, updates
+from casebook.plans import scan as scans
 from casebook.sources import catalog as catalogs
 from workload.inputs import Inputs
 
@@ -235,11 +237,14 @@ def cases_not_listed(i: Inputs) -> DataFrame:
     return diff.not_listed(cases_previous(i), i.view("folders"), "case_key").select("case_key")
 
 
+def changes_now(i: Inputs) -> DataFrame:
+    """The change set of a full scan, written once as a scan does."""
+    return i.kept("changes", lambda: diff.change_set(documents_previous(i), i.view("listing")))
+
+
 def documents_now(i: Inputs) -> DataFrame:
     touched = diff.touched_cases(cases_previous(i), i.view("folders"), full=True)
-    return diff.upsert_documents(
-        documents_previous(i), i.view("listing"), i.view("probe"), i.catalog, touched, i.t1
-    )
+    return diff.upsert_documents(changes_now(i), i.view("probe"), i.catalog, touched, i.t1)
 
 
 def cases_now(i: Inputs) -> DataFrame:
@@ -291,18 +296,33 @@ def scoped_diff(i: Inputs) -> DataFrame:
 def scoped_upsert(i: Inputs) -> DataFrame:
     """After a scan of one unit: the documents of other units stay as they were."""
     scope = unit_scope(i)
-    after = diff.upsert_documents(
-        documents_previous(i), diff.limit_to(i.view("listing"), scope), i.view("probe"), i.catalog,
-        diff.touched_cases(cases_previous(i), scope, full=False), i.t1,
-    )
+    changes = i.kept("scoped_changes", lambda: diff.change_set(documents_previous(i), diff.limit_to(i.view("listing"), scope)))
+    touched = diff.touched_cases(cases_previous(i), scope, full=False)
+    after = diff.upsert_documents(changes, i.view("probe"), i.catalog, touched, i.t1)
     return after.select("relative_path", "parse_status", "is_present", "last_seen_at", "last_hashed_at")
 
 
+def counted_scan(i: Inputs) -> dict[str, int]:
+    """The tables of a scan, written with their counters."""
+    counted = diff.Counted()
+    i.kept("changes", lambda: counted.watch(diff.change_set(documents_previous(i), i.view("listing")), diff.file_counters()))
+    i.kept("cases", lambda: counted.watch(cases_now(i), diff.case_counters()))
+    i.kept("merged", lambda: counted.watch(merged_warnings(i), diff.warning_counters()))
+    return counted.values()
+
+
 @query
 def scan_counters(i: Inputs) -> DataFrame:
-    found = diff.diff_listing(documents_previous(i), i.view("listing"))
-    fresh = merged_warnings(i).filter("is_new")
-    return diff.scan_counters(found, cases_previous(i), i.view("folders"), fresh)
+    """Counters that ride on the jobs that write a scan's tables."""
+    return i.spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counted_scan(i).items()])
+
+
+@query
+def run_summary(i: Inputs) -> DataFrame:
+    """The run log row of the scan."""
+    result = scans.ScanResult(run_id=1, counters=counted_scan(i))
+    row = scans.run_row(i.spark, result, datetime(2024, 1, 20))
+    return row.select("run_id", "status", "started_at", "folders_seen", "files_seen", "docs_created", "warnings_created", "errors", "summary_json")
 
 
 # --- warnings ----------------------------------------------------------------------------
@@ -409,6 +429,36 @@ def case_status(i: Inputs) -> DataFrame:
     return figures_now(i).drop("review_pending", "old_effective_status", "manual_status")
 
 
+@query
+def recompute_from_changes(i: Inputs) -> DataFrame:
+    """The flagship's figures by differences: stored counts and figures, and what the scan changed."""
+    documents = documents_previous(i)
+    counts = i.kept("counts", lambda: deltas.document_counts(documents))
+    before = i.kept("figures", lambda: status.figures_from_facts(
+        cases_previous(i).filter("is_present"), checklist.facts_from_counts(counts, overrides(i), i.view("evidence")),
+        i.catalog, i.state("warnings_previous", "warnings"),
+    ))
+    touched = diff.touched_cases(cases_previous(i), i.view("folders"), full=True)
+    moved = diff.moved_documents(changes_now(i), i.view("probe"), i.catalog, touched, i.t1)
+    differences = i.kept("deltas", lambda: deltas.count_deltas(moved))
+    reviews = i.state("reviews", "warnings").withColumn("was_active", F.lit(False))
+    raised = i.kept("merged", lambda: merged_warnings(i).drop("is_new").unionByName(reviews))
+    present = cases_now(i).filter("is_present")
+    concerned = deltas.moved_cases(before, present, differences, raised)
+    after = deltas.figures_after(
+        before, concerned, present, counts, differences, i.catalog, overrides(i), raised, i.view("evidence")
+    )
+    return after.drop("review_pending", "old_effective_status", "manual_status")
+
+
+@query
+def counts_from_changes(i: Inputs) -> DataFrame:
+    """Document counts after the scan, by differences."""
+    touched = diff.touched_cases(cases_previous(i), i.view("folders"), full=True)
+    moved = diff.moved_documents(changes_now(i), i.view("probe"), i.catalog, touched, i.t1)
+    return deltas.apply_deltas(deltas.document_counts(documents_previous(i)), deltas.count_deltas(moved))
+
+
 @query
 def case_snapshot(i: Inputs) -> DataFrame:
     """The case table after the recompute; absent cases keep their figures."""
