@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -111,34 +112,60 @@ def ui_label(value: Column, fallback: str | None = None) -> Column:
     )
 
 
+# Every form of ISO 8601 that the fixed input format allows: calendar and week dates, with and without separators, any one
+# character between date and time, times down to the hour, fractions after a point or a comma, and offsets likewise.
+_CLOCK = r"(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,]\d+)?)?|(\d{2})(?:(\d{2})(?:[.,]\d+)?)?)?"
 _ISO = (
-    r"^(\d{4})-(\d{2})-(\d{2})"
-    r"(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)?)?$"
+    r"^(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2})"
+    r"|(\d{4})-W(\d{2})(?:-(\d)(?!\d))?|(\d{4})W(\d{2})(?:(\d)(?!\d)|(\d)(?=\d(?:\d\d)*(?!\d)))?)"
+    rf"(?:(?s:.){_CLOCK}(?:[+-]{_CLOCK})?)?\z"
 )
 
 
+def _week_date(year: Column, week: Column, day: Column) -> Column:
+    """The date of an ISO week and day (1 to 7); null if the year has no such week or the day is out of range."""
+    fourth = F.when(year >= 1, F.make_date(year, F.lit(1), F.lit(4)))  # always in week 1
+
+    def of(monday: Column) -> Column:
+        found = F.date_add(monday, (week - 1) * 7 + day - 1)
+        fine = week.between(1, 52) | ((week == 53) & (F.weekofyear(F.date_add(monday, 52 * 7)) == 53))
+        return F.when(fine & day.between(1, 7) & F.year(found).between(1, 9999), found)
+
+    return _once(F.date_sub(fourth, F.weekday(fourth)), of)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _shown_datetime(parts: Column) -> Column:
+    """``dd/MM/yyyy HH:mm`` from the groups of the pattern (empty where they hold nothing); null if out of range."""
+
+    def group(*numbers: int) -> Column:
+        return F.concat(*[F.get(parts, F.lit(n - 1)) for n in numbers])
+
+    number = lambda *numbers: group(*numbers).try_cast("int")
+    zero = lambda *numbers: F.coalesce(number(*numbers), F.lit(0))
+    calendar = F.try_to_date(F.concat_ws("-", group(1, 4), group(2, 5), group(3, 6)), "yyyy-MM-dd")
+    by_week = _week_date(number(7, 10), number(8, 11), F.coalesce(number(9, 12, 13), F.lit(1)))
+    date = F.when(group(8, 11) != "", by_week).otherwise(calendar)
+    offset = zero(19) * 3600 + zero(20, 22) * 60 + zero(21, 23)
+    fine = (number(1, 4, 7, 10) >= 1) & (zero(14) <= 23) & (zero(15, 17) <= 59) & (zero(16, 18) <= 59) & (offset < 24 * 3600)
+    clock = F.concat_ws(":", F.lpad(group(14), 2, "0"), F.lpad(group(15, 17), 2, "0"))
+    return F.concat(F.date_format(F.when(fine, date), "dd/MM/yyyy"), F.lit(" "), clock)
+
+
 def format_datetime(value: Column, fallback: str = NOT_SCANNED) -> Column:
     """ISO text to ``dd/MM/yyyy HH:mm`` at the written offset; unreadable text is kept."""
-    text = strip_space(value)
 
-    def group(index: int) -> Column:
-        return F.regexp_extract(text, _ISO, index)
-
-    date = F.concat_ws("-", group(1), group(2), group(3))
-    clock = F.when(group(4) == "", F.lit("00:00")).otherwise(F.concat_ws(":", group(4), group(5)))
-    readable = (
-        text.rlike(_ISO)
-        & F.try_to_date(date, "yyyy-MM-dd").isNotNull()
-        & (group(4) <= "23")
-        & (group(5) <= "59")
-        & (group(6) <= "59")
-    )
-    shown = F.concat(F.concat_ws("/", group(3), group(2), group(1)), F.lit(" "), clock)
-    return (
-        F.when(value.isNull() | (value == ""), F.lit(fallback))
-        .when(readable, shown)
-        .otherwise(text)
-    )
+    def shown(text: Column) -> Column:
+        iso = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+        groups = ",".join(f"${n}" for n in range(1, 24))
+        parts = F.when(iso.rlike(_ISO), F.split(F.regexp_replace(iso, _ISO, groups), ","))
+        return F.coalesce(_once(parts, _shown_datetime), text)
+
+    return F.when(value.isNull() | (value == ""), F.lit(fallback)).otherwise(_once(strip_space(value), shown))
 
 
 def format_date(value: Column, fallback: str = NO_DATE) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook import schema
@@ -152,16 +152,97 @@ def page_list_checks(requested: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _by_name(entries: Column, key: str, value: str) -> Column:
-    """A map from an array of structs; the last entry of a key wins."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e[key]))
-    return F.map_from_entries(
-        F.transform(
-            keys,
-            lambda k: F.struct(k, F.try_element_at(F.filter(entries, lambda e: e[key] == k), F.lit(-1))[value]),
-        )
+    """A map from an array of structs; the last entry of a key wins.
+
+    Entries are numbered and sorted by key, so the last of a key stands before another key: no entry is compared with
+    all others.
+    """
+    numbered = F.array_sort(F.transform(entries, lambda e, n: F.struct(e[key].alias("k"), n.alias("n"), e[value].alias("v"))))
+    last = F.filter(
+        numbered, lambda e, n: e["k"].isNotNull() & ~F.get(numbered, n + 1)["k"].eqNullSafe(e["k"])
+    )
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"])))
+
+
+# Extensions of sources that have pages of their own, and of those that are one page.
+_PAGED = ".pdf"
+
+
+def _base_name(name: Column) -> Column:
+    """Last component of a path as written by a client; empty for none."""
+    last = F.regexp_extract(F.coalesce(name, F.lit("")), r"([^/]*)/*$", 1)
+    return F.when(last == ".", "").otherwise(last)
+
+
+def named_uploads(uploads: DataFrame) -> DataFrame:
+    """Uploaded files (``token``, ``case_key``, ``position``, ``name``, ``sha256``, ``page_count``) with the name they are stored
+    under, their number of pages and what is wrong with them (``problem``, null if nothing).
+
+    ``page_count`` counts for PDFs only: null if the file can't be read.
+    """
+    own = uploads.withColumn("name", _base_name(F.col("name")))
+    extension = F.lower(F.regexp_extract("name", r"[^/](\.[^./]+)$", 1))
+    paged = extension == _PAGED
+    problem = (
+        F.when(~allowed_upload(F.col("name")), "file type not allowed")
+        .when(paged & F.col("page_count").isNull(), "unreadable PDF")
+        .when(paged & (F.col("page_count") < 1), "PDF without pages")
+    )
+    number = F.col("position").cast("string")
+    stored = F.concat(F.lit("source-"), F.when(F.length(number) < 3, F.lpad(number, 3, "0")).otherwise(number), extension)
+    return own.withColumns(
+        {"stored": stored, "paged": paged, "n_pages": F.when(paged, F.col("page_count")).otherwise(1).cast("bigint"), "problem": problem}
     )
 
 
+def judge_uploads(sessions: DataFrame, named: DataFrame) -> DataFrame:
+    """``token``, ``case_key`` and ``reason`` (null if accepted) of every upload session: what is wrong with its first bad file,
+    or that nothing is left. One bad file refuses the whole session."""
+    first_bad = F.min_by("problem", F.when(F.col("problem").isNotNull(), F.col("position")))
+    bad_name = F.min_by("name", F.when(F.col("problem").isNotNull(), F.col("position")))
+    per = named.groupBy("token").agg(first_bad.alias("_problem"), bad_name.alias("file"), F.sum("n_pages").alias("_pages"))
+    nothing = F.when(F.coalesce("_pages", F.lit(0)) < 1, "nothing to upload")
+    return sessions.select("token", "case_key").join(per, "token", "left").select(
+        "token", "case_key", F.coalesce("_problem", nothing).alias("reason"), F.when(F.col("_problem").isNotNull(), F.col("file")).alias("file")
+    )
+
+
+def upload_pages(
+    named: DataFrame, judged: DataFrame, keep: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """The offered pages of accepted sessions, numbered over all sources of a session in upload order.
+
+    How many pages come before a source is a running sum over the session, of which only one range is ever sorted in a
+    task; pages are then unfolded from each source by itself.
+    """
+    accepted = named.join(judged.filter("reason is null").select("token"), "token", "left_semi")
+    sized = accepted.select("token", "case_key", "position", "name", "stored", "paged", "n_pages")
+    placed = prefix_fold(sized, ["token"], ["position"], {"_before": F.col("n_pages")}, {}, keep)
+    each = placed.withColumn("_page", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_pages"))))
+    page_id = F.concat(F.lit("p"), (F.col("_before") + F.col("_page")).cast("string"))
+    return each.select(
+        "token",
+        "case_key",
+        (F.col("_before") + F.col("_page")).cast("bigint").alias("number"),
+        page_id.alias("page_id"),
+        F.col("name").alias("source_name"),
+        F.col("stored").alias("source_path"),
+        F.when(F.col("paged"), F.col("_page")).cast("int").alias("source_page"),
+        F.concat(page_id, F.lit(".png")).alias("preview_name"),
+    )
+
+
+def manifests_of_uploads(named: DataFrame, pages: DataFrame) -> DataFrame:
+    """Manifests (``token``, ``case_key``, ``sources``, ``pages``) as ``judge_requests`` and the manifest files have them: one row
+    holds one session, as one file does."""
+    page = F.struct("number", "page_id", "source_name", "source_path", "source_page", "preview_name")
+    offered = pages.groupBy("token", "case_key").agg(F.sort_array(F.collect_list(page)).alias("_pages"))
+    source = F.struct("position", "name", "stored", "sha256")
+    sources = named.join(offered.select("token"), "token", "left_semi").groupBy("token").agg(F.sort_array(F.collect_list(source)).alias("_sources"))
+    bare = lambda name, first: F.transform(name, lambda x: x.dropFields(first))
+    return offered.join(sources, "token").select("token", "case_key", bare("_sources", "position").alias("sources"), bare("_pages", "number").alias("pages"))
+
+
 def judge_requests(
     requests: DataFrame,
     manifests: DataFrame,
@@ -181,7 +262,9 @@ def judge_requests(
     )
     known_cases = cases.filter("is_present").select("case_key", F.lit(True).alias("_case_known"))
     spent = None if events is None else events.select("token", F.lit(True).alias("_spent")).distinct()
-    joined = requests.join(m, "token", "left").join(known_cases, "case_key", "left")
+    # equal requests are judged once
+    distinct = requests.groupBy(*requests.columns).agg(F.count("*").alias("_copies"))
+    joined = distinct.join(m, "token", "left").join(known_cases, "case_key", "left")
     joined = joined.withColumn("_spent", F.lit(False)) if spent is None else joined.join(spent, "token", "left")
     judged = with_catalog(joined, catalog, "type_id").withColumns(
         {
@@ -200,12 +283,16 @@ def judge_requests(
         .when(F.col("requested_at").isNull(), "no request time")
         .when(F.col("_spent"), "session already used")
     )
-    judged = judged.withColumn("reason", reason)
-    # a session is used up by its first request that is fine
-    order = ["requested_at", "case_key", "type_id"]
-    turn = F.row_number().over(Window.partitionBy("token", F.col("reason").isNull()).orderBy(*order))
-    used = F.when(F.col("reason").isNull() & (turn > 1), "session already used")
-    return judged.select(*requests.columns, "_sources", "_pages", F.coalesce("reason", used).alias("reason"))
+    judged = judged.withColumn("_reason", reason)
+    # A session is used up by its first request that is fine. That request is found by a partial aggregate, so any
+    # number of requests may name one session, or none.
+    order = F.struct("requested_at", "case_key", "type_id", "_request")
+    judged = judged.withColumn("_request", F.xxhash64(*requests.columns))
+    first = judged.filter("_reason is null").groupBy("token").agg(F.min(order).alias("_first")).withColumnRenamed("token", "_token")
+    judged = judged.join(first, F.col("token") == F.col("_token"), "left")
+    judged = judged.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    used = F.when(F.col("_reason").isNull() & ((F.col("_first") < order) | (F.col("_copy") > 1)), "session already used")
+    return judged.select(*requests.columns, "_sources", "_pages", F.coalesce("_reason", used).alias("reason"))
 
 
 def renames(named: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions.text import UNDETERMINED, ascii_like, ascii_lower, mean2, or_else
 from casebook.operators.spread import prefix_fold
+from casebook.sources.work import Work
 
 ACTION_STATUSES = ("CAN_BO_SUNG", "DANG_SO_HOA", "CHO_KIEM_TRA")
 ACTION_ROWS = 10
@@ -206,6 +207,38 @@ def page_rows(chosen: DataFrame, sort: str, page: int, page_size: int) -> DataFr
     return chosen.orderBy(*sort_columns(sort)).offset((page - 1) * page_size).limit(page_size)
 
 
+def page_at(chosen: DataFrame, sort: str, page: int, page_size: int, work: Work) -> DataFrame:
+    """Any page by its number; no task holds the rows before it.
+
+    The sort values and keys are range-partitioned, rows are counted by range (one number for each partition), and only the
+    ranges that hold the page are read and partitioned again, until little more than the page is left. The page's
+    rows, at most ``MAX_PAGE_SIZE``, are then fetched by key.
+    """
+    value, descending = sort_value(sort)
+    order = [F.desc("_value") if descending else F.asc("_value"), F.asc("case_key")]
+    left, before = chosen.select(value.alias("_value"), "case_key"), (page - 1) * page_size
+    rows = None
+    while rows is None or rows > 4 * page_size:
+        ranged = left.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+        kept = work.keep(ranged, "ranges", by="_range")
+        sizes = sorted(tuple(r) for r in kept.groupBy("_range").count().collect())
+        wanted, passed, skipped = [], 0, 0
+        for number, size in sizes:
+            if passed + size <= before:
+                skipped = passed + size
+            elif passed < before + page_size:
+                wanted.append((number, size))
+            passed += size
+        found = sum(size for _, size in wanted)
+        left = kept.filter(F.col("_range").isin([n for n, _ in wanted])).drop("_range")
+        before -= skipped
+        if rows is not None and found >= rows:
+            break  # ranges of very few rows, or equal values throughout
+        rows = found
+    keys = left.orderBy(*order).offset(before).limit(page_size)
+    return chosen.join(F.broadcast(keys.select("case_key")), "case_key", "left_semi").orderBy(*sort_columns(sort))
+
+
 def page_after(chosen: DataFrame, sort: str, value: object, key: str, page_size: int) -> DataFrame:
     """The rows that follow the one with this ``sort_value`` (None for a null) and case key.
 
@@ -229,11 +262,14 @@ def case_page(
     sort: str = "updated",
     page: int = 1,
     page_size: int = DEFAULT_PAGE_SIZE,
+    work: Work | None = None,
 ) -> CasePage:
+    """One page of the case list. With ``work`` pages far down cost no more than near ones."""
     chosen = filter_cases(cases, f, warnings)
     total = chosen.count()
     page, size, pages = clamp_page(page, page_size, total)
-    return CasePage(page_rows(chosen, sort, page, size), page, size, total, pages)
+    items = page_rows(chosen, sort, page, size) if work is None else page_at(chosen, sort, page, size, work)
+    return CasePage(items, page, size, total, pages)
 
 
 def distinct_units(cases: DataFrame) -> DataFrame:

@@ -30,10 +30,12 @@ class Work:
         self.path = f"{work_dir(spark)}/casebook-{uuid.uuid4().hex}"
         self.count = 0
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """``df``, written; with ``by`` in a folder for each value of that column, so that readers of some open those only."""
         self.count += 1
         path = f"{self.path}/{self.count:03d}-{name}"
-        df.write.mode("errorifexists").parquet(path)
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -211,6 +211,29 @@ select (select count(*) from {folders}) as folders_seen,
         (select count(*) from {merged} where is_new) as warnings_created
 """
 
+O["week_forms"] = """
+select *, monday + ((w::int - 1) * 7 + case when form = 6 then 0 else d::int - 1 end)::int as found,
+       w::int between 1 and extract(week from late_day) and (form = 6 or d::int between 1 and 7) as fine
+from (select *, event_id % 16 as form, strftime(cast(plain as timestamp), '%d/%m/%Y %H:%M') as whole,
+             substring(plain, 9, 2) || '/' || substring(plain, 6, 2) || '/' || substring(plain, 1, 4) as day,
+             date_trunc('week', make_date(y::bigint, 1, 4))::date as monday, make_date(y::bigint, 12, 28) as late_day
+      from {stamp_forms}) forms
+"""
+O["judged_uploads"] = """
+select s.token, s.case_key, case when u.token is null then 'nothing to upload' else u.reason end as reason, u.file
+from {sessions} s left join (
+  select token, first(problem order by position) filter (problem is not null) as reason, first(base order by position) filter (problem is not null) as file
+  from {named_uploads} group by token) u on u.token = s.token
+"""
+O["named_uploads"] = r"""
+select *, case when ext is null or ext not in ('.jpg', '.jpeg', '.png', '.pdf') then 'file type not allowed'
+               when ext = '.pdf' and page_count is null then 'unreadable PDF'
+               when ext = '.pdf' and page_count = 0 then 'PDF without pages' end as problem,
+       case when ext = '.pdf' then page_count else 1 end as n_pages
+from (select *, case when position('.' in base) > 1 then lower('.' || string_split(base, '.')[-1]) end as ext
+      from (select *, string_split(name, '/')[-1] as base from {uploads}) a) b
+"""
+
 O["warnings_after"] = """
 select case_key, warning_type, active from {merged} union all select case_key, warning_type, active from {reviews}
 """
@@ -555,7 +578,11 @@ SQL: dict[str, str] = {
     "case_picker": "select case_key, folder_name, person_name_display from {cases} where is_present",
     "case_lookup": f"select {SHOWN} from {{cases}} where case_key = '05.000.036.001.5_000000000005_le_VAN_5'",
     "document_lookup": """select relative_path, sha256, parse_status from {documents_previous}
-        where relative_path = '00.000.036.001.1025_000000001025_le_VAN_1025/03.Văn_bản_blue_bolt_3.8921.PDF' and is_present""",
+        where relative_path = (select max(relative_path) from {documents_previous} where is_present) and is_present""",
+    "case_page_far": f"""select {SHOWN} from (
+          select *, row_number() over (order by {FOLD % 'coalesce(person_name_display, case_key)'}, case_key) as n, count(*) over () as total
+          from {{cases}} where is_present) c
+        where n > ((total + 49) // 50 * 4 // 5 - 1) * 50 and n <= (total + 49) // 50 * 4 // 5 * 50""",
     "review_list": """select c.case_key, c.folder_name, c.person_name_display, c.effective_status,
         count(w.fingerprint) as warning_count
         from {cases} c left join {warnings} w on w.case_key = c.case_key and w.active
@@ -645,6 +672,17 @@ SQL: dict[str, str] = {
         when 2 then substring(written, 9, 2) || '/' || substring(written, 6, 2) || '/' || substring(written, 1, 4) || ' 00:00'
         else strftime(cast(substring(replace(trim(written), 'T', ' '), 1, 19) as timestamp), '%d/%m/%Y %H:%M') end as shown
         from {stamps}""",
+    "format_ts_forms": """select event_id, case
+          when form in (0, 1, 2, 7, 8, 10, 15) then whole when form = 3 then day || ' ' || substring(plain, 12, 2) || ':00'
+          when form in (4, 5, 6) and fine then strftime(found, '%d/%m/%Y') || case when form = 4 then ' ' || substring(plain, 12, 5) else ' 00:00' end
+          else written end as shown from {week_forms}""",
+    "upload_rejects": "select token, case_key, reason, file from {judged_uploads} where reason is not null",
+    "upload_manifest": """select token, case_key, before + n as number, 'p' || (before + n) as page_id, base as source_name,
+          'source-' || lpad(position::varchar, 3, '0') || ext as source_path, case when ext = '.pdf' then n::int end as source_page,
+          'p' || (before + n) || '.png' as preview_name
+        from (select *, unnest(range(1, n_pages + 1)) as n from (
+            select *, (coalesce(sum(n_pages) over (partition by token order by position rows between unbounded preceding and 1 preceding), 0))::bigint as before
+            from {named_uploads} where token in (select token from {judged_uploads} where reason is null)) a) b""",
     "format_day": """select event_id, case event_id % 7 when 4 then '—' when 6 then '—' when 3 then written
         else strftime(cast(substring(trim(written), 1, 10) as date), '%d/%m/%Y') end as shown from {stamps}""",
 }

@@ -611,6 +611,14 @@ def case_page_after(i: Inputs) -> DataFrame:
     return reports.page_after(chosen, "name", last["value"], last["case_key"], 50).select(*SHOWN)
 
 
+@query
+def case_page_far(i: Inputs) -> DataFrame:
+    """A page four fifths down the list, by its number."""
+    total = reports.filter_cases(cases(i), reports.CaseFilter()).count()
+    page = -(-total // 50) * 4 // 5
+    return reports.case_page(cases(i), reports.CaseFilter(), sort="name", page=page, page_size=50, work=i.work).items.select(*SHOWN)
+
+
 @query
 def page_clamp(i: Inputs) -> DataFrame:
     asked = i.table("orders").select(
@@ -639,8 +647,10 @@ def case_lookup(i: Inputs) -> DataFrame:
 
 @query
 def document_lookup(i: Inputs) -> DataFrame:
-    path = "00.000.036.001.1025_000000001025_le_VAN_1025/03.Văn_bản_blue_bolt_3.8921.PDF"
-    return reports.one_document(documents_previous(i), path).select("relative_path", "sha256", "parse_status")
+    """The last path of the previous snapshot, looked up by its name."""
+    documents = documents_previous(i)
+    path = reports.present_documents(documents).agg(F.max("relative_path")).first()[0]
+    return reports.one_document(documents, path).select("relative_path", "sha256", "parse_status")
 
 
 # --- reviews and details -----------------------------------------------------------------
@@ -920,3 +930,27 @@ def format_ts(i: Inputs) -> DataFrame:
 @query
 def format_day(i: Inputs) -> DataFrame:
     return i.view("stamps").select("event_id", text.format_date(F.col("written")).alias("shown"))
+
+
+@query
+def format_ts_forms(i: Inputs) -> DataFrame:
+    return i.view("stamp_forms").select("event_id", text.format_datetime(F.col("written")).alias("shown"))
+
+
+# --- uploads -----------------------------------------------------------------------------
+
+
+def uploads(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    named = imports.named_uploads(i.view("uploads"))
+    return named, i.kept("judged_uploads", lambda: imports.judge_uploads(i.view("sessions"), named))
+
+
+@query
+def upload_rejects(i: Inputs) -> DataFrame:
+    return uploads(i)[1].filter("reason is not null")
+
+
+@query
+def upload_manifest(i: Inputs) -> DataFrame:
+    """The pages that accepted upload sessions offer, numbered over all files of a session."""
+    return imports.upload_pages(*uploads(i), i.work.keep)

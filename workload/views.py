@@ -331,7 +331,39 @@ select event_id, case event_id % 7
          when 0 then replace(written, ' ', 'T') || '+07:00' when 1 then replace(written, ' ', 'T') || 'Z'
          when 2 then substring(written, 1, 10) when 3 then 'bad ' || written when 4 then ''
          when 5 then ' ' || written || '  ' end as written
-from (select event_id, substring({text('ts')}, 1, 19) as written from {{events}}) e
+from (select event_id, {text('ts')} as written from {{events}}) e
+"""
+
+
+# The same moments in every form of ISO 8601, good and bad.
+_DAY, _TIME = "substring(written, 1, 10)", "substring(written, 12)"
+VIEWS["stamp_forms"] = f"""
+select event_id, y, w, d, written as plain, case event_id % 16
+         when 0 then written when 1 then replace(replace({_DAY}, '-', '') || 'T' || {_TIME}, ':', '')
+         when 2 then {_DAY} || 'x' || replace({_TIME}, '.', ',') when 3 then {_DAY} || ' ' || substring({_TIME}, 1, 2)
+         when 4 then y || '-W' || w || '-' || d || 'T' || substring({_TIME}, 1, 5) when 5 then y || 'W' || w || d
+         when 6 then y || '-W' || w when 7 then replace({_DAY}, '-', '') || ' ' || substring({_TIME}, 1, 5) || 'Z'
+         when 8 then written || '+23:59' when 9 then written || '+99:99' when 10 then written || '-0530'
+         when 11 then {_DAY} || 'T' || substring({_TIME}, 1, 5) || '+24:00' when 12 then {_DAY} || 'T'
+         when 13 then substring(written, 1, 4) || '-13-01 ' || {_TIME} when 14 then {_DAY} || 'T2' || substring({_TIME}, 2, 1) || ':61'
+         else {_DAY} || ' ' || {_TIME} || '+05' end as written
+from (select event_id, {text('ts')} as written, {text('1999 + event_id % 31')} as y, {code('event_id % 54')} as w,
+             {text('event_id % 8')} as d from {{events}}) e
+"""
+
+# Uploads: a session for each order, a file for each of its lines. Names come with folders, odd extensions and none.
+VIEWS["sessions"] = f"""
+select md5({text('o_orderkey')}) as token, {folder('o_custkey')} as case_key, o_orderkey as k from {{orders}}
+"""
+VIEWS["uploads"] = f"""
+select md5({text('l_orderkey')}) as token, {folder('o_custkey')} as case_key, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as int) as position,
+       case when l_partkey % 151 = 0 then '' when l_partkey % 97 = 0 then 'C/' || {text('l_partkey')} || '.tif'
+            when l_partkey % 3 = 0 then 'photo ' || {text('l_partkey')} || '.JPG' when l_partkey % 3 = 1 then 'a.b/' || {text('l_suppkey')} || '.pdf'
+            else 'scan.' || {text('l_partkey')} || '.PDF' end as name,
+       {{sha}}{text('l_partkey')} || ':' || {text('l_linenumber')}{{end}} as sha256,
+       case when l_suppkey % 61 = 7 then null else cast(case when l_suppkey % 53 = 9 then 0 else l_quantity end as int) end as page_count
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
+where l_orderkey % 19 <> 0
 """
 
 
