@@ -84,8 +84,19 @@ def name_status(code: Column, slug: Column, known: Column) -> Column:
     )
 
 
+def folded(text: Column) -> Column:
+    """Unicode case folding: texts that differ in case only have one folded form, and sort alike.
+
+    Lower case of upper case is the folded form of all letters but four, which are put right: dotless i folds to itself, both
+    sharp s to ss, and no sigma is final.
+    """
+    kept = F.translate(text, "\u0131", "\ue131")  # a private character stands for dotless i meanwhile
+    low = F.lower(F.upper(kept))
+    return F.translate(F.replace(low, F.lit("\u00df"), F.lit("ss")), "\u03c2\ue131", "\u03c3\u0131")
+
+
 def is_canonical(slug: Column, canonical_slug: Column) -> Column:
-    return F.coalesce(F.lower(slug) == F.lower(canonical_slug), F.lit(False))
+    return F.coalesce(folded(slug) == folded(canonical_slug), F.lit(False))
 
 
 def canonical_filename(filename_base: Column, sequence: Column) -> Column:

@@ -172,8 +172,8 @@ def with_previous_override(accepted: DataFrame, facts: DataFrame, keep: Keep) ->
 
 
 def _beginning() -> Column:
-    """Where stored state stands in the order of actions: before all of them."""
-    return F.lit("1970-01-01 00:00:00").cast("timestamp")
+    """Where stored state stands in the order of actions: before all of them, at the first moment that can be written."""
+    return F.timestamp_micros(F.lit(-62_135_596_800_000_000))
 
 
 def override_changes(accepted: DataFrame, facts: DataFrame, catalog: DataFrame, keep: Keep) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook import schema
-from casebook.functions.names import is_ignored, stays_inside
+from casebook.functions.names import folded, is_ignored, stays_inside
+from casebook.operators.spread import prefix_fold
 from casebook.sources.work import Work
 
 # Shell patterns of names that are never looked at.
@@ -200,4 +201,12 @@ def folders_from_inventory(
 
 
 def in_listing_order(listing: DataFrame) -> DataFrame:
-    return listing.orderBy(F.lower("relative_path"), "relative_path")
+    """Files by their case-folded paths."""
+    return listing.orderBy(folded(F.col("relative_path")), "relative_path")
+
+
+def with_positions(listing: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Files with their ``position`` (from 1) in listing order; only ranges of it are sorted in a task."""
+    rows = listing.withColumns({"_all": F.lit(0), "_folded": folded(F.col("relative_path"))})
+    placed = prefix_fold(rows, ["_all"], ["_folded", "relative_path"], {"_before": F.lit(1)}, {}, keep)
+    return placed.withColumn("position", (F.col("_before") + 1).cast("bigint")).drop("_all", "_folded", "_before")

@@ -42,40 +42,30 @@ def junk(path: Path) -> Path:
     return path
 
 
-def name(number: int, person: str) -> str:
-    return f"25.000.036.001.{number:03d}_0123456789{number - 14:02d}_{person}"
-
-
-def pilot_tree(root: Path) -> dict[str, Path]:
-    """Ten cases, ten files."""
-    one = BASES[1] + ".pdf"
-    folders = {
-        "standard": root / name(15, "Nguyen_Van_A"),
-        "malformed": root / "Folder sai",
-        "named": root / name(16, "Le_Thi_B"),
-        "multi": root / name(17, "Tran_Van_C"),
-        "unknown": root / name(18, "Pham_Van_D"),
-        "duplicate": root / name(19, "Hoang_Van_E"),
-        "empty": root / name(20, "Ngo_Van_F"),
-        "empty2": root / name(21, "Bui_Van_G"),
-        "broken": root / name(22, "Do_Van_H"),
-        "completed": root / name(23, "Vu_Van_I"),
-    }
-    for folder in folders.values():
-        folder.mkdir(parents=True)
-    pdf(folders["standard"] / one)
-    pdf(folders["malformed"] / "not-a-document.pdf")
-    pdf(folders["named"] / (BASES[4] + ".pdf"))
-    pdf(folders["multi"] / (BASES[55] + ".1.pdf"))
-    pdf(folders["multi"] / (BASES[55] + ".2.pdf"), text="second")
-    pdf(folders["unknown"] / "999.tai_lieu_la.pdf")
-    pdf(folders["duplicate"] / one)
-    pdf(folders["duplicate"] / (BASES[1] + ".1.pdf"))
-    junk(folders["broken"] / one)
-    pdf(folders["completed"] / one)
-    return folders
-
-
-def many_cases(root: Path, count: int) -> None:
-    for i in range(count):
-        pdf(root / f"25.000.036.001.{i:04d}_09{i:010d}_Case_{i:04d}" / (BASES[1] + ".pdf"))
+#: An archive of a few situations: folder name, and what it holds as (type number or file name, sequence, kind of file).
+ARCHIVE = {
+    "tidy": ("11.204.7.88.3_A7F2_Mai_Quynh_Chi", [(1, None, "first"), (2, None, "second")]),
+    "series": ("11.204.7.88.4_B019_Ta_Hoai_Nam", [(55, 1, "sheet 1"), (55, 2, "sheet 2"), (55, 3, "sheet 3")]),
+    "copies": ("11.204.9.12.5_C310_Luong_Gia_Bao", [(2, None, "same"), (2, 1, "same"), (2, 2, "same")]),
+    "foreign": ("12.205.1.40.6_D777_Kieu_My_Linh", [("640.ghi_chep.pdf", None, "odd"), (4, None, "fourth")]),
+    "spoilt": ("12.205.1.40.7_E004_Cao_Duc_Huy", [(1, None, None), (5, None, "fifth")]),
+    "loose": ("hop chua phan loai", [("scan0001.pdf", None, "loose")]),
+    "bare": ("12.205.2.41.8_F555_Ha_Thu_Uyen", []),
+}
+
+
+def archive(root: Path) -> dict[str, Path]:
+    """Writes ARCHIVE; a file without content is no PDF."""
+    for folder, files in ARCHIVE.values():
+        (root / folder).mkdir(parents=True)
+        for what, number, content in files:
+            name = what if isinstance(what, str) else BASES[what] + (f".{number}" if number else "") + ".pdf"
+            path = root / folder / name
+            junk(path) if content is None else pdf(path, text=content)
+    return {key: root / folder for key, (folder, _) in ARCHIVE.items()}
+
+
+def numbered_cases(root: Path, count: int) -> None:
+    """Cases with one document each, named by their number."""
+    for n in range(count):
+        pdf(root / f"7.1.2.{n % 7}.{n}_Z{n:06d}_Ho_so_so_{n}" / (BASES[1] + ".pdf"))

@@ -9,7 +9,7 @@ from casebook.plans.scan import scan
 from casebook.plans.updates import submit_actions
 from casebook.sources.catalog import check_entries, load_catalog, read_entries
 from casebook.sources.state import StateStore
-from tests.builders import BASES, entries, junk, many_cases, pdf, pilot_tree, write_catalog
+from tests.builders import BASES, archive, entries, junk, numbered_cases, pdf, write_catalog
 
 ONE = BASES[1] + ".pdf"
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
@@ -58,42 +58,41 @@ def test_catalog_rules(spark, tmp_path):
     assert rows(load_catalog(spark, path), "code")["01"]["priority"] == 3
 
 
-def test_pilot_tree(spark, env):
+def test_an_archive_of_situations(spark, env):
     root, store, run = env
-    folders = pilot_tree(root)
+    folders = archive(root)
     result = run()
-    assert (result.status, result.folders_seen, result.files_seen) == ("SUCCESS", 10, 10), result
-    assert (result.cases_created, result.docs_created) == (10, 10)
+    assert (result.status, result.folders_seen, result.files_seen) == ("SUCCESS", 7, 13), result
+    assert (result.cases_created, result.docs_created) == (7, 13)
     cases = rows(store.read("cases"), "case_key")
-    assert {k: cases[f.name]["auto_status"] for k, f in folders.items()} == {
-        "standard": "CHO_KIEM_TRA", "malformed": "CHUA_XU_LY", "named": "CHO_KIEM_TRA", "multi": "CHO_KIEM_TRA",
-        "unknown": "CHUA_XU_LY", "duplicate": "CHO_KIEM_TRA", "empty": "CHUA_XU_LY", "empty2": "CHUA_XU_LY",
-        "broken": "CHUA_XU_LY", "completed": "CHO_KIEM_TRA",
+    untouched = {"loose", "bare"}  # nothing in them counts as a document
+    assert {k for k, f in folders.items() if cases[f.name]["auto_status"] == "CHUA_XU_LY"} == untouched
+    assert {cases[f.name]["auto_status"] for k, f in folders.items() if k not in untouched} == {"CHO_KIEM_TRA"}
+    assert {k: cases[f.name]["document_count"] for k, f in folders.items()} == {
+        "tidy": 2, "series": 3, "copies": 3, "foreign": 1, "spoilt": 1, "loose": 0, "bare": 0,
     }
-    assert cases[folders["standard"].name]["person_name_display"] == "Nguyen Van A"
-    kinds = sorted((r["case_key"], r["warning_type"]) for r in store.read("warnings").filter("active").collect())
-    assert kinds == sorted(
-        [
-            ("Folder sai", "SAI_TEN_THU_MUC"),
-            ("Folder sai", "SAI_TEN_FILE"),
-            (folders["unknown"].name, "FILE_NGOAI_TAXONOMY"),
-            (folders["duplicate"].name, "TRUNG_TAI_LIEU"),
-            (folders["duplicate"].name, "TRUNG_TAI_LIEU"),
-            (folders["broken"].name, "FILE_KHONG_DOC_DUOC"),
-        ]
-    )
-    page = reports.case_page(store.read("cases"), reports.CaseFilter(q="nguyen"))
-    assert (page.total, [r["case_key"] for r in page.items.collect()]) == (1, [folders["standard"].name])
+    assert cases[folders["tidy"].name]["person_name_display"] == "Mai Quynh Chi"
+    kinds: dict = {}
+    for r in store.read("warnings").filter("active").collect():
+        kinds.setdefault(r["case_key"], []).append(r["warning_type"])
+    assert {k: sorted(v) for k, v in kinds.items()} == {
+        folders["loose"].name: ["SAI_TEN_FILE", "SAI_TEN_THU_MUC"],
+        folders["foreign"].name: ["FILE_NGOAI_TAXONOMY"],
+        folders["copies"].name: ["TRUNG_TAI_LIEU"] * 3,
+        folders["spoilt"].name: ["FILE_KHONG_DOC_DUOC"],
+    }
+    page = reports.case_page(store.read("cases"), reports.CaseFilter(q="quynh"))
+    assert (page.total, [r["case_key"] for r in page.items.collect()]) == (1, [folders["tidy"].name])
     warned = reports.case_page(store.read("cases"), reports.CaseFilter(warning=True), store.read("warnings"))
-    assert warned.total >= 3
+    assert warned.total == 4
     again = run()
-    assert (again.cases_created, again.cases_updated, again.docs_created, again.docs_updated) == (0, 10, 0, 10)
+    assert (again.cases_created, again.cases_updated, again.docs_created, again.docs_updated) == (0, 7, 0, 13)
     assert again.warnings_created == 0
-    broken = store.read("documents").filter(F.col("case_key") == folders["broken"].name).first()
+    broken = store.read("documents").filter(F.col("relative_path").startswith(folders["spoilt"].name + "/01")).first()
     assert broken["parse_status"] == "FILE_KHONG_DOC_DUOC", "an unreadable file stays unreadable"
     assert store.read("scan_runs").count() == 2
     assert reports.last_run(store.read("scan_runs")).first()["run_id"] == again.run_id
-    assert '"files_seen":10' in reports.last_run(store.read("scan_runs")).first()["summary_json"]
+    assert '"files_seen":13' in reports.last_run(store.read("scan_runs")).first()["summary_json"]
 
 
 def test_rescan_keeps_drops_and_restores(env):
@@ -230,7 +229,7 @@ def test_rejected_actions_change_nothing(spark, env):
 
 def test_pages_of_many_cases(env):
     root, store, run = env
-    many_cases(root, 120)
+    numbered_cases(root, 120)
     run()
     cases = store.read("cases")
     seen = []

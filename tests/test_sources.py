@@ -143,7 +143,8 @@ def test_action_stream_applies_each_batch_once(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
     action = {"case_key": "Case", "action": "override", "code": "02", "status": "CAN_BO_SUNG", "ts": "2026-01-01T01:00:00Z", "seq": 1}
-    (inbox / "1.json").write_text(json.dumps(action))
+    bad = ['{"case_key": "Case", "seq": "one"}', "no json", "[1]"]
+    (inbox / "1.json").write_text("\n".join([json.dumps(action), *bad, "", json.dumps({**action, "case_key": "Nobody", "seq": 9})]))
 
     def run(checkpoint):
         stream = read_action_files(spark, str(inbox))
@@ -151,6 +152,9 @@ def test_action_stream_applies_each_batch_once(spark, tmp_path):
 
     run("checkpoint")
     assert store.read("cases").first()["missing_type_count"] == 1
+    unread = spark.read.parquet(f"{tmp_path}/checkpoint-rejected-unread/batch=0")
+    assert sorted(r["unread"] for r in unread.collect()) == sorted(bad)
+    assert [r["case_key"] for r in spark.read.parquet(f"{tmp_path}/checkpoint-rejected/batch=0").collect()] == ["Nobody"]
     version, history = store.version(), store.read("case_history").count()
     run("fresh checkpoint")
     assert (store.version(), store.read("case_history").count()) == (version, history), "batch 0 came twice"

@@ -676,6 +676,14 @@ SQL: dict[str, str] = {
           when form in (0, 1, 2, 7, 8, 10, 15) then whole when form = 3 then day || ' ' || substring(plain, 12, 2) || ':00'
           when form in (4, 5, 6) and fine then strftime(found, '%d/%m/%Y') || case when form = 4 then ' ' || substring(plain, 12, 5) else ' 00:00' end
           else written end as shown from {week_forms}""",
+    "folded_names": "select k, folded from {odd_names}",
+    "listing_order": "select relative_path, row_number() over (order by folded, relative_path) as position from {odd_names}",
+    "manifest_check": """select token, case when k % 10 > 4 then 1 end as n_pages, case when k % 10 > 4 then cast(c as varchar) when k % 10 in (2, 3) then 'x' end as case_key,
+        case when k % 10 in (0, 4) then 'not JSON' when k % 10 = 1 then 'not an object' when k % 10 in (2, 3) then 'no list of pages' end as reason,
+        case when k % 10 <= 4 then text end as broken from (select m.*, o_custkey as c from {manifest_texts} m join orders on o_orderkey = k) j""",
+    "inventory_listing": """select relative_path, string_split(relative_path, '/')[1] as case_key, size_bytes, mtime_ns
+        from (select substring(path, 7) as relative_path, size_bytes, mtime_ns from {inventory}
+              where path like '/data/%' and path not like '/data/.hidden/%' and path not like '%/../%' and lower(path) like '%.pdf') f""",
     "upload_rejects": "select token, case_key, reason, file from {judged_uploads} where reason is not null",
     "upload_manifest": """select token, case_key, before + n as number, 'p' || (before + n) as page_id, base as source_name,
           'source-' || lpad(position::varchar, 3, '0') || ext as source_path, case when ext = '.pdf' then n::int end as source_page,

@@ -14,6 +14,7 @@ from casebook.operators import actions, checklist, deltas, diff, imports, status
 from casebook.plans import reports, updates
 from casebook.plans import scan as scans
 from casebook.sources import catalog as catalogs
+from casebook.sources import listing, manifest
 from workload.inputs import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -954,3 +955,28 @@ def upload_rejects(i: Inputs) -> DataFrame:
 def upload_manifest(i: Inputs) -> DataFrame:
     """The pages that accepted upload sessions offer, numbered over all files of a session."""
     return imports.upload_pages(*uploads(i), i.work.keep)
+
+
+@query
+def manifest_check(i: Inputs) -> DataFrame:
+    """Manifests as texts: what is wrong with each and the text itself."""
+    parsed = manifest.parse_manifests(i.view("manifest_texts"))
+    return parsed.select("token", F.when(F.col("pages").isNotNull(), F.size("pages")).alias("n_pages"), "case_key", "reason", "broken")
+
+
+# --- listings ----------------------------------------------------------------------------
+
+
+@query
+def folded_names(i: Inputs) -> DataFrame:
+    return i.view("odd_names").select("k", names.folded(F.col("relative_path")).alias("folded"))
+
+
+@query
+def listing_order(i: Inputs) -> DataFrame:
+    return listing.with_positions(i.view("odd_names").select("relative_path"), i.work.keep)
+
+
+@query
+def inventory_listing(i: Inputs) -> DataFrame:
+    return listing.listing_from_inventory(i.view("inventory"), "/data")

@@ -351,6 +351,33 @@ from (select event_id, {text('ts')} as written, {text('1999 + event_id % 31')} a
              {text('event_id % 8')} as d from {{events}}) e
 """
 
+# Names whose case is not a matter of single ASCII letters, with their folded form spelled out.
+VIEWS["odd_names"] = f"""
+select k, case k % 8 when 0 then 'ΟΔΟΣ' when 1 then 'οδος' when 2 then 'Straße' when 3 then 'STRASSE' when 4 then 'İstanbul'
+                     when 5 then 'ISTANBUL' when 6 then 'ıstanbul' else 'ĐƠN XIN' end || '/' || {text('k')} || '.pdf' as relative_path,
+       case k % 8 when 0 then 'οδοσ' when 1 then 'οδοσ' when 2 then 'strasse' when 3 then 'strasse' when 4 then 'i̇stanbul'
+                  when 5 then 'istanbul' when 6 then 'ıstanbul' else 'đơn xin' end || '/' || {text('k')} || '.pdf' as folded
+from (select o_orderkey as k from {{orders}}) o
+"""
+
+# Texts of session manifests, some of them broken.
+_OPEN, _SHUT = "chr(123)", "chr(125)"  # braces are taken by the views themselves
+VIEWS["manifest_texts"] = f"""
+select md5({text('o_orderkey')}) as token, o_orderkey as k,
+       case o_orderkey % 10 when 0 then {_OPEN} || '"case_id": "' when 1 then '[1, 2]'
+         when 2 then {_OPEN} || '"case_id": "x", "pages": "none"' || {_SHUT} when 3 then {_OPEN} || '"case_id": "x"' || {_SHUT} when 4 then ''
+         else {_OPEN} || '"case_id": "' || {text('o_custkey')} || '", "sources": [], "pages": [' || {_OPEN}
+              || '"page_id": "p1", "source_page": 1' || {_SHUT} || ']' || {_SHUT} end as text
+from {{orders}}
+"""
+
+# An inventory as an object store writes it: absolute paths of all kinds of files.
+VIEWS["inventory"] = f"""
+select case k % 9 when 0 then '/other/' when 1 then '/data/.hidden/' when 2 then '/data/a/../' else '/data/' end || relative_path
+         || case when k % 7 = 0 then '.txt' else '' end as path, size_bytes, mtime_ns
+from {{files}}
+"""
+
 # Uploads: a session for each order, a file for each of its lines. Names come with folders, odd extensions and none.
 VIEWS["sessions"] = f"""
 select md5({text('o_orderkey')}) as token, {folder('o_custkey')} as case_key, o_orderkey as k from {{orders}}
