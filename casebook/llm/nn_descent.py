@@ -235,7 +235,7 @@ def nearest(rows: DataFrame, every: int, k: int = 20, id_col: str = "vec_id", ve
     work = Work(spark)
     vectors = work.keep(usable(rows, id_col, vector_col), "vectors")
     out = None
-    for size in [r[0] for r in vectors.select(F.size("vector").alias("n")).distinct().limit(64).collect()]:
+    for size in [r[0] for r in vectors.select(F.size("vector").alias("n")).distinct().orderBy("n").collect()]:
         part = _nearest_of(vectors.where(F.size("vector") == size), every, k, work)
         out = part if out is None else out.unionByName(part)
     if out is None:
