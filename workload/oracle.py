@@ -638,6 +638,20 @@ SQL: dict[str, str] = {
         from (select distinct case_key, type_id as code from {requests} where type_id <> 'UNKNOWN') r
         join {catalog} t on t.code = r.code left join {taken} x on x.case_key = r.case_key and x.code = r.code""",
     "import_names": "select token, case_key, type_id, sequence, filename from {named}",
+    "import_second_batch": """
+        select token, case_key, type_id, sequence, filename_base || case when sequence is null then '' else '.' || sequence end || '.pdf' as filename
+        from (select j.*, t.filename_base, case when x.max_sequence is not null then x.max_sequence + j.rank
+                     when x.plain_exists then 1 + j.rank when j.rank > 1 then j.rank end as sequence
+              from (select *, row_number() over (partition by case_key, type_id order by k % 2, requested_at, token) as rank
+                    from {judged} where reason is null) j
+              join {catalog} t on t.code = j.type_id left join {taken} x on x.case_key = j.case_key and x.code = j.type_id) n
+        where k % 2 = 1""",
+    "import_token_reuse": """select token, case_key, type_id, coalesce(reason, 'session already used') as reason
+        from {judged} where k % 3 = 0 and (reason is not null or k % 2 = 0)""",
+    "schema_upgrade": """select case_key, 0::bigint as type_count, 0::bigint as missing_type_count, null::varchar as note, document_count,
+        28 as n_columns from {cases_previous}""",
+    "records_json": """select '{"case_key":"' || case_key || '","effective_status":"CAN_BO_SUNG","unit_code":' || coalesce('"' || unit_code || '"', 'null')
+        || ',"document_count":' || document_count || '}' as record from {cases} where is_present and effective_status = 'CAN_BO_SUNG'""",
     "import_renames": """select case_key, type_id, filename_base || '.pdf' as rename_from,
         filename_base || '.1.pdf' as rename_to from {named} where first""",
     "import_rejects": "select token, case_key, type_id, reason from {judged} where reason is not null",

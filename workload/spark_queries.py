@@ -318,6 +318,21 @@ def scan_counters(i: Inputs) -> DataFrame:
     return i.spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counted_scan(i).items()])
 
 
+@query
+def schema_upgrade(i: Inputs) -> DataFrame:
+    """A case table of an earlier version: columns it lacks get their defaults, kinds are those of today."""
+    old = cases_previous(i).drop("type_count", "missing_type_count", "note").withColumn("document_count", F.col("document_count").cast("int"))
+    now = schema.conform(old.withColumn("of_old", F.lit(1)), "cases")
+    return now.select("case_key", "type_count", "missing_type_count", "note", "document_count", F.lit(len(now.columns)).alias("n_columns"))
+
+
+@query
+def records_json(i: Inputs) -> DataFrame:
+    """A read result as JSON records."""
+    shown = reports.filter_cases(cases(i), reports.CaseFilter(status="CAN_BO_SUNG")).select("case_key", "effective_status", "unit_code", "document_count")
+    return shown.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+
+
 @query
 def run_summary(i: Inputs) -> DataFrame:
     """The run log row of the scan."""
@@ -797,8 +812,9 @@ def named_documents(i: Inputs) -> DataFrame:
     return i.state("named_files", "documents")
 
 
-def import_requests(i: Inputs) -> DataFrame:
-    """Requests with their page lists: some empty, with repeats, unknown pages or odd angles."""
+def import_requests(i: Inputs, chosen: str = "true") -> DataFrame:
+    """Requests (those with a number ``k`` that is ``chosen``) with their page lists: some empty, with repeats, unknown pages
+    or odd angles."""
     k = F.col("k")
     page = lambda n: F.struct(
         F.concat(F.lit("p"), F.when((k % 43 == 0) & (n == 2), n - 1).otherwise(n).cast("string")).alias("id"),
@@ -808,7 +824,7 @@ def import_requests(i: Inputs) -> DataFrame:
     pages = F.when(k % 59 == 0, F.array().cast("array<struct<id:string,rotation:int>>")).otherwise(
         F.transform(F.sequence(F.lit(1).cast("bigint"), count), page)
     )
-    return i.view("requests").select(
+    return i.view("requests").filter(chosen).select(
         "token", "case_key", "type_id", "document_date", "note", pages.alias("pages"), "requested_at"
     )
 
@@ -858,6 +874,28 @@ def import_names(i: Inputs) -> DataFrame:
     return import_plan(i).names
 
 
+def import_again(i: Inputs, chosen: str) -> updates.ImportPlan:
+    """A further batch, after one of the requests with even numbers whose files no scan has seen yet."""
+    even = import_requests(i, "k % 2 = 0")
+    first = updates.plan_imports(i.work, even, manifests(i), named_documents(i), cases(i), i.catalog, i.t0)
+    events = i.kept("import_events", lambda: first.provenance)
+    return updates.plan_imports(
+        i.work, import_requests(i, chosen), manifests(i), named_documents(i), cases(i), i.catalog, i.t1, events
+    )
+
+
+@query
+def import_second_batch(i: Inputs) -> DataFrame:
+    """Names of a second batch go on after those of the first."""
+    return import_again(i, "k % 2 = 1").names
+
+
+@query
+def import_token_reuse(i: Inputs) -> DataFrame:
+    """Requests of which every other one names a session that an earlier batch has used up."""
+    return import_again(i, "k % 3 = 0").rejected
+
+
 @query
 def import_renames(i: Inputs) -> DataFrame:
     return import_plan(i).renames
