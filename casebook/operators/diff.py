@@ -21,6 +21,8 @@ def change_kind(prior_known: Column, listed: Column, same: Column) -> Column:
 
 #: What a change carries of the stored document, each under this prefix.
 BEFORE = "p_"
+#: What only documents that are not listed need of it; the others get it from their file.
+_OF_GONE = ("filename", "taxonomy_name", "sequence_no", "priority", "size_bytes", "mtime_ns", "last_seen_at")
 _CARRIED = [f.name for f in schema.TABLES["documents"].fields if f.name not in ("case_key", "relative_path")]
 
 
@@ -29,17 +31,20 @@ def change_set(prior: DataFrame, listing: DataFrame) -> DataFrame:
 
     A file is unchanged if size and modification time agree and it was present before. Everything a scan does to
     documents follows from this table: what to read, the next snapshot, tombstones, counters and count differences.
+    It is written, so listed files carry only what they keep.
     """
     p = prior.select("relative_path", F.col("case_key").alias("_case"), *[F.col(n).alias(BEFORE + n) for n in _CARRIED])
     c = listing.select("relative_path", "case_key", "size_bytes", "mtime_ns")
     same = F.col("p_is_present") & (F.col("p_size_bytes") == F.col("size_bytes")) & (F.col("p_mtime_ns") == F.col("mtime_ns"))
+    carried = {n: F.col(BEFORE + n) for n in _CARRIED}
+    carried |= {n: F.when(F.col("size_bytes").isNull(), carried[n]) for n in _OF_GONE}
     return p.join(c, "relative_path", "full_outer").select(
         "relative_path",
         F.coalesce("case_key", "_case").alias("case_key"),
         change_kind(F.col("p_is_present").isNotNull(), F.col("size_bytes").isNotNull(), same).alias("change_kind"),
         "size_bytes",
         "mtime_ns",
-        *[BEFORE + n for n in _CARRIED],
+        *[column.alias(BEFORE + n) for n, column in carried.items()],
     )
 
 
