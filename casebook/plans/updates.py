@@ -147,26 +147,30 @@ def submit_actions(
     With ``rejects`` they are also kept in that folder, as parquet, before the state is published.
     """
     work, draft = Work(store.spark), store.draft()
-    result = apply_actions(
-        work,
-        work.keep(batch, "batch"),
-        draft.read("cases"),
-        draft.read("documents"),
-        pin(draft.read("catalog")),
-        draft.read("checklist_overrides"),
-        draft.read("warnings"),
-        moment(at or datetime.now(timezone.utc)),
-        evidence,
-    )
-    rejected = Work(store.spark).keep(result.rejected, "rejected")
-    if rejects:
-        rejected.write.mode("overwrite").parquet(rejects)
-    draft.append("case_history", result.history)
-    draft.replace("cases", result.cases)
-    draft.replace("warnings", result.warnings)
-    draft.replace("checklist_overrides", result.overrides)
-    draft.publish(batch_id)
-    work.drop()
+    try:
+        result = apply_actions(
+            work,
+            work.keep(batch, "batch"),
+            draft.read("cases"),
+            draft.read("documents"),
+            pin(draft.read("catalog")),
+            draft.read("checklist_overrides"),
+            draft.read("warnings"),
+            moment(at or datetime.now(timezone.utc)),
+            evidence,
+        )
+        if rejects:
+            result.rejected.write.mode("overwrite").parquet(rejects)
+            rejected = store.spark.read.schema(result.rejected.schema).parquet(rejects)
+        else:
+            rejected = Work(store.spark).keep(result.rejected, "rejected")
+        draft.append("case_history", result.history)
+        draft.replace("cases", result.cases)
+        draft.replace("warnings", result.warnings)
+        draft.replace("checklist_overrides", result.overrides)
+        draft.publish(batch_id)
+    finally:
+        work.drop()
     return rejected
 
 
