@@ -1,24 +1,27 @@
 """Near-duplicates by an LSH forest over MinHash signatures.
 
-Each tree orders the documents by a sequence of min-hashes of its own. A region is the set of documents that share a
-prefix of that sequence. Candidates are
-
-  1. in every region: each document and the region's first document. A region with more than ``BLOCK`` documents is also
-     divided by the following min-hashes, as deep as it takes, so that what is most alike is linked early;
-  2. in every region of the least depth that then still holds more than one component: all pairs of different components,
-     however many documents it has. Its documents are dealt to blocks, and every two blocks are compared in a task.
-
-Documents with equal shingle sets are one node from the start, so copies cost nothing here. Each candidate whose
-signatures do not rule it out is confirmed on the full shingle sets of the texts, and confirmed links make components.
-Pairs just at the threshold share a region of the least depth in some tree with probability 0.99999, and a confirmed
-link needs that only once along a chain of documents; nothing caps partners or candidates of a document.
+Documents with equal shingle sets are one node from the start, so copies cost nothing here. Then
+
+  1. each tree puts the nodes in the order of a sequence of min-hashes of its own, all trees in one range-partitioned
+     sort. Neighbours in an order that share its first ``DEPTH`` min-hashes are candidates; the order goes on behind
+     them, so a neighbour is one with the longest common prefix and a crowded region is divided as deep as it takes;
+  2. candidates whose signatures do not rule them out are confirmed on the full shingle sets of the texts: first the most
+     alike of each node, then, of those still apart, one of each two components. Confirmed links make components;
+  3. a region (the nodes that share the first ``DEPTH`` min-hashes of a tree) that still holds several components is
+     searched exactly: its sets go through an index on their rarest shingles. Sets that reach the similarity share one
+     within the first few in order of rarity; the positions of a shared shingle and the sizes of the sets bound what
+     they can have in common. Components meet others only: what has been joined is not compared again.
+
+Pairs just at the threshold share a region in some tree with probability 0.99999; nothing caps partners or candidates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm.common import map_batches, mix64, slices, table, texts_as_bytes, word_hashes
@@ -27,12 +30,12 @@ from casebook.sources.work import Work
 
 TREES, LABEL = 16, 6
 HASHES = TREES * LABEL
-#: Depths of regions, from the least on; a depth beyond LABEL goes on with the next tree's min-hashes.
-DEPTHS = (3, 4, 5, 6, 8, 12, 24, HASHES)
-#: Documents of a block; a region with more is several blocks, and each is compared with each.
-BLOCK = 128
-#: Pairs of two blocks from which on each of their texts is sent once and not for each pair.
-MANY = 256
+#: Min-hashes that the nodes of a region share, and those after them by which a region is sorted.
+DEPTH, FURTHER = 3, 12
+#: Neighbours looked at on either side in each order; what they miss is left to the index.
+NEAR = 2
+#: Sizes of sets are told apart by this factor in the keys of the index.
+BAND = 1.08
 #: Signatures estimate the similarity with a deviation of at most 0.051; a pair is ruled out at this much below.
 MARGIN = 0.22
 _rng = np.random.default_rng(20)
@@ -62,198 +65,268 @@ def signature(own: np.ndarray) -> np.ndarray:
     return out.astype("<u2")
 
 
-def region_keys(signatures: np.ndarray, trees: np.ndarray, depth: int) -> np.ndarray:
-    """Key of the region of each (signature, tree) at a depth: its tree and the first ``depth`` values of its order."""
-    key = mix64(trees.astype(np.uint64) + np.uint64(1))
-    rows = np.arange(len(signatures))
-    for k in range(depth):
-        key = mix64(key * _STEP + signatures[rows, (trees * LABEL + k) % HASHES].astype(np.uint64))
-    return (key ^ mix64(np.full(len(key), depth, np.uint64))).view(np.int64)
-
-
 def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, HASHES)
 
 
+def node_of(own: np.ndarray) -> int:
+    """The node of a set: 64 bits made from two sums over its shingles and its size."""
+    parts = np.array([own.sum(dtype=np.uint64), mix64(own).sum(dtype=np.uint64), own.size], np.uint64)
+    return int(mix64(mix64(parts[:1] + mix64(parts[2:])) * _STEP + parts[1:2]).view(np.int64)[0])
+
+
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, two hashes of the set (``set_1``, ``set_2``) and its ``signature``, for each row."""
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``node`` and ``signature`` of each row; without shingles no signature."""
 
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "t"):
-            n, one, two, marks = [], [], [], []
+            n, nodes, marks = [], [], []
             for text in texts_as_bytes(part["t"]):
                 own = shingles(text, width)
                 n.append(own.size)
-                one.append(int(own.sum(dtype=np.uint64)))
-                two.append(int(mix64(own).sum(dtype=np.uint64)))
+                nodes.append(node_of(own))
                 marks.append(signature(own).tobytes() if own.size else None)
-            as_long = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([part["i"], pa.array(n, pa.int64()), as_long(one), as_long(two), pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "set_1", "set_2", "signature"])
+            yield pa.RecordBatch.from_arrays([part["i"], part["h"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "text_hash", "n_shingles", "node", "signature"])
 
-    return map_batches(docs.select(docs["doc_id"].cast("long").alias("i"), docs["text"].cast("string").alias("t")), run, "doc_id long, n_shingles long, set_1 long, set_2 long, signature binary")
+    text = docs["text"].cast("string")
+    rows = docs.select(docs["doc_id"].cast("long").alias("i"), F.xxhash64(text).alias("h"), text.alias("t"))
+    return map_batches(rows, run, "doc_id long, text_hash long, n_shingles long, node long, signature binary")
 
 
-def _regions(rows: DataFrame, depth: int, first: bool) -> DataFrame:
-    """``node``, ``tree`` and ``region`` at a depth; the first time for all trees of a node."""
+def in_trees(nodes: DataFrame) -> DataFrame:
+    """``node``, its ``region`` in each tree and its ``order`` within, the big-endian min-hashes after the region's."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marks, nodes = _signatures(batch["signature"]), batch["node"].to_numpy()
-        if first:
-            trees = np.tile(np.arange(TREES, dtype=np.int32), len(nodes))
-            marks, nodes = np.repeat(marks, TREES, 0), np.repeat(nodes, TREES)
-        else:
-            trees = batch["tree"].to_numpy()
-        keys = region_keys(marks, trees.astype(np.int64), depth)
-        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(trees, pa.int32()), pa.array(keys)], ["node", "tree", "region"])
+        ids = np.repeat(batch["node"].to_numpy(), TREES)
+        trees = np.tile(np.arange(TREES), batch.num_rows)
+        marks = np.repeat(_signatures(batch["signature"]), TREES, 0)
+        values = np.take_along_axis(marks, (trees[:, None] * LABEL + np.arange(DEPTH + FURTHER)) % HASHES, 1)
+        region = mix64(trees.astype(np.uint64) + np.uint64(1))
+        for k in range(DEPTH):
+            region = mix64(region * _STEP + values[:, k].astype(np.uint64))
+        raw = np.ascontiguousarray(values[:, DEPTH:].astype(">u2")).tobytes()
+        order = pa.Array.from_buffers(pa.binary(2 * FURTHER), len(ids), [None, pa.py_buffer(raw)]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(region.view(np.int64)), order], ["node", "region", "order"])
+
+    return map_batches(nodes.select("node", "signature"), run, "node long, region long, order binary")
 
-    return map_batches(rows, run, "node long, tree int, region long")
 
+def neighbours(rows: DataFrame) -> DataFrame:
+    """Distinct ``u`` > ``v`` that lie at most NEAR apart in the order of a region.
 
-def _plausible(rows: DataFrame, least: float) -> DataFrame:
-    """Of rows (u, v, mark_u, mark_v) the u, v whose signatures agree in at least a share ``least``."""
+    Neighbours on both sides of a partition's edge do not meet here; the index finds them if their region is still open.
+    """
+    keys = ["region", "order", "node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            before = min(NEAR, len(node))
+            region = np.concatenate([region[len(region) - before :], batch["region"].to_numpy()])
+            node = np.concatenate([node[len(node) - before :], batch["node"].to_numpy()])
+            for far in range(1, NEAR + 1):
+                new = max(0, before - far)
+                a, b = node[new : len(node) - far], node[new + far :]
+                met = region[new : len(node) - far] == region[new + far :]
+                if met.any():
+                    a, b = a[met], b[met]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["u", "v"])
+
+    in_order = rows.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return in_order.select("region", "node").mapInArrow(run, "u long, v long").distinct()
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Of pairs (u, v) those whose signatures agree in at least a share ``least``, with that share as ``near``."""
+    of = lambda name: nodes.select(F.col("node").alias(name), F.col("signature").alias(f"mark_{name}"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        near = (_signatures(batch["mark_u"]) == _signatures(batch["mark_v"])).mean(1) >= least
-        return batch.select(["u", "v"]).filter(pa.array(near))
+        near = (_signatures(batch["mark_u"]) == _signatures(batch["mark_v"])).mean(1)
+        rows = pa.RecordBatch.from_arrays([batch["u"], batch["v"], pa.array(near)], ["u", "v", "near"])
+        return rows.filter(pa.array(near >= least))
+
+    both = pairs.select("u", "v").join(of("u"), "u").join(of("v"), "v")
+    return map_batches(both.select("u", "v", "mark_u", "mark_v"), run, "u long, v long, near double")
 
-    return map_batches(rows.select("u", "v", "mark_u", "mark_v"), run, "u long, v long")
 
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``node``, its size ``n`` and its shingles ``items`` (ascending, eight bytes each), for ``wanted`` nodes, each found by
+    its least id ``head``. An id may have several texts: only those that make the node count."""
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, per_cent: int) -> DataFrame:
+    def run(batch: pa.RecordBatch):
+        for part in slices(batch, "t"):
+            nodes, n, items = [], [], []
+            for node, text in zip(part["node"].to_pylist(), texts_as_bytes(part["t"]), strict=True):
+                own = shingles(text, width)
+                if node_of(own) == node:
+                    nodes.append(node)
+                    n.append(own.size)
+                    items.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(items, pa.binary())], ["node", "n", "items"])
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].cast("string").alias("t")).join(wanted, F.col("_id") == F.col("head"))
+    return map_batches(rows.select("node", "t"), run, "node long, n long, items binary").dropDuplicates(["node"])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """The pairs (u, v) whose full shingle sets are alike enough."""
-    of_v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
-    of_u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
+    of = lambda name: sets.select(F.col("node").alias(name), F.col("items").alias(f"items_{name}"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        last, held = None, None
         alike = []
-        for v, a, b in zip(batch["v"].to_pylist(), texts_as_bytes(batch["text_u"]), texts_as_bytes(batch["text_v"]), strict=True):
-            if v != last:
-                last, held = v, shingles(b, width)
-            own = shingles(a, width)
-            common = np.intersect1d(held, own, assume_unique=True).size
-            alike.append(common > 0 and 100 * common >= per_cent * (held.size + own.size - common))
+        for a, b in zip(batch["items_u"], batch["items_v"], strict=True):
+            a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+            common = np.intersect1d(a, b, assume_unique=True).size
+            alike.append(common > 0 and 100 * common >= per_cent * (a.size + b.size - common))
         return batch.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
 
-    return map_batches(pairs.join(of_u, "u").join(of_v, "v").select("u", "v", "text_u", "text_v"), run, "u long, v long")
+    both = pairs.select("u", "v").join(of("u"), "u").join(of("v"), "v")
+    return map_batches(both.select("u", "v", "items_u", "items_v"), run, "u long, v long")
+
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (u, v) of different components, with these as ``a`` and ``b``, the larger first."""
+    of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+    rows = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    rows = rows.withColumn("of_u", F.coalesce("of_u", "u")).withColumn("of_v", F.coalesce("of_v", "v")).where("of_u <> of_v")
+    return rows.select(*pairs.columns, F.greatest("of_u", "of_v").alias("a"), F.least("of_u", "of_v").alias("b"))
 
-def _different(rows: DataFrame, least: float) -> DataFrame:
-    """``u``, ``v`` and ``cell``: pairs u > v of different components within a region (rows of region, its ``size``, node,
-    component and signature) whose signatures agree in at least a share ``least``, each with one of the cells (a region
-    and two of its blocks) in which it was met."""
-    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.withColumn("n", n_blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-    blocks = dealt.groupBy("region", "n", "block").agg(F.collect_list(F.struct("node", "component", "signature")).alias("in"))
-    sent = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    sent = sent.select("region", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "in")
-    met = sent.groupBy("region", "a", "b").agg(F.collect_list("in").alias("blocks")).where((F.col("a") == F.col("b")) | (F.size("blocks") == 2))
+
+def _most_alike(pairs: DataFrame, *by: str) -> DataFrame:
+    """Of pairs (u, v, near) the most alike one for each value of ``by``."""
+    best = pairs.groupBy(*by).agg(F.max(F.struct("near", "u", "v")).alias("best"))
+    return best.select("best.u", "best.v", "best.near").distinct()
+
+
+def _exploded(sets: DataFrame) -> DataFrame:
+    """``node`` and ``item`` for each shingle of each set."""
 
     def run(batch: pa.RecordBatch):
-        names = ["region", "a", "b"]
-        for n in range(batch.num_rows):
-            sides = []
-            for block in batch["blocks"][n].as_py():
-                marks = np.frombuffer(b"".join(x["signature"] for x in block), "<u2").reshape(-1, HASHES)
-                sides.append((marks, np.array([x["node"] for x in block]), np.array([x["component"] for x in block])))
-            (marks, nodes, own), (marks_2, nodes_2, own_2) = sides[0], sides[-1]
-            us, vs = [], []
-            for k in range(len(nodes)):
-                to = k if len(sides) == 1 else len(nodes_2)
-                near = ((marks_2[:to] == marks[k]).mean(1) >= least) & (own_2[:to] != own[k])
-                found = nodes_2[:to][near]
-                us.append(np.maximum(found, nodes[k]))
-                vs.append(np.minimum(found, nodes[k]))
-            u, v = np.concatenate(us), np.concatenate(vs)
-            if u.size:
-                cell = [pa.array(np.full(u.size, batch[c][n].as_py(), np.int64)) for c in names]
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), *cell], ["u", "v", *names])
-
-    pairs = map_batches(met, run, "u long, v long, region long, a long, b long")
-    return pairs.groupBy("u", "v").agg(F.min(F.struct("region", "a", "b")).alias("cell"))
-
-
-def _confirmed_in_cells(pairs: DataFrame, texts: DataFrame, width: int, per_cent: int, work: Work) -> DataFrame:
-    """As _confirmed, for pairs with a ``cell``: where a cell has MANY pairs, its texts are sent there once."""
-    size = pairs.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") >= MANY).select("cell")
-    crowded = work.keep(pairs.join(size, "cell"), "crowded-pairs")
-    few = _confirmed(pairs.join(size, "cell", "left_anti").select("u", "v"), texts, width, per_cent)
-    if not crowded.take(1):
-        return few
-    members = crowded.select("cell", F.col("u").alias("node")).unionByName(crowded.select("cell", F.col("v").alias("node"))).distinct()
-    there = members.join(texts, F.col("node") == F.col("doc_id")).select(F.col("cell").alias("_cell"), "node", F.col("text").alias("t"))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets: dict[int, np.ndarray] = {}
-        for batch in right.select(["node", "t"]).to_batches():
-            for part in slices(batch, "t"):
-                for node, text in zip(part["node"].to_pylist(), texts_as_bytes(part["t"]), strict=True):
-                    sets[node] = shingles(text, width)
-        alike = []
-        for u, v in zip(left["u"].to_pylist(), left["v"].to_pylist(), strict=True):
-            common = np.intersect1d(sets[u], sets[v], assume_unique=True).size
-            alike.append(common > 0 and 100 * common >= per_cent * (sets[u].size + sets[v].size - common))
-        return left.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
+        for part in slices(batch, "items"):
+            own = [np.frombuffer(x.as_buffer(), np.int64) for x in part["items"]]
+            nodes = np.repeat(part["node"].to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(own))], ["node", "item"])
+
+    return map_batches(sets.select("node", "items"), run, "node long, item long")
+
+
+def _band(size: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(size, 1)) / np.log(BAND)).astype(np.int64)
+
+
+def postings(rows: DataFrame, per_cent: int) -> DataFrame:
+    """Index entries of sets (``node``, ``component``, ``n``, ``shared``: a struct of frequency and shingle for each shingle that
+    another set has too): ``probe``, ``key``, ``node``, ``component``, ``n``, ``at``.
+
+    In the order of rarity the shingle at position ``at`` (from 0) can be the first common one of two sets only if what is
+    left from it on reaches the overlap they need. A set asks (``probe``) sets of its size or less, one key for each band
+    of sizes that are still possible, and is asked by sets of its size or more.
+    """
+
+    def run(batch: pa.RecordBatch):
+        for at_row in range(batch.num_rows):
+            node, component, n = (batch[c][at_row].as_py() for c in ("node", "component", "n"))
+            shared = batch["shared"][at_row].values
+            items = shared.field("item").to_numpy()
+            items = items[np.lexsort((items, shared.field("seen").to_numpy()))]
+            at = n - len(items) + np.arange(len(items))
+            low = -(-per_cent * n // 100)
+            high = np.minimum(n, (n - at) * (100 + per_cent) // per_cent - n)
+            asks = high >= low
+            first, last = _band(np.array([low]))[0], _band(high[asks])
+            counts = last - first + 1
+            bands = np.repeat(first, counts.sum()) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            asked = 2 * per_cent * n <= (n - at) * (100 + per_cent)
+            item = np.concatenate([np.repeat(items[asks], counts), items[asked]])
+            band = np.concatenate([bands, np.full(asked.sum(), _band(np.array([n]))[0])])
+            key = mix64(item.view(np.uint64) + mix64(band.astype(np.uint64) + np.uint64(1))).view(np.int64)
+            probe = np.arange(len(key)) < counts.sum()
+            whole = lambda v: pa.array(np.full(len(key), v, np.int64))
+            place = np.concatenate([np.repeat(at[asks], counts), at[asked]])
+            if len(key):
+                yield pa.RecordBatch.from_arrays([pa.array(probe), pa.array(key), whole(node), whole(component), whole(n), pa.array(place)], ["probe", "key", "node", "component", "n", "at"])
+
+    return map_batches(rows, run, "probe boolean, key long, node long, component long, n long, at long")
+
+
+def index_pairs(sets: DataFrame, scope: DataFrame, per_cent: int, work: Work) -> DataFrame:
+    """Distinct ``u`` > ``v`` of different components among the nodes of ``scope`` (node, component), with all whose sets reach
+    the similarity.
+
+    Where a key's largest component meets itself nothing is listed: the others ask it and are asked by it.
+    """
+    every = sets.select("node", "n").join(scope, "node")
+    items = _exploded(sets.join(scope.select("node"), "node", "left_semi"))
+    seen = items.groupBy("item").agg(F.count("*").alias("seen")).where("seen > 1")
+    shared = items.join(seen, "item").groupBy("node").agg(F.collect_list(F.struct("seen", "item")).alias("shared"))
+    entries = work.keep(postings(shared.join(every, "node").select("node", "component", "n", "shared"), per_cent), "postings")
+    sizes = entries.groupBy("key", "component").agg(F.count("*").alias("size"))
+    keys = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).getField("component").alias("main"), F.count("*").alias("of")).where("of > 1")
+    entries = work.keep(entries.join(keys.select("key", "main"), "key"), "open-postings")
+    asking, asked = (entries.where(F.col("probe") == p).select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "at", "main"))) for p, s in ((True, 1), (False, 2)))
+    possible = F.expr(f"component_1 <> component_2 and n_1 >= n_2 and {per_cent} * (n_1 + n_2) <= {100 + per_cent} * least(n_1 - at_1, n_2 - at_2)")
+    main_1, main_2 = F.expr("component_1 = main_1"), F.expr("component_2 = main_2")
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        both = left.withColumnRenamed("key", "key_1").join(right, (F.col("key_1") == F.col("key")) & possible)
+        return both.select(F.greatest("node_1", "node_2").alias("u"), F.least("node_1", "node_2").alias("v"))
 
-    both = crowded.groupBy("cell").cogroup(there.groupBy("_cell"))
-    return few.unionByName(both.applyInArrow(run, "u long, v long"))
+    return met(asking.where(~main_1), asked).unionByName(met(asking.where(main_1), asked.where(~main_2))).distinct()
 
 
-def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | None = None) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` (the least id that can be reached) and ``kept``.
+def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | None = None, text_hash: bool = False) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, ``component_id`` (the least id that can be reached) and ``kept``; with ``text_hash``
+    also that (``xxhash64`` of the text), which with the id names the row.
 
     Null and empty texts have no shingles and stand alone, as do rows with a null id (their component is null, and they
-    are kept). Rows that repeat an id are one document. Columns other than doc_id and text are not read.
+    are kept). Equal rows are one document; of an id with several texts each text is a document of that id. Columns
+    other than doc_id and text are not read.
     """
     work = work or Work(docs.sparkSession)
     least = per_cent / 100 - MARGIN
     rows = work.keep(described(docs, width), "described")
-    sets = ["set_1", "set_2", "n_shingles"]
-    classes = rows.where("n_shingles > 0").groupBy(*sets).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    classes = work.keep(classes.where("node is not null"), "classes")
-    nodes = classes.groupBy("node").agg(F.min("signature").alias("signature"))
-    of = lambda name, mark: nodes.select(F.col("node").alias(name), F.col("signature").alias(mark))
-
-    stars, regions = [], None
-    now = work.keep(_regions(nodes, DEPTHS[0], True), "regions")
-    for depth in DEPTHS:
-        size = now.groupBy("region").agg(F.count("*").alias("size"), F.min("node").alias("head")).where("size > 1")
-        now = work.keep(now.join(size, "region"), f"depth-{depth}")
-        stars.append(now.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")))
-        regions = regions or now.select("region", "size", "node")
-        crowded = now.where(F.col("size") > BLOCK).select("node", "tree")
-        if depth == DEPTHS[-1] or not crowded.take(1):
-            break
-        deeper = DEPTHS[DEPTHS.index(depth) + 1]
-        now = work.keep(_regions(crowded.join(nodes, "node").select("node", "tree", "signature"), deeper, False), f"regions-{deeper}")
-    pairs = stars[0].distinct()
-    for more in stars[1:]:
-        pairs = pairs.unionByName(more.distinct())
-    pairs = _plausible(pairs.distinct().join(of("u", "mark_u"), "u").join(of("v", "mark_v"), "v"), least)
-    pairs = work.keep(pairs, "first-pairs")
-
-    wanted = regions.select("node").unionByName(pairs.select(F.col("u").alias("node"))).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    once = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    texts = once.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    texts = work.keep(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    links = work.keep(_confirmed(pairs, texts, width, per_cent), "first-links")
-
-    found = components(links, work).select(F.col("node").alias("_node"), "component")
-    in_regions = regions.join(found, F.col("node") == F.col("_node"), "left").select("region", "size", "node", F.coalesce("component", "node").alias("component"))
-    in_regions = work.keep(in_regions, "in-regions")
-    mixed = in_regions.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
-    open_rows = in_regions.join(mixed, "region", "left_semi").join(nodes, "node")
-    more = work.keep(_different(open_rows, least), "more-pairs")
-    if more.take(1):
-        links = work.keep(links.unionByName(_confirmed_in_cells(more, texts, width, per_cent, work)), "links")
-        found = components(links, work).select(F.col("node").alias("_node"), "component")
-
-    named = classes.join(found, F.col("node") == F.col("_node"), "left")
-    named = named.select(*(F.col(s).alias(f"_{s}") for s in sets), F.coalesce("component", "node").alias("component"))
-    same: Column = (rows["set_1"] == F.col("_set_1")) & (rows["set_2"] == F.col("_set_2")) & (rows["n_shingles"] == F.col("_n_shingles"))
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = rows.select("doc_id", *sets).join(named, same, "left").select("doc_id", "n_shingles", own.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    nodes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.first("signature").alias("signature"))
+    nodes = work.keep(nodes, "nodes")
+
+    trees = work.keep(in_trees(nodes), "trees")
+    shared = trees.groupBy("region").agg(F.count("*").alias("size")).where("size > 1").select("region")
+    regions = work.keep(trees.join(shared, "region"), "regions")
+    pairs = work.keep(_plausible(neighbours(regions), nodes, least), "neighbours")
+
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        return work.keep(_sets(docs, wanted.join(nodes.select("node", "head"), "node"), width), name)
+
+    def joined(links: DataFrame) -> DataFrame:
+        return work.keep(components(links, work), "components")
+
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    sets = sets_of(ends, "sets")
+    both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"), "near"))
+    best = _most_alike(both, "u").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    links = work.keep(_confirmed(best, sets, per_cent), "links")
+    found = joined(links)
+    links = work.keep(links.unionByName(_confirmed(_most_alike(_apart(pairs, found), "a", "b"), sets, per_cent)), "links")
+    found = joined(links)
+
+    named = regions.select("region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = work.keep(named, "named")
+    open_regions = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
+    scope = work.keep(named.join(open_regions, "region", "left_semi").select("node", "component").distinct(), "scope")
+    sets = sets_of(scope.select("node"), "open-sets")
+    more = work.keep(_plausible(index_pairs(sets, scope, per_cent, work), nodes, least), "more-pairs")
+    first = _confirmed(_most_alike(_apart(more, found), "a", "b"), sets, per_cent)
+    links = work.keep(links.unionByName(first), "links")
+    found = joined(links)
+    links = work.keep(links.unionByName(_confirmed(_apart(more, found), sets, per_cent)), "links")
+    found = joined(links)
+
+    named = nodes.select("node", "head").join(found, "node", "left").select("node", "head", F.coalesce("component", "node").alias("component"))
+    heads = named.groupBy("component").agg(F.min("head").alias("least"))
+    named = named.join(heads, "component").select(F.col("node").alias("_node"), "least")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("least")), "doc_id"))
+    out = rows.join(named, F.col("node") == F.col("_node"), "left").select("doc_id", "n_shingles", own.alias("component_id"), "text_hash")
+    out = out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_hash")
+    return out if text_hash else out.drop("text_hash")
 
 
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,9 +269,7 @@ def test_losses_prefer_the_target(spark, docs):
     assert contrast_lm.contrast(table.limit(0), spark.range(0).select(F.col("id").alias("doc_id"))).count() == 0
 
 
-def test_links_within_a_crowded_template_are_found(spark, monkeypatch):
-    monkeypatch.setattr(lsh_forest, "BLOCK", 8)
-    monkeypatch.setattr(lsh_forest, "MANY", 16)
+def test_links_within_a_crowded_template_are_found(spark):
     rng = random.Random(4)
     base, rows = [f"t{k}" for k in range(400)], []
     for k in range(300):  # about 0.7 alike to each other
@@ -291,6 +289,28 @@ def test_links_within_a_crowded_template_are_found(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == root
 
 
+def test_index_finds_all_links_between_components(spark):
+    rng = random.Random(2)
+    family = lambda k: [1000 * (k % 5) + n for n in rng.sample(range(40), 22 + k % 17)] + rng.sample(range(9000, 9100), k % 7)
+    sets = {k: np.unique(np.array(family(k), np.uint64)) for k in range(120)}
+    of = {k: k if k < 60 else 60 for k in sets}
+    rows = [(k, len(s), bytearray(s.tobytes())) for k, s in sets.items()]
+    got = lsh_forest.index_pairs(spark.createDataFrame(rows, "node long, n long, items binary"), spark.createDataFrame(list(of.items()), "node long, component long"), 60, lsh_forest.Work(spark))
+    got = {tuple(r) for r in got.collect()}
+    common = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    want = {(a, b) for a in sets for b in range(a) if of[a] != of[b] and 100 * common(a, b) >= 60 * (len(sets[a]) + len(sets[b]) - common(a, b))}
+    assert want <= got and len(want) > 20 and all(of[a] != of[b] for a, b in got)
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(6)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b), (3, b + " more"), (4, c), (None, c)], "doc_id long, text string")
+    found = lsh_forest.linked(docs, text_hash=True).join(docs.select("text", F.xxhash64("text").alias("text_hash")).distinct(), "text_hash")
+    got = {(r["doc_id"], r["text"]): (r["component_id"], r["kept"]) for r in found.collect()}
+    assert got == {(1, a): (1, True), (2, a): (1, False), (2, b): (2, True), (3, b + " more"): (2, False), (4, c): (4, True), (None, c): (None, True)}
+
+
 @pytest.mark.parametrize("block", [8 << 20, 3000])
 def test_contrast_counts_every_word_and_pair_by_itself(spark, monkeypatch, block):
     monkeypatch.setattr(contrast_lm, "BLOCK_BYTES", block)
