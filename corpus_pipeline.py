@@ -24,14 +24,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group that shares most five-word shingles, the one with the least id.
 
     Documents without words are no duplicates of each other and stay, as do rows with a null id. Of rows that repeat both
-    id and text one is kept.
+    id and text one is kept; of an id with several texts each is judged by itself.
     """
-    found = lsh_forest.linked(docs, width=5, per_cent=80)
-    marks = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"), F.bool_and("kept").alias("_kept"))
+    found = lsh_forest.linked(docs, width=5, per_cent=80, text_hash=True)
+    marks = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n"), F.bool_and("kept").alias("_kept"))
     marks = Work(spark).keep(marks.where("_id is not null and (_n > 1 or not _kept)"), "marks")
     rows = docs.select(*COLUMNS)
-    alone = rows.join(marks, F.col("doc_id") == F.col("_id"), "left_anti")
-    again = rows.join(marks.where("_kept"), F.col("doc_id") == F.col("_id"), "left_semi")
+    own = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    alone = rows.join(marks, own, "left_anti")
+    again = rows.join(marks.where("_kept"), own, "left_semi")
     others = F.min(F.struct("lang", "source", "n_chars")).alias("_other")
     once = again.groupBy("doc_id", "text").agg(others).select("doc_id", "text", "_other.*")
     return alone.unionByName(once.select(*COLUMNS))
