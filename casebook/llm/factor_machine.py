@@ -5,7 +5,8 @@
 A pair of terms, such as an insult and a mention of a group, has a weight of its own through the inner product of the
 terms' factors, which weights for single terms cannot give. Terms are lower-cased words without punctuation at their
 ends, hashed to a fixed number of cells, so the model has a fixed size however many words there are. It is fitted on a
-bounded sample of labelled rows and scores every whole text in one pass without a shuffle.
+bounded sample of labelled rows and scores every whole text in one pass without a shuffle. Null and empty texts have no
+terms and get the bias alone; repeated rows are scored one by one; columns that are not named are not read.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm.common import map_batches, slices, table, texts_as_bytes
+from casebook.sources.work import Work
 
 #: Cells that terms are hashed to.
 CELLS = 1 << 18
-#: Labelled rows the model is fitted on at most (those with the least hash of their id), and cells taken of one of them
-#: at most (again the least by hash). Only fitting is bounded so; scoring reads whole texts.
-MOST_LABELLED, MOST_CELLS = 24_000, 4_096
+#: Labelled rows the model is fitted on at most (those with the least hash of their id), each with its whole text.
+MOST_LABELLED = 24_000
+#: Terms, the most evenly spread of the sample, among which pairs are looked for that tell more than their terms do.
+PAIRED = 2_048
 #: Factors of a term.
 FACTORS = 6
 _EDGE = b"""!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
@@ -74,35 +77,71 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(rows), -40, 40)))
 
 
-def telling(rows: list[np.ndarray], labels: np.ndarray, least: float) -> np.ndarray:
-    """Cells whose presence and the label depend on each other: the likelihood ratio statistic is at least ``least``."""
-    flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [r.size for r in rows])
-    n, p = float(len(rows)), float(labels.sum())
-    with_cell = np.bincount(flat, minlength=CELLS).astype(float)
-    hits = np.bincount(flat, labels[of], CELLS)
-    found = np.zeros(CELLS)
-    for seen, row in ((hits, p), (with_cell - hits, n - p)):
-        for count, column in ((seen, with_cell), (row - seen, n - with_cell)):
-            found += 2 * np.where(count > 0, count * np.log(np.maximum(count, 1e-300) * n / np.maximum(row * column, 1e-300)), 0)
-    return np.flatnonzero(found >= least)
+def _fit_of(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log-likelihood of ``hits`` labels among ``n`` rows at their own share."""
+    hits, miss = np.maximum(hits, 0), np.maximum(n - hits, 0)
+    part = lambda k: np.where(k > 0, k * np.log(np.maximum(k, 1e-300) / np.maximum(n, 1e-300)), 0)
+    return part(hits) + part(miss)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, least: float = 16.0, epochs: int = 40, rate: float = 0.05, decay: float = 2e-4, seed: int = 3) -> Model:
-    """Logistic loss, Adam, minibatches, over the terms that tell something about the label (see ``telling``).
+def _gains(n: np.ndarray, hits: np.ndarray, rows: float, positives: float) -> np.ndarray:
+    """Likelihood ratio statistic of each cell's presence (in ``n`` rows, ``hits`` of them labelled) and the label."""
+    base = _fit_of(np.array(positives), np.array(rows))
+    return 2 * (_fit_of(hits, n) + _fit_of(positives - hits, rows - n) - base)
 
-    Rows that agree in three min-hashes, so copies and near copies, count once: they would make all of their words look
-    telling.
+
+def telling(n: np.ndarray, hits: np.ndarray, rows: float, positives: float, least: float) -> np.ndarray:
+    """Cells whose presence and the label depend on each other: the statistic is at least ``least``."""
+    return np.flatnonzero(_gains(n, hits, rows, positives) >= least)
+
+
+def spread(n: np.ndarray, rows: float, most: int = PAIRED, least: int = 20) -> np.ndarray:
+    """The ``most`` cells that at least ``least`` rows have and lack, those nearest to half of the rows first."""
+    even = np.minimum(n, rows - n)
+    order = np.lexsort((np.arange(len(n)), -even))[:most]
+    return np.sort(order[even[order] >= least])
+
+
+def paired(rows: list[np.ndarray], labels: np.ndarray, cells: np.ndarray, least: float) -> np.ndarray:
+    """Of ``cells`` those in a pair that tells at least ``least`` more about the label than its two terms by themselves.
+
+    Two terms may each say nothing about the label while having both, or just one of them, says all.
     """
-    mixed = [tuple(r[np.argmin(r * k % 2147483647)] if r.size else -1 for k in (48271, 69621, 16807)) for r in rows]
-    first = sorted({(m, float(y)): n for n, (m, y) in reversed(list(enumerate(zip(mixed, labels, strict=True))))}.values())
-    rows, labels = [rows[n] for n in first], labels[first]
+    place = np.full(CELLS, -1)
+    place[cells] = np.arange(cells.size)
+    both, hits = (np.zeros((cells.size, cells.size), np.float32) for _ in "nh")
+    for at in range(0, len(rows), 2048):
+        part = [place[r] for r in rows[at : at + 2048]]
+        own = np.zeros((len(part), cells.size), np.float32)
+        for k, p in enumerate(part):
+            own[k, p[p >= 0]] = 1
+        both += own.T @ own
+        marked = own[labels[at : at + 2048] > 0]
+        hits += marked.T @ marked
+    total, positives = float(len(rows)), float(labels.sum())
+    n, h = both.diagonal().astype(float), hits.diagonal().astype(float)
+    alone, base = _gains(n, h, total, positives), _fit_of(np.array(positives), np.array(total))
+    found = np.zeros(cells.size, bool)
+    for k in range(cells.size):
+        n11, h11 = both[k].astype(float), hits[k].astype(float)
+        split = _fit_of(h11, n11) + _fit_of(h[k] - h11, n[k] - n11) + _fit_of(h - h11, n - n11) + _fit_of(positives - h[k] - h + h11, total - n[k] - n + n11)
+        found[k] = (2 * (split - base) - alone - alone[k] >= least).any()
+    return cells[found]
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, least: float = 16.0, least_pair: float = 48.0, epochs: int = 40, rate: float = 0.05, decay: float = 2e-4, seed: int = 3) -> Model:
+    """Logistic loss, Adam, minibatches, over the terms that tell something about the label by themselves (``telling``) or
+    in a pair (``paired``)."""
     model = Model(0.0, np.zeros(CELLS, np.float64), np.zeros((CELLS, FACTORS)))
     positives = int(labels.sum())
     if not rows or positives in (0, len(rows)):
         model.bias = 0.0 if not rows else (4.0 if positives else -4.0)
         return model
     rng = np.random.default_rng(seed)
-    own = telling(rows, labels, least)
+    flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [r.size for r in rows])
+    n, hits = np.bincount(flat, minlength=CELLS).astype(float), np.bincount(flat, labels[of], CELLS)
+    alone = telling(n, hits, len(rows), positives, least)
+    own = np.union1d(alone, paired(rows, labels, spread(n, len(rows)), least_pair))
     number = np.full(CELLS, -1)
     number[own] = np.arange(own.size)
     rows = [(n := number[r])[n >= 0] for r in rows]
@@ -142,7 +181,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, least: float = 16.0, epochs:
 
 
 def labelled_cells(docs: DataFrame, labels: DataFrame, label_col: str, most: int = MOST_LABELLED) -> DataFrame:
-    """``id``, ``label`` and ``cells`` of at most ``most`` labelled documents that are not held out."""
+    """``id``, ``label``, ``cells`` and three min-hashes (``looks``) of the documents of at most ``most`` labels that are not
+    held out; rows of ``labels`` without an id or a label teach nothing."""
     known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out("doc_id"))
     sample = known.select(F.col("doc_id").alias("_id"), F.col(label_col).cast("int").alias("_label")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(most)
     # the sample's ids are bounded in number, so they can be sent to all tasks
@@ -150,15 +190,26 @@ def labelled_cells(docs: DataFrame, labels: DataFrame, label_col: str, most: int
 
     def run(batch: pa.RecordBatch):
         for part in slices(batch, "t"):
-            found = []
-            for text in texts_as_bytes(part["t"]):
-                own = cells_of(text)
-                if own.size > MOST_CELLS:
-                    own = np.sort(own[np.argsort((own * 2654435761) % CELLS, kind="stable")[:MOST_CELLS]])
-                found.append(own.astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([part["i"], part["_label"], pa.array(found, pa.binary())], ["id", "label", "cells"])
+            rows = [cells_of(t) for t in texts_as_bytes(part["t"])]
+            looks = [np.array([r[np.argmin(r * k % 2147483647)] if r.size else -1 for k in (48271, 69621, 16807)]).tobytes() for r in rows]
+            found = [r.astype(np.int32).tobytes() for r in rows]
+            yield pa.RecordBatch.from_arrays([part["i"], part["_label"], pa.array(looks, pa.binary()), pa.array(found, pa.binary())], ["id", "label", "looks", "cells"])
+
+    return map_batches(rows.select("i", "t", "_label"), run, "id long, label int, looks binary, cells binary")
+
+
+def _cell_counts(sample: DataFrame) -> DataFrame:
+    """``cell``, the number of rows that have it and how many of them are labelled; at most CELLS rows."""
 
-    return map_batches(rows.select("i", "t", "_label"), run, "id long, label int, cells binary")
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [np.frombuffer(c, np.int32) for c in batch["cells"].to_pylist()]
+        labels = np.repeat(batch["label"].to_numpy().astype(float), [r.size for r in rows])
+        flat = np.concatenate(rows)
+        n, hits = np.bincount(flat, minlength=CELLS), np.bincount(flat, labels, CELLS).astype(np.int64)
+        own = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.array(n[own]), pa.array(hits[own])], ["cell", "n", "hits"])
+
+    return map_batches(sample.select("label", "cells"), run, "cell long, n long, hits long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
 
 
 def held_out(id_col: str):
@@ -166,9 +217,34 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Model:
-    rows = sorted((r["id"], r["label"], bytes(r["cells"])) for r in labelled_cells(docs, labels, label_col).collect())
-    return fit([np.frombuffer(c, np.int32).astype(np.int64) for _, _, c in rows], np.array([y for _, y, _ in rows], np.float64))
+def fit_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", most: int = MOST_LABELLED, least: float = 16.0) -> Model:
+    """The model of at most ``most`` labelled rows, also where an id has many rows.
+
+    Rows that agree in three min-hashes, so copies and near copies, count once: they would make all of their words look
+    telling. Terms are counted in tasks over whole texts; the driver gets the cells that can matter only, for each row no
+    more than PAIRED and those that tell by themselves.
+    """
+    work = Work(docs.sparkSession)
+    try:
+        looked = labelled_cells(docs, labels, label_col, most)
+        one = looked.groupBy("looks", "label").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "cells")).alias("r"))
+        sample = work.keep(one.select("r.h", "r.id", "label", "looks", "r.cells").orderBy("h", "id", "label", "looks").limit(most), "labelled")
+        rows, positives = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+        n, hits = np.zeros(CELLS), np.zeros(CELLS)
+        for cell, seen, labelled in _cell_counts(sample).collect():
+            n[cell], hits[cell] = seen, labelled
+        wanted = np.zeros(CELLS, bool)
+        if rows:
+            wanted[spread(n, rows)] = wanted[telling(n, hits, rows, positives, least)] = True
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [np.frombuffer(c, np.int32) for c in batch["cells"].to_pylist()]
+            return pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array([r[wanted[r]].tobytes() for r in rows], pa.binary())], ["id", "label", "cells"])
+
+        found = sorted((r["id"], r["label"], bytes(r["cells"])) for r in map_batches(sample.select("id", "label", "cells"), run, "id long, label int, cells binary").collect())
+        return fit([np.frombuffer(c, np.int32).astype(np.int64) for _, _, c in found], np.array([y for _, y, _ in found], np.float64), least)
+    finally:
+        work.drop()
 
 
 def with_scores(docs: DataFrame, model: Model, columns: tuple[str, ...], text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -251,6 +251,41 @@ def test_pairs_of_terms_are_learned():
     assert factor_machine.fit([], np.zeros(0)).scores([np.zeros(0, np.int64)])[0] == 0.5
 
 
+def test_pairs_of_terms_that_tell_nothing_alone():
+    rng = random.Random(5)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        rows.append(factor_machine.cells_of(" ".join(sentence(rng, 12).split() + ["vile"] * a + ["folk"] * b).encode()))
+        labels.append(float(a != b))
+    model = factor_machine.fit(rows[:2000], np.array(labels[:2000]))
+    assert ((model.scores(rows[2000:]) >= 0.5) == np.array(labels[2000:], bool)).mean() > 0.97
+
+
+def test_logits_are_the_sum_over_all_pairs():
+    rng = np.random.default_rng(6)
+    weight, factor = rng.normal(size=factor_machine.CELLS), rng.normal(size=(factor_machine.CELLS, 3))
+    rows = [np.sort(rng.choice(factor_machine.CELLS, k, replace=False)) for k in (0, 1, 2, 9, 40)]
+    want = [0.5 + sum(weight[i] for i in r) + sum(factor[i] @ factor[j] for a, i in enumerate(r) for j in r[a + 1 :]) for r in rows]
+    assert np.allclose(factor_machine.Model(0.5, weight, factor).logits(rows), want)
+
+
+def test_whole_labelled_texts_and_many_rows_of_an_id(spark):
+    rng = random.Random(8)
+    long = " ".join(f"w{k}" for k in range(6000))
+    rows = [(k, f"{sentence(rng, 20)} {long if k % 5 == 0 else ''} {'vile' if k % 2 else 'kind'}", "a") for k in range(0, 600)]
+    rows += [(3, f"{sentence(rng, 9)} other{k}", "b") for k in range(900)] + [(None, "vile", "a"), (7, None, "a")]
+    docs = frame(spark, rows + rows[:50])
+    labels = spark.createDataFrame([(k, k % 2, "x", b"y") for k in range(600)] + [(None, 1, "x", b"y"), (4, None, "x", b"y")], "doc_id long, toxic int, text string, cells binary")
+    sample = factor_machine.labelled_cells(docs, labels, "toxic")
+    assert sample.agg(F.max(F.length("cells"))).first()[0] > 4 * 5900  # all terms of a long text, but for those that share a cell
+    model = factor_machine.fit_on(docs, labels, most=300)
+    got = factor_machine.with_scores(docs, model, ("doc_id", "key")).where("doc_id > 100").collect()
+    assert sum((r["score"] >= 0.7) == bool(r["doc_id"] % 2) for r in got) / len(got) > 0.95
+    empty = factor_machine.fit_on(docs.limit(0), labels)
+    assert factor_machine.with_scores(docs.limit(0), empty, ("doc_id",)).count() == 0 and factor_machine.fit_on(docs, labels.limit(0)).bias == 0
+
+
 def test_scores_of_null_and_empty_texts(spark, docs):
     labels = spark.createDataFrame([(1, 1, 1), (6, 1, 0)], "doc_id long, quality int, toxic int")
     model = factor_machine.fit_on(docs, labels)
