@@ -21,19 +21,21 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    up = edges.groupBy("u").agg(F.count("*").alias("n"))
+    return up.where("n > 1").isEmpty() and edges.join(up.select(F.col("u").alias("_u")), F.col("v") == F.col("_u"), "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, work: Work) -> DataFrame:
     """``node`` and ``component``, the least node that can be reached, for every node of ``edges`` (u, v) but those that
     are the least of theirs.
 
-    Large-star and small-star steps alternate until nothing changes, which takes about log2(n) rounds; each round is a
-    written table, so that lost executors cost one round at most. A node with very many neighbours is only ever a key of
+    Large-star and small-star steps alternate until only stars are left (every node has one edge, to a node that has
+    none), which takes about log2(n) rounds; each round is a written table, so that lost executors cost one round at most. A node with very many neighbours is only ever a key of
     a partial aggregate or of a join whose large side Spark can split.
     """
     own = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, before = work.keep(own, "edges"), None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = mark
+    now = work.keep(own, "edges")
+    while not _only_stars(now):
         now = work.keep(_stars(_stars(now, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), False), "stars")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -296,7 +296,12 @@ def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | Non
     def sets_of(wanted: DataFrame, name: str) -> DataFrame:
         return work.keep(_sets(docs, wanted.join(nodes.select("node", "head"), "node"), width), name)
 
-    def joined(links: DataFrame) -> DataFrame:
+    def joined(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+        """Components after more links: what was joined ``before`` is one star for each component, not all its links."""
+        if before is not None:
+            if links.isEmpty():
+                return before
+            links = links.unionByName(before.select(F.col("node").alias("u"), F.col("component").alias("v")))
         return work.keep(components(links, work), "components")
 
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
@@ -305,8 +310,7 @@ def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | Non
     best = _most_alike(both, "u").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     links = work.keep(_confirmed(best, sets, per_cent), "links")
     found = joined(links)
-    links = work.keep(links.unionByName(_confirmed(_most_alike(_apart(pairs, found), "a", "b"), sets, per_cent)), "links")
-    found = joined(links)
+    found = joined(work.keep(_confirmed(_most_alike(_apart(pairs, found), "a", "b"), sets, per_cent), "links"), found)
 
     named = regions.select("region", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = work.keep(named, "named")
@@ -314,11 +318,8 @@ def linked(docs: DataFrame, width: int = 5, per_cent: int = 80, work: Work | Non
     scope = work.keep(named.join(open_regions, "region", "left_semi").select("node", "component").distinct(), "scope")
     sets = sets_of(scope.select("node"), "open-sets")
     more = work.keep(_plausible(index_pairs(sets, scope, per_cent, work), nodes, least), "more-pairs")
-    first = _confirmed(_most_alike(_apart(more, found), "a", "b"), sets, per_cent)
-    links = work.keep(links.unionByName(first), "links")
-    found = joined(links)
-    links = work.keep(links.unionByName(_confirmed(_apart(more, found), sets, per_cent)), "links")
-    found = joined(links)
+    found = joined(work.keep(_confirmed(_most_alike(_apart(more, found), "a", "b"), sets, per_cent), "links"), found)
+    found = joined(work.keep(_confirmed(_apart(more, found), sets, per_cent), "links"), found)
 
     named = nodes.select("node", "head").join(found, "node", "left").select("node", "head", F.coalesce("component", "node").alias("component"))
     heads = named.groupBy("component").agg(F.min("head").alias("least"))
