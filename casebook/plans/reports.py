@@ -18,6 +18,8 @@ ACTION_STATUSES = ("CAN_BO_SUNG", "DANG_SO_HOA", "CHO_KIEM_TRA")
 ACTION_ROWS = 10
 RUN_ROWS = 50
 HISTORY_ROWS = 12
+#: Case columns a search looks into.
+SEARCHED = ("person_name_display", "person_name_raw", "citizen_id")
 MAX_PAGE_SIZE = 200
 DEFAULT_PAGE_SIZE = 50
 
@@ -148,8 +150,7 @@ def matches(f: CaseFilter) -> Column:
     """Conjunction of the filters that look at the case row alone."""
     terms = [F.col("is_present")]
     if f.q:
-        fields = ("person_name_display", "person_name_raw", "citizen_id")
-        terms.append(reduce(lambda a, b: a | b, [ascii_like(F.col(n), f.q) for n in fields]))
+        terms.append(reduce(lambda a, b: a | b, [ascii_like(F.col(n), f.q) for n in SEARCHED]))
     if f.status:
         terms.append(F.col("effective_status") == f.status)
     if f.unit:

@@ -554,6 +554,10 @@ SQL: dict[str, str] = {
     "case_search": f"select {SHOWN} from {{cases}} where {search('le van')}",
     "case_search_accent": f"""select {SHOWN} from {{cases}} where {search('đỗ')}
         union all select {SHOWN} from {{cases}} where {search('Đỗ thị_1')}""",
+    "case_search_indexed": f"""select 0 as search, {SHOWN} from {{cases}} where {search('le van')}
+        union all select 1, {SHOWN} from {{cases}} where {search('Đỗ thị_1')}
+        union all select 2, {SHOWN} from {{cases}} where {search('nguyen')} and {ACTIVE}
+        union all select 3, {SHOWN} from {{cases}} where {search('07')}""",
     "case_filter_status_unit": f"""select {SHOWN} from {{cases}} where is_present
         and effective_status = 'CAN_BO_SUNG' and unit_code = '07'""",
     "case_with_warning": f"select {SHOWN} from {{cases}} where is_present and {ACTIVE}",

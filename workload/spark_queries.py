@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from casebook import schema
 from casebook.functions import names, text
 from casebook.operators import actions, checklist, deltas, diff, imports, status, warnings
-from casebook.plans import reports, updates
+from casebook.plans import reports, search, updates
 from casebook.plans import scan as scans
 from casebook.sources import catalog as catalogs
 from casebook.sources import listing, manifest
@@ -572,6 +573,15 @@ def case_search_accent(i: Inputs) -> DataFrame:
     return listed(i, q="đỗ").unionByName(listed(i, q="Đỗ tHị_1"))
 
 
+@query
+def case_search_indexed(i: Inputs) -> DataFrame:
+    """Searches through postings: plain, with a wildcard, with a filter, and too short for a posting."""
+    index = search.index_cases(cases(i), i.work)
+    asked = (dict(q="LE van"), dict(q="Đỗ tHị_1"), dict(q="NGUYEN", warning=True), dict(q="07"))
+    found = [search.search_cases(index, reports.CaseFilter(**f), i.work, i.view("warnings")) for f in asked]
+    return reduce(DataFrame.unionByName, [f.select(F.lit(n).alias("search"), *SHOWN) for n, f in enumerate(found)])
+
+
 @query
 def case_filter_status_unit(i: Inputs) -> DataFrame:
     return listed(i, status="CAN_BO_SUNG", unit="07")
