@@ -131,11 +131,13 @@ def rule_number(rules: list[Rule]) -> Column:
 
 
 def learn_rules(measured: DataFrame, labels: DataFrame, label_col: str = "quality", most: int = MOST_LABELLED) -> list[Rule]:
-    """Rules for label 0 from at most ``most`` labelled rows of a measured table; rows without a label teach nothing."""
+    """Rules for label 0 from at most ``most`` labelled rows of a measured table, also where an id has many rows (those with
+    the least hash of their id, then the least values); rows without a label teach nothing."""
     known = labels.where(F.col(label_col).isNotNull()).select(labels["doc_id"].alias("_id"), F.col(label_col).alias("_label"))
     sample = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(most)
     # the sample has a bounded number of short rows, so it can be sent to all tasks
-    rows = measured.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", *RATIOS, "_label").toPandas()
+    rows = measured.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", *RATIOS, "_label")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "_label", *RATIOS).limit(most).toPandas()
     rows = rows.sort_values(["doc_id", "_label", *RATIOS], kind="stable")
     return learn({r: rows[r].to_numpy() for r in RATIOS}, (rows["_label"] == 0).to_numpy())
 

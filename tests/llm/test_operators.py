@@ -238,6 +238,18 @@ def test_quality_statistics_and_rules(spark):
     assert decision_list.judge(docs.limit(0), labels).count() == 0
 
 
+def test_rules_come_from_a_bounded_number_of_rows(spark, monkeypatch):
+    rows = [(k // 40, f"{'# ' * (k // 40 % 2 * 9)}{' '.join(f'v{k}x{n}' for n in range(20))}") for k in range(2400)]  # 40 texts for each id
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(60)] + [(None, 1), (5, None)], "doc_id long, quality int")
+    taught = []
+    learn = decision_list.learn
+    monkeypatch.setattr(decision_list, "learn", lambda values, bad, **more: taught.append(bad.size) or learn(values, bad, **more))
+    measured = decision_list.with_stats(docs)
+    few, every = (decision_list.learn_rules(measured, labels, most=n) for n in (500, 50_000))
+    assert taught == [500, 2400] and few and every
+
+
 def test_pairs_of_terms_are_learned():
     rng = random.Random(4)
     rows, labels = [], []
