@@ -31,9 +31,9 @@ _CHUNKS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _SPACE_RUN = re.compile(f"[{SPACE}]+")
 #: A blank after other white space: only then may a cut at each blank fall inside a run.
 _RUN_BEFORE_BLANK = re.compile(f"[{SPACE}] ")
-#: Beyond these characters the pre-tokenizer's own Unicode tables decide, by asking the library itself.
+#: Beyond these characters the pre-tokenizer's own Unicode tables decide where a text is cut into pre-tokens.
 _UNCOMMON = re.compile("[^\x00-\x7f\xa0-ſ]")
-#: Chunks remembered per Python worker.
+#: Chunks and pre-tokens remembered per Python worker, as many of each.
 REMEMBERED = 800_000
 
 
@@ -54,30 +54,47 @@ class PrefixCounts:
         import regex
 
         self.pieces = regex.compile(PATTERN)
-        self.longest = max(map(len, self.ranks))
-        self.follows: dict[tuple[bytes, bytes], bool] = {}
+        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        #: Ranks of tokens, and -1 for bytes that only begin one.
+        self.begun = {token[:n]: -1 for token in self.ranks for n in range(1, len(token))} | self.ranks
+        self.follows: dict[int, bool] = {}
         self.known: dict[str, int] = _Remembered(self.chunk_total)
+        self.ended: dict[str, int] = _Remembered(lambda piece: self.piece(piece.encode())[-1])
 
     # one pre-token -----------------------------------------------------------------------------------------------
 
-    def may_follow(self, a: bytes, b: bytes) -> bool:
-        found = self.follows.get((a, b))
-        if found is None:
-            if len(self.follows) >= REMEMBERED:
-                self.follows.clear()
-            found = self.follows[a, b] = self.bpe._encode_single_piece(a + b) == [self.ranks[a], self.ranks[b]]
+    def split(self, text: str) -> list[str]:
+        """The pre-tokens of a text without special strings."""
+        if _UNCOMMON.search(text):
+            return [text[start:end] for _, (start, end) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        return self.pieces.findall(text)
+
+    def may_follow(self, a: int, b: int) -> bool:
+        """Whether token ``b`` may follow token ``a``, both by rank."""
+        if len(self.follows) >= REMEMBERED:
+            self.follows.clear()
+        found = self.follows[a << 32 | b] = self.bpe._encode_single_piece(self.tokens[a] + self.tokens[b]) == [a, b]
         return found
 
     def piece(self, b: bytes) -> list[int]:
-        """Counts at all byte prefixes of one pre-token."""
-        ranks, longest = self.ranks, self.longest
-        count, last = [0] * (len(b) + 1), [b""] * (len(b) + 1)
-        for p in range(1, len(b) + 1):
-            for start in range(max(0, p - longest), p):
-                token = b[start:p]
-                if token in ranks and (not start or self.may_follow(last[start], token)):
-                    count[p], last[p] = count[start] + 1, token
+        """Counts at all byte prefixes of one pre-token. The one token that ends at a prefix is the longest that may."""
+        begun, follows, size = self.begun.get, self.follows.get, len(b) + 1
+        count, last = [0] * size, [0] * size
+        for start in range(size - 1):
+            reached, before = count[start] + 1, last[start] << 32
+            for p in range(start + 1, size):
+                rank = begun(b[start:p])
+                if rank is None:  # no token goes on from here
                     break
+                if rank < 0 or count[p]:
+                    continue
+                if start:
+                    fits = follows(before | rank)
+                    if fits is None:
+                        fits = self.may_follow(last[start], rank)
+                    if not fits:
+                        continue
+                count[p], last[p] = reached, rank
         return count
 
     # one chunk ---------------------------------------------------------------------------------------------------
@@ -85,9 +102,9 @@ class PrefixCounts:
     def segment(self, text: str, counts: np.ndarray, start: int, base: int) -> tuple[int, int, int]:
         """Fills counts[start + 1 ... start + len(text)]; gives the count at the end, the last pre-token's start and the
         count there."""
-        last, known = 0, base
-        for found in self.pieces.finditer(text):
-            piece, last, known = found[0], found.start(), base
+        last, known, begin = 0, base, 0
+        for piece in self.split(text):
+            last, known, begin = begin, base, begin + len(piece)
             table = self.piece(piece.encode())
             at = 0
             for n, char in enumerate(piece, 1):
@@ -116,17 +133,16 @@ class PrefixCounts:
                 lead = part[last:]
                 for p in range(cut.start() + 1, cut.end()):  # begun, a special string is ordinary text
                     begun = lead + text[cut.start() : p]
-                    counts[p] = known + sum(self.piece(x.encode())[-1] for x in self.pieces.findall(begun))
+                    counts[p] = known + sum(self.piece(x.encode())[-1] for x in self.split(begun))
                 start, base = cut.end(), base + 1
                 counts[start] = base
         return counts
 
     def chunk_total(self, text: str) -> int:
-        if _UNCOMMON.search(text):
-            return len(self.library.encode(text, add_special_tokens=False).ids)
-        if "<|" in text:
+        """The count at the end of one chunk, by the same recurrence."""
+        if self.cut_special.search(text):
             return int(self.chunk(text)[-1])
-        return len(self.bpe.encode_ordinary(text))
+        return sum(map(self.ended.__getitem__, self.split(text)))
 
     # one text ----------------------------------------------------------------------------------------------------
 

@@ -60,6 +60,26 @@ def test_prefix_counts_are_those_of_the_library(spark, docs):
     assert token_prefixes.count_prefixes(docs.limit(0), BYTE.replace(".json", ".tiktoken"), BYTE).count() == 0
 
 
+def test_totals_come_from_the_recurrence(monkeypatch):
+    library, tables = Tokenizer.from_file(BYTE), token_prefixes.PrefixCounts(BYTE.replace(".json", ".tiktoken"), BYTE)
+    texts = ["", "  a  b\n\nunbelievably w8k3j2 x's 'REst", "日本語 текст ’s ١٢٣ e\u0301 ǅ😀😀", "a<|endoftext|>b <|endo", "q" * 3000, "\u2003\u2003 x\u00a0 y", "12345678 ==== \x1c\x1d z"]
+    rng = random.Random(3)
+    texts += ["".join(chr(rng.choice([*range(32, 400), 0x2019, 0x65E5, 0x0301, 0x1F600, 0x2003, 10])) for _ in range(200)) for _ in range(40)]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+    class Cut:  # what is left of the library is where it cuts pre-tokens
+        pre_tokenizer = library.pre_tokenizer
+
+    class Pairs:  # and of the encoder, which pairs of tokens may follow each other
+        def _encode_single_piece(self, b, encode=tables.bpe._encode_single_piece):
+            assert len(b) <= 2 * max(map(len, tables.ranks))
+            return encode(b)
+
+    monkeypatch.setattr(tables, "library", Cut())
+    monkeypatch.setattr(tables, "bpe", Pairs())
+    assert [tables.total(t) for t in texts] == want
+
+
 def test_packing_keeps_all_tokens_in_gapless_sequences(spark, docs):
     library = Tokenizer.from_file(WORD)
     pieces = pattern_packing.tokenized_pieces(docs, WORD, 64, ids=True).persist()
