@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,17 +170,78 @@ def checklist(cases: DataFrame, facts: DataFrame, catalog: DataFrame) -> DataFra
     )
 
 
+def _shown(status: Column) -> Column:
+    """What a checklist row shows up to its count, in lower case."""
+    return F.lower(F.concat_ws(" ", "code", "name", ui_label(status)))
+
+
+def _shown_priority() -> Column:
+    return F.lower(F.when(F.col("priority") == 1, "ƯT1").otherwise("ƯT2"))
+
+
+def _contains(before: Column, count: Column, after: Column, query: str) -> Column:
+    """Whether a shown row contains the query. Blanks stand around the count, and lower case does not look past a blank."""
+    return F.contains(F.concat_ws(" ", before, count.cast("string"), after), F.lower(F.lit(query.strip())))
+
+
 def find_in_checklist(rows: DataFrame, query: str) -> DataFrame:
     """Checklist rows whose shown text contains the query, ignoring case."""
-    shown = F.concat_ws(
-        " ",
-        "code",
-        "name",
-        ui_label(F.col("status")),
-        F.col("document_count").cast("string"),
-        F.when(F.col("priority") == 1, "ƯT1").otherwise("ƯT2"),
+    return rows.filter(_contains(_shown(F.col("status")), F.col("document_count"), _shown_priority(), query))
+
+
+def search_checklist(cases: DataFrame, facts: DataFrame, catalog: DataFrame, query: str) -> DataFrame:
+    """The rows of ``find_in_checklist`` over the whole checklist, without building the cases x types rows.
+
+    A type nobody has said anything about shows the same text in every case, so whether that contains the query is found
+    out once per type. Texts of facts are put together from parts made once per type and status. Each case then unnests
+    its matching facts and the matching types without a fact.
+    """
+    statuses = {s: f"_shown_{n}" for n, s in enumerate(schema.CHECKLIST_STATUSES)}
+    zero = F.lit(0).cast("bigint")
+    types = active_types(catalog).withColumns(
+        {
+            "_default": _shown(F.col("default_status")),
+            "_priority": _shown_priority(),
+            **{column: _shown(F.lit(s)) for s, column in statuses.items()},
+        }
+    )
+    types = types.withColumn("_by_default", _contains(F.col("_default"), zero, F.col("_priority"), query))
+    n, override = F.coalesce(F.col("n"), F.lit(0)).cast("bigint"), F.col("override_status")
+    status = item_status(n, override, F.col("default_status"))
+    text = F.when(n > 0, F.col(statuses[schema.PRESENT]))
+    for s, column in statuses.items():
+        text = text.when(override == s, F.col(column))
+
+    def row(status: Column, count: Column, has_override: Column, of: Callable[[str], Column] = F.col) -> Column:
+        return F.struct(
+            of("code").alias("code"),
+            of("name").alias("name"),
+            of("priority").alias("priority"),
+            status.alias("status"),
+            count.alias("document_count"),
+            has_override.alias("has_override"),
+        )
+
+    said = (
+        facts.join(F.broadcast(types), "code")
+        .withColumn("_found", _contains(text.otherwise(F.col("_default")), n, F.col("_priority"), query))
+        .filter("_found or _by_default")
+        .groupBy("case_key")
+        .agg(
+            F.collect_list(F.when(F.col("_by_default"), F.col("code"))).alias("_said"),
+            F.collect_list(F.when(F.col("_found"), row(status, n, override.isNotNull()))).alias("_rows"),
+        )
+    )
+    by_default = types.filter("_by_default").agg(
+        F.sort_array(F.collect_list(F.struct("priority", "code", "name", "default_status")))
+    ).scalar()
+    unsaid = F.transform(
+        F.filter("_types", lambda t: ~F.coalesce(F.array_contains("_said", t["code"]), F.lit(False))),
+        lambda t: row(t["default_status"], zero, F.lit(False), lambda name: t[name]),
     )
-    return rows.filter(F.contains(F.lower(shown), F.lower(F.lit(query.strip()))))
+    joined = cases.select("case_key").join(said, "case_key", "left").withColumn("_types", by_default)
+    found = F.when(F.col("_rows").isNull(), unsaid).otherwise(F.concat("_rows", unsaid))
+    return joined.select("case_key", F.inline(found))
 
 
 def find_types(catalog: DataFrame, query: str) -> DataFrame:

@@ -192,6 +192,30 @@ def test_checklist_and_rollup_agree_with_a_loop(spark, catalog, seed):
     } == {k: figures_of(items) for k, items in want.items()}
 
 
+@pytest.mark.parametrize("query", ["cần BỔ", "type 8", "3 KHÔNG", "lIệu 1", "liệu 1 ưt2", "ƯT1", "0", " 05 ", "", "nothing"])
+def test_checklist_search_equals_reading_all_rows(spark, catalog, query):
+    cases, documents, overrides, evidence = random_state(spark, 3)
+    facts = checklist.type_facts(
+        table(spark, "documents", documents),
+        table(spark, "checklist_overrides", overrides),
+        spark.createDataFrame(evidence, schema.EVIDENCE),
+    )
+    keys = table(spark, "cases", cases)
+    want = checklist.find_in_checklist(checklist.checklist(keys, facts, catalog), query)
+    got = checklist.search_checklist(keys, facts, catalog, query)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_checklist_search_makes_no_row_that_does_not_match(spark, catalog):
+    cases = spark.createDataFrame([(f"c{n}",) for n in range(50)], "case_key string")
+    facts = spark.createDataFrame([("c1", "02", 0, "CAN_BO_SUNG", None)], "case_key string, code string, n long, override_status string, last_hashed_at timestamp")
+    found = checklist.search_checklist(cases, facts, catalog, "cần bổ")
+    assert [(r["case_key"], r["code"], r["has_override"]) for r in found.collect()] == [("c1", "02", True)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # the text is not looked at above the unnesting
+    assert "Generate inline" in plan and "Contains" not in plan.split("Generate inline")[0]
+
+
 def one_by_one(batch, cases, documents, overrides, evidence, types):
     """Apply actions singly with a recompute after each; the audit rows they leave."""
     state = {c["case_key"]: dict(c) for c in cases}
