@@ -197,12 +197,17 @@ def named_uploads(uploads: DataFrame) -> DataFrame:
 
 def judge_uploads(sessions: DataFrame, named: DataFrame) -> DataFrame:
     """``token``, ``case_key`` and ``reason`` (null if accepted) of every upload session: what is wrong with its first bad file,
-    or that nothing is left. One bad file refuses the whole session."""
-    first_bad = F.min_by("problem", F.when(F.col("problem").isNotNull(), F.col("position")))
-    bad_name = F.min_by("name", F.when(F.col("problem").isNotNull(), F.col("position")))
-    per = named.groupBy("token").agg(first_bad.alias("_problem"), bad_name.alias("file"), F.sum("n_pages").alias("_pages"))
+    or that nothing is left. One bad file refuses the whole session.
+
+    Pages are summed by hashing; only bad files, whose texts have to be sorted, are looked at by position. ``named`` is
+    read for each: keep it first.
+    """
+    pages = named.groupBy("token").agg(F.sum("n_pages").alias("_pages"))
+    bad = named.filter("problem is not null").groupBy("token").agg(
+        F.min_by("problem", "position").alias("_problem"), F.min_by("name", "position").alias("file")
+    )
     nothing = F.when(F.coalesce("_pages", F.lit(0)) < 1, "nothing to upload")
-    return sessions.select("token", "case_key").join(per, "token", "left").select(
+    return sessions.select("token", "case_key").join(pages, "token", "left").join(bad, "token", "left").select(
         "token", "case_key", F.coalesce("_problem", nothing).alias("reason"), F.when(F.col("_problem").isNotNull(), F.col("file")).alias("file")
     )
 
@@ -243,56 +248,69 @@ def manifests_of_uploads(named: DataFrame, pages: DataFrame) -> DataFrame:
     return offered.join(sources, "token").select("token", "case_key", bare("_sources", "position").alias("sources"), bare("_pages", "number").alias("pages"))
 
 
-def judge_requests(
-    requests: DataFrame,
-    manifests: DataFrame,
-    cases: DataFrame,
-    catalog: DataFrame,
-    events: DataFrame | None = None,
-) -> DataFrame:
-    """Requests with their manifest arrays and a ``reason`` (null if accepted).
+def check_requests(requests: DataFrame, manifests: DataFrame, cases: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The different requests with their number of ``_copies``, a digest (``_request``) and what is wrong with each by itself
+    (``_reason``, null if nothing).
 
-    ``events``: the stored provenance; a session of which it holds a row is used up.
+    Of a manifest only what is judged by travels: the case, the page ids and whether a source is of a wrong type.
     """
     m = manifests.select(
         "token",
         F.col("case_key").alias("_m_case"),
-        F.col("sources").alias("_sources"),
-        F.col("pages").alias("_pages"),
+        F.transform("pages", lambda p: p["page_id"]).alias("_offered"),
+        F.exists("sources", lambda s: ~allowed_upload(s["name"])).alias("_bad_source"),
     )
     known_cases = cases.filter("is_present").select("case_key", F.lit(True).alias("_case_known"))
-    spent = None if events is None else events.select("token", F.lit(True).alias("_spent")).distinct()
     # equal requests are judged once
     distinct = requests.groupBy(*requests.columns).agg(F.count("*").alias("_copies"))
-    joined = distinct.join(m, "token", "left").join(known_cases, "case_key", "left")
-    joined = joined.withColumn("_spent", F.lit(False)) if spent is None else joined.join(spent, "token", "left")
-    judged = with_catalog(joined, catalog, "type_id").withColumns(
-        {
-            "_ids": F.transform("pages", lambda p: p["id"]),
-            "_offered": F.transform("_pages", lambda p: p["page_id"]),
-        }
-    )
+    joined = distinct.join(known_cases, "case_key", "left").join(m, "token", "left")
     reason = (
         F.when(~F.col("catalog_known"), "invalid type code")
-        .when(~F.col("token").rlike(TOKEN_PATTERN) | F.col("_pages").isNull(), "unreadable session")
+        .when(~F.col("token").rlike(TOKEN_PATTERN) | F.col("_offered").isNull(), "unreadable session")
         .when(~F.col("_m_case").eqNullSafe(F.col("case_key")), "session of another case")
-        .when(page_list_problem(F.col("_ids"), F.col("_offered")), "invalid page list")
+        .when(page_list_problem(F.transform("pages", lambda p: p["id"]), F.col("_offered")), "invalid page list")
         .when(F.col("_case_known").isNull(), "unknown case")
         .when(F.exists("pages", lambda p: ~valid_rotation(p["rotation"])), "invalid rotation")
-        .when(F.exists("_sources", lambda s: ~allowed_upload(s["name"])), "source type not allowed")
+        .when(F.col("_bad_source"), "source type not allowed")
         .when(F.col("requested_at").isNull(), "no request time")
-        .when(F.col("_spent"), "session already used")
     )
-    judged = judged.withColumn("_reason", reason)
-    # A session is used up by its first request that is fine. That request is found by a partial aggregate, so any
-    # number of requests may name one session, or none.
+    return with_catalog(joined, catalog, "type_id").select(
+        *requests.columns, "_copies", F.xxhash64(*requests.columns).alias("_request"), reason.alias("_reason")
+    )
+
+
+def use_sessions(checked: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Checked requests, each copy by itself, with a ``reason`` (null if accepted). It reads ``checked`` twice: keep that first.
+
+    A session is used up by its first request that is fine, or by an earlier batch. Both are found by one partial
+    aggregate, so any number of requests may name one session, or none.
+    """
     order = F.struct("requested_at", "case_key", "type_id", "_request")
-    judged = judged.withColumn("_request", F.xxhash64(*requests.columns))
-    first = judged.filter("_reason is null").groupBy("token").agg(F.min(order).alias("_first")).withColumnRenamed("token", "_token")
-    judged = judged.join(first, F.col("token") == F.col("_token"), "left")
-    judged = judged.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-    used = F.when(F.col("_reason").isNull() & ((F.col("_first") < order) | (F.col("_copy") > 1)), "session already used")
-    return judged.select(*requests.columns, "_sources", "_pages", F.coalesce("_reason", used).alias("reason"))
+    first = checked.filter("_reason is null").select("token", order.alias("_first"), F.lit(False).alias("_spent"))
+    if events is not None:
+        spent = events.select("token", F.lit(None).cast(first.schema["_first"].dataType).alias("_first"), F.lit(True).alias("_spent"))
+        first = first.unionByName(spent)
+    used_by = first.groupBy("token").agg(F.min("_first").alias("_first"), F.max("_spent").alias("_spent"))
+    joined = checked.join(used_by.withColumnRenamed("token", "_token"), F.col("token") == F.col("_token"), "left")
+    each = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    used = F.when(
+        F.col("_reason").isNull() & (F.col("_spent") | (F.col("_first") < order) | (F.col("_copy") > 1)), "session already used"
+    )
+    return each.withColumn("reason", F.coalesce("_reason", used)).drop("_copies", "_request", "_reason", "_token", "_first", "_spent", "_copy")
+
+
+def judge_requests(
+    requests: DataFrame,
+    manifests: DataFrame,
+    cases: DataFrame,
+    catalog: DataFrame,
+    events: DataFrame | None = None,
+) -> DataFrame:
+    """Requests with a ``reason`` (null if accepted).
+
+    ``events``: the stored provenance; a session of which it holds a row is used up.
+    """
+    return use_sessions(check_requests(requests, manifests, cases, catalog), events)
 
 
 def renames(named: DataFrame) -> DataFrame:
@@ -300,13 +318,14 @@ def renames(named: DataFrame) -> DataFrame:
     return named.filter("rename_from is not null").select("case_key", "type_id", "rename_from", "rename_to")
 
 
-def provenance_rows(accepted: DataFrame, named: DataFrame, at: Column) -> DataFrame:
+def provenance_rows(accepted: DataFrame, manifests: DataFrame, named: DataFrame, at: Column) -> DataFrame:
     """One row per new document: its source files in page order and their digests.
 
     Page lists stay inside their request row; nothing is exploded or collected.
     """
     listed = (
         accepted.join(named.select("token", "filename"), "token")
+        .join(manifests.select("token", F.col("sources").alias("_sources"), F.col("pages").alias("_pages")), "token")
         .withColumns(
             {
                 "_by_page": _by_name(F.col("_pages"), "page_id", "source_name"),

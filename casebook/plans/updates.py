@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
@@ -28,11 +30,28 @@ class ActionResult:
 
 @dataclass(frozen=True)
 class ImportPlan:
-    names: DataFrame
-    renames: DataFrame
-    provenance: DataFrame
+    """A planned batch. Names are given, and kept, when something that needs them is first asked for."""
+
     rejected: DataFrame
     work: Work
+    named_by: Callable[[], DataFrame]
+    provenance_by: Callable[[DataFrame], DataFrame]
+
+    @cached_property
+    def named(self) -> DataFrame:
+        return self.work.keep(self.named_by(), "named")
+
+    @property
+    def names(self) -> DataFrame:
+        return self.named.drop("rename_from", "rename_to")
+
+    @property
+    def renames(self) -> DataFrame:
+        return imports.renames(self.named)
+
+    @property
+    def provenance(self) -> DataFrame:
+        return self.provenance_by(self.named)
 
 
 def replay_actions(
@@ -120,17 +139,20 @@ def plan_imports(
 
     The parts read tables kept in ``work``; drop that once they have been used.
     """
-    judged = work.keep(imports.judge_requests(requests, manifests, cases, catalog, events), "judged")
-    accepted = judged.filter("reason is null")
-    known = documents if events is None else imports.with_planned(documents, events)
-    taken = imports.existing_numbers(known, catalog)
-    named = work.keep(imports.assign_sequences(accepted, taken, catalog, work.keep), "named")
+    checked = work.keep(imports.check_requests(requests, manifests, cases, catalog), "checked")
+    whole = imports.use_sessions(checked, events)
+    judged = work.keep(whole.select("token", "case_key", "type_id", "requested_at", "reason"), "judged")
+
+    def named() -> DataFrame:
+        known = documents if events is None else imports.with_planned(documents, events)
+        taken = imports.existing_numbers(known, catalog)
+        return imports.assign_sequences(judged.filter("reason is null"), taken, catalog, work.keep)
+
     return ImportPlan(
-        names=named.drop("rename_from", "rename_to"),
-        renames=imports.renames(named),
-        provenance=imports.provenance_rows(accepted, named, at),
         rejected=judged.filter("reason is not null").select("token", "case_key", "type_id", "reason"),
         work=work,
+        named_by=named,
+        provenance_by=lambda given: imports.provenance_rows(whole.filter("reason is null"), manifests, given, at),
     )
 
 

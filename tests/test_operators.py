@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -442,3 +443,34 @@ def test_latest_override_breaks_ties_by_sequence(spark):
     rows = [("c", "override", "01", s, None, None, START, n) for n, s in enumerate(["CAN_BO_SUNG", "KHONG_PHAT_SINH"])]
     df = spark.createDataFrame(rows, schema.ACTIONS)
     assert actions.latest_overrides(df).first()["status"] == "KHONG_PHAT_SINH"
+
+
+def test_prefix_fold_joins_totals_of_few_keys_and_keeps_null_keys(spark):
+    rows = [("hot", n, 1) for n in range(300)] + [(None, n, 1) for n in range(300)] + [(f"k{n}", 0, 1) for n in range(50)]
+    df = spark.createDataFrame(rows, "k string, t int, x int")
+    out = spread.prefix_fold(df, ["k"], ["t"], {"before": F.col("x")}, {}, Work(spark).keep)
+    got = out.collect()
+    assert len(got) == len(rows) and all(r["before"] == r["t"] for r in got)
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_judging_requests_carries_no_sources_and_rejects_need_no_names(spark, catalog):
+    requests = [request("a", PAGES), request("b", PAGES, type_id="77"), request("a", PAGES), request("a", PAGES, at=-1)]
+    done = plan(spark, catalog, [], requests, [("a", "c"), ("b", "c")])
+    assert sorted((r["token"][0], r["reason"]) for r in done.rejected.collect()) == [
+        ("a", "session already used"), ("a", "session already used"), ("b", "invalid type code")
+    ]
+    kept = sorted(p.name.split("-", 1)[1] for p in Path(done.work.path.removeprefix("file:")).iterdir())
+    assert kept == ["checked", "judged"]
+    stored = {c for d in ("001-checked", "002-judged") for c in spark.read.parquet(f"{done.work.path}/{d}").columns}
+    assert not stored & {"_sources", "_pages"}
+    assert [r["source_files"] for r in done.provenance.collect()] == [["photo.jpg", "scan.pdf"]]
+
+
+def test_pages_of_uploads_are_summed_by_hashing(spark):
+    uploads = spark.createDataFrame([("a", "c", 1, "x.pdf", "s", 2), ("a", "c", 2, "y.exe", "s", 1), ("b", "c", 1, "z.png", "s", None)], "token string, case_key string, position int, name string, sha256 string, page_count int")
+    named = imports.named_uploads(uploads)
+    judged = imports.judge_uploads(spark.createDataFrame([("a", "c"), ("b", "c")], "token string, case_key string"), named)
+    assert {tuple(r) for r in judged.collect()} == {("a", "c", "file type not allowed", "y.exe"), ("b", "c", None, None)}
+    text = judged._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and all("problem" in line for line in text.splitlines() if "SortAggregate" in line)
