@@ -14,6 +14,7 @@ from casebook.operators import actions, checklist, imports, spread, status, warn
 from casebook.plans import updates
 from casebook.sources.catalog import pin
 from casebook.sources.work import Work
+from workload.inputs import Inputs
 
 START = datetime(2026, 1, 1)
 
@@ -474,3 +475,13 @@ def test_pages_of_uploads_are_summed_by_hashing(spark):
     assert {tuple(r) for r in judged.collect()} == {("a", "c", "file type not allowed", "y.exe"), ("b", "c", None, None)}
     text = judged._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in text and all("problem" in line for line in text.splitlines() if "SortAggregate" in line)
+
+
+def test_dealt_tables_fall_into_tasks_of_so_many_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("workload.inputs.ROWS_A_TASK", 100)
+    spark.range(950).selectExpr("id % 90 as k", "id").write.parquet(f"{tmp_path}/lineitem.parquet")
+    given = Inputs(spark, str(tmp_path))
+    given.deal("lineitem", "k")
+    dealt = given.table("lineitem").withColumn("part", F.spark_partition_id())
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.select("id").distinct().count() == 950
+    assert dealt.select("k", "part").distinct().count() == 90
