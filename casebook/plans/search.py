@@ -1,7 +1,7 @@
 """Substring search over cases by postings of trigrams.
 
 ``LIKE %q%`` alone reads every case. The index holds, for each three characters in a row of a searched field, the cases that
-have them, sorted by these characters, so that a search reads the postings of its own trigrams only. Cases that have all
+have them, in each file sorted by these characters, so that a search reads the postings of its own trigrams only. Cases that have all
 of them are then read from the folders of their buckets and checked by the same condition as without an index, so both
 give the same rows. The index belongs to one snapshot of the cases and is written anew with it.
 """
@@ -45,13 +45,13 @@ def query_grams(query: str) -> list[str]:
 
 
 def index_cases(cases: DataFrame, work: Work, buckets: int = BUCKETS) -> CaseIndex:
-    """Writes the index. A trigram that very many cases have is spread over tasks and files by the case key."""
+    """Writes the index. Postings are made from the written cases, part by part, and sorted by trigram within each file: no
+    trigram is gathered anywhere, however many cases have it, and a search reads of every file what its trigrams cover."""
     placed = cases.withColumn("_bucket", F.pmod(F.xxhash64("case_key"), F.lit(buckets)).cast("int"))
     kept = work.keep(placed.hint("rebalance", "_bucket"), "indexed-cases", by="_bucket")
     own = F.array_distinct(F.concat(*[grams(F.col(c)) for c in SEARCHED]))
-    postings = placed.select(F.explode(own).alias("gram"), "_bucket", "case_key")
-    order = ("gram", "case_key")
-    return CaseIndex(kept, work.keep(postings.repartitionByRange(*order).sortWithinPartitions(*order), "postings"))
+    postings = kept.select(F.explode(own).alias("gram"), "_bucket", "case_key")
+    return CaseIndex(kept, work.keep(postings.sortWithinPartitions("gram"), "postings"))
 
 
 def search_cases(index: CaseIndex, f: CaseFilter, work: Work, warnings: DataFrame | None = None) -> DataFrame:

@@ -59,3 +59,19 @@ def test_an_empty_table_of_cases(spark, cases):
 
 def test_wildcards_are_in_no_trigram():
     assert search.query_grams("ABc_de%fgh") == ["abc", "fgh"] and search.query_grams("a_b") == []
+
+
+def test_postings_are_made_from_the_written_cases_without_a_shuffle(spark, cases):
+    seen = {}
+
+    class Watched(Work):
+        def keep(self, df, name, by=None):
+            seen[name] = df._jdf.queryExecution().executedPlan().toString()
+            return super().keep(df, name, by)
+
+    postings = search.index_cases(cases, Watched(spark), buckets=8).postings
+    assert "Exchange" not in seen["postings"] and "FileScan parquet" in seen["postings"]
+    by_file = postings.select(F.input_file_name().alias("f"), "gram").collect()
+    for name in {r["f"] for r in by_file}:
+        grams = [r["gram"].encode() for r in by_file if r["f"] == name]
+        assert grams == sorted(grams)
