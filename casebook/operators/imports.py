@@ -43,13 +43,12 @@ def existing_numbers(documents: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def with_planned(documents: DataFrame, events: DataFrame) -> DataFrame:
     """What ``existing_numbers`` needs of documents, and the names that earlier batches gave and no scan has seen yet."""
-    planned = events.select(
-        F.concat_ws("/", "case_key", "filename").alias("relative_path"),
-        "case_key",
-        "filename",
-        F.lit(True).alias("is_present"),
+    # paths are put together where they are compared, so that no row travels with its path and its parts
+    path = F.concat_ws("/", "case_key", "filename")
+    planned, stored = events.select("case_key", "filename").distinct(), documents.select(F.col("relative_path").alias("_path"))
+    unseen = planned.join(stored, path == F.col("_path"), "left_anti").select(
+        path.alias("relative_path"), "case_key", "filename", F.lit(True).alias("is_present")
     )
-    unseen = planned.distinct().join(documents.select("relative_path"), "relative_path", "left_anti")
     return documents.select(unseen.columns).unionByName(unseen)
 
 
