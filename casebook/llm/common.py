@@ -81,6 +81,29 @@ def flat_bytes(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), np.uint8), offsets
 
 
+def flat_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values back to back, and their n + 1 offsets; a null as empty. Nothing is copied value by value."""
+    if pa.types.is_string(column.type):
+        column = column.cast(pa.binary())
+    column = pc.fill_null(column, b"").cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, ends, data = column.buffers()
+    offsets = np.frombuffer(ends, np.int64, len(column) + 1, 8 * column.offset)
+    flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def binary_values(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary value for each stretch of ``flat``; they may overlap."""
+    ends = np.zeros(sizes.size + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("more than 2 GB in a batch")
+    data = flat[np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)]
+    return pa.Array.from_buffers(pa.binary(), sizes.size, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A well-spread 64-bit value for each 64-bit value (the finalizer of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

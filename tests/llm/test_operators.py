@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -174,6 +175,22 @@ def test_repeats_are_those_of_brute_force(spark, docs, seed):
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_a_block_sorts_only_what_may_repeat_and_gives_neighbouring_windows_as_one_row(monkeypatch):
+    rng = np.random.default_rng(5)
+    spans, sorted_ones, before = [bytes(rng.integers(97, 123, 70).astype(np.uint8)) for _ in range(40)], [], suffix_dedup.equal_windows
+    rows = [(k // 4, k, 7, 21, 20, spans[k]) for k in range(40)] + [(5, 90, 3, 21, 20, spans[21])]
+    rows.sort(key=lambda r: r[:2])
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
+    names = ["key", "doc", "lo", "count", "at", "bytes"]
+    block = pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kinds[n]) for n in range(6)], names)
+    monkeypatch.setattr(suffix_dedup, "equal_windows", lambda flat, starts, window: sorted_ones.append(starts.size) or before(flat, starts, window))
+    got = suffix_dedup.settle_block(block, 50).to_pylist()
+    assert [(r["doc"], r["lo"], r["count"]) for r in got if r["digest"] is None] == [(90, 3, 21)]
+    open_ones = {(r["doc"], r["lo"]): r["digest"] for r in got if r["digest"] is not None}
+    assert open_ones == {(k, 7 + n): hashlib.blake2b(spans[k][n : n + 50], digest_size=16).digest() for k in (*range(4), *range(36, 40)) for n in range(21)}
+    assert sorted_ones == [42]
+
+
 def test_suffixes_with_long_ties_share_a_number():
     rng = np.random.default_rng(3)
     flat = np.concatenate([np.tile(rng.integers(97, 99, 16), 12), rng.integers(97, 99, 200), np.zeros(130)]).astype(np.uint8)
