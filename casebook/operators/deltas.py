@@ -16,6 +16,8 @@ from casebook.operators.diff import BEFORE, limit_to
 from casebook.operators.status import figures_from_facts
 
 KEYS = ("case_key", "code", "last_hashed_at")
+#: What counts need of a document's stored values.
+COUNTED = ("taxonomy_code", "parse_status", "is_present", "last_hashed_at")
 
 
 def _valid_code(prefix: str) -> Column:
@@ -29,6 +31,11 @@ def document_counts(documents: DataFrame) -> DataFrame:
     return present.groupBy(*KEYS).agg(F.count("*").alias("n"))
 
 
+def stored_counts(changes: DataFrame) -> DataFrame:
+    """The counts of the stored documents, from a change set (``diff.change_set``), which has all of them."""
+    return document_counts(changes.select("case_key", *[F.col(BEFORE + n).alias(n) for n in COUNTED]))
+
+
 def count_deltas(moved: DataFrame) -> DataFrame:
     """Signed differences of the counts from documents next to their stored values (``diff.moved_documents``)."""
 

@@ -8,13 +8,15 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from casebook.operators import deltas, diff
+from casebook.operators import checklist, deltas, diff
 from casebook.plans.scan import scan
 from casebook.sources import listing
 from casebook.sources.catalog import load_catalog, pin, same_codes
 from casebook.sources.state import StateStore
 from casebook.sources.work import Work
 from tests.builders import BASES, entries, junk, pdf, write_catalog
+from workload import spark_queries as queries
+from workload.inputs import Inputs
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
@@ -134,3 +136,34 @@ def test_counters_ride_on_the_writing_jobs(spark, tables):
     work.keep(counted.watch(diff.change_set(prior.limit(0), files.limit(0)), {"none": F.count_if(F.col("change_kind") == "NEW")}), "empty")
     assert counted.values() == {"files_seen": 32, "docs_created": 6, "docs_updated": 26, "none": 0}
     work.drop()
+
+
+SMALLEST = "/root/testdata/sf0.001"
+
+
+def test_stored_counts_follow_from_the_change_set(spark):
+    i = Inputs(spark, SMALLEST)
+    prior = queries.documents_previous(i)
+    assert counts(deltas.stored_counts(diff.change_set(prior, i.view("listing")))) == counts(deltas.document_counts(prior)) != []
+
+
+def test_evidence_may_come_as_counts(spark):
+    i = Inputs(spark, SMALLEST)
+    held = deltas.document_counts(queries.documents_previous(i))
+    facts = [checklist.facts_from_counts(held, queries.overrides(i), e).orderBy("case_key", "code").collect() for e in (i.view("evidence"), checklist.external_evidence(i.view("evidence")))]
+    assert facts[0] == facts[1] != []
+
+
+def test_rules_and_recompute_find_only_what_they_read(spark):
+    kept = queries.scanned_documents(Inputs(spark, SMALLEST))
+    assert kept.filter("not is_present").isEmpty() and not kept.isEmpty()
+    assert "size_bytes" not in kept.columns
+
+
+def test_changes_write_each_shared_step_once(spark, monkeypatch):
+    names = []
+    keep = Work.keep
+    monkeypatch.setattr(Work, "keep", lambda self, df, name, by=None: names.append(name) or keep(self, df, name, by))
+    changed = queries.QUERIES["recompute_from_changes"](spark, SMALLEST)
+    assert {"evidence", "cases", "concerned", "stored-warnings"} <= set(names) and len(names) == len(set(names))
+    assert changed.exceptAll(queries.QUERIES["case_status"](spark, SMALLEST).select(*changed.columns)).isEmpty()
