@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import map_batches, slices, table, texts_as_bytes
+from casebook.llm.common import flat_values, give_back, map_batches, slices, table, texts_as_bytes
 from casebook.sources.work import Work
 
 #: Cells that terms are hashed to.
@@ -110,14 +110,16 @@ def paired(rows: list[np.ndarray], labels: np.ndarray, cells: np.ndarray, least:
     place = np.full(CELLS, -1)
     place[cells] = np.arange(cells.size)
     both, hits = (np.zeros((cells.size, cells.size), np.float32) for _ in "nh")
-    for at in range(0, len(rows), 2048):
-        part = [place[r] for r in rows[at : at + 2048]]
+    met = np.empty_like(both)
+    for at in range(0, len(rows), 512):
+        part = [place[r] for r in rows[at : at + 512]]
         own = np.zeros((len(part), cells.size), np.float32)
         for k, p in enumerate(part):
             own[k, p[p >= 0]] = 1
-        both += own.T @ own
-        marked = own[labels[at : at + 2048] > 0]
-        hits += marked.T @ marked
+        both += np.matmul(own.T, own, out=met)
+        marked = own[labels[at : at + 512] > 0]
+        hits += np.matmul(marked.T, marked, out=met)
+    del met
     total, positives = float(len(rows)), float(labels.sum())
     n, h = both.diagonal().astype(float), hits.diagonal().astype(float)
     alone, base = _gains(n, h, total, positives), _fit_of(np.array(positives), np.array(total))
@@ -142,7 +144,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, least: float = 16.0, least_p
     n, hits = np.bincount(flat, minlength=CELLS).astype(float), np.bincount(flat, labels[of], CELLS)
     alone = telling(n, hits, len(rows), positives, least)
     own = np.union1d(alone, paired(rows, labels, spread(n, len(rows)), least_pair))
-    number = np.full(CELLS, -1)
+    number = np.full(CELLS, -1, np.int32)
     number[own] = np.arange(own.size)
     rows = [(n := number[r])[n >= 0] for r in rows]
     width = 1 + FACTORS
@@ -231,8 +233,10 @@ def fit_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", most: i
         sample = work.keep(one.select("r.h", "r.id", "label", "looks", "r.cells").orderBy("h", "id", "label", "looks").limit(most), "labelled")
         rows, positives = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
         n, hits = np.zeros(CELLS), np.zeros(CELLS)
-        for cell, seen, labelled in _cell_counts(sample).collect():
-            n[cell], hits[cell] = seen, labelled
+        # as arrays: a Python object for each of up to CELLS rows would stay in the driver's memory
+        counted = _cell_counts(sample).toArrow()
+        n[counted["cell"]], hits[counted["cell"]] = counted["n"], counted["hits"]
+        del counted
         wanted = np.zeros(CELLS, bool)
         if rows:
             wanted[spread(n, rows)] = wanted[telling(n, hits, rows, positives, least)] = True
@@ -241,10 +245,14 @@ def fit_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", most: i
             rows = [np.frombuffer(c, np.int32) for c in batch["cells"].to_pylist()]
             return pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array([r[wanted[r]].tobytes() for r in rows], pa.binary())], ["id", "label", "cells"])
 
-        found = sorted((r["id"], r["label"], bytes(r["cells"])) for r in map_batches(sample.select("id", "label", "cells"), run, "id long, label int, cells binary").collect())
-        return fit([np.frombuffer(c, np.int32).astype(np.int64) for _, _, c in found], np.array([y for _, y, _ in found], np.float64), least)
+        found = map_batches(sample.select("id", "label", "cells"), run, "id long, label int, cells binary").orderBy("id", "label", "cells").toArrow()
+        flat, ends = flat_values(found["cells"].combine_chunks())
+        labels = found["label"].to_numpy().astype(np.float64)
+        return fit(np.split(flat.view(np.int32), ends[1:-1] // 4) if labels.size else [], labels, least)
     finally:
         work.drop()
+        found = flat = None
+        give_back()
 
 
 def with_scores(docs: DataFrame, model: Model, columns: tuple[str, ...], text_col: str = "text", score_col: str = "score") -> DataFrame:

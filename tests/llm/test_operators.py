@@ -335,6 +335,14 @@ def test_whole_labelled_texts_and_many_rows_of_an_id(spark):
     assert factor_machine.with_scores(docs.limit(0), empty, ("doc_id",)).count() == 0 and factor_machine.fit_on(docs, labels.limit(0)).bias == 0
 
 
+def test_fitting_makes_no_python_object_for_each_row_or_cell(spark, docs, monkeypatch):
+    labels = docs.where("doc_id is not null").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    taken, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: taken.append(collect(self)) or taken[-1])
+    factor_machine.fit_on(docs, labels)
+    assert max(map(len, taken), default=0) <= 1
+
+
 def test_scores_of_null_and_empty_texts(spark, docs):
     labels = spark.createDataFrame([(1, 1, 1), (6, 1, 0)], "doc_id long, quality int, toxic int")
     model = factor_machine.fit_on(docs, labels)
