@@ -71,13 +71,13 @@ def _facts(counted: DataFrame, overrides: DataFrame, evidence: DataFrame | None)
     )
     if evidence is not None:
         # documents as reported, or their counts (``external_evidence``)
-        counted = "n" in evidence.columns
+        as_counts = "type_id" not in evidence.columns
         stacked = stacked.unionByName(
-            (evidence if counted else evidence.filter("type_id is not null")).select(
+            (evidence if as_counts else evidence.filter("type_id is not null")).select(
                 "case_key",
-                F.col("code" if counted else "type_id").alias("code"),
+                F.col("code" if as_counts else "type_id").alias("code"),
                 F.lit(0).alias("file"),
-                F.col("n").alias("external") if counted else F.lit(1).alias("external"),
+                F.col("n").alias("external") if as_counts else F.lit(1).alias("external"),
                 none.cast("int").alias("override"),
                 none.cast("timestamp").alias("last_hashed_at"),
             )
