@@ -20,6 +20,8 @@ from pyspark.sql.types import StructType
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts handed to numpy at once, so that a batch of very long texts doesn't multiply in memory.
 SLICE_BYTES = 4 << 20
+#: Input after which a task hands freed memory back; it does so at its end too, as workers live on between tasks.
+TRIM_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,11 @@ def release(spark: SparkSession) -> None:
 def give_back() -> None:
     """Hands what Python and Arrow have freed in this process back to the system; else a driver keeps the size of its largest step."""
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """``give_back`` for workers: what hangs in cycles stays."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc do so by themselves or not at all
         ctypes.CDLL(None).malloc_trim(0)
@@ -55,13 +62,21 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | I
     """``fn`` over the record batches of each task; it may return one batch or yield several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
         for batch in batches:
             if batch.num_rows:
+                seen += batch.nbytes
                 out = fn(batch)
                 if isinstance(out, pa.RecordBatch):
                     yield out
                 else:
                     yield from out
+            if seen >= TRIM_BYTES:
+                batch = out = None
+                trim()
+                seen = 0
+        batch = out = None
+        trim()
 
     return df.mapInArrow(run, schema)
 
@@ -125,21 +140,36 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered for the words seen of late."""
+class Remembered(dict):
+    """word -> what was found for it, for the words seen of late.
 
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
+    A Python worker goes from step to step and lives on, so only one such memory in it holds words: the first new word of
+    another makes it forget.
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    most = 300_000
+    holder: Remembered | None = None
 
-        if len(self) >= self.most:
+    def put(self, word, value):
+        if Remembered.holder is not self:
+            if Remembered.holder is not None:
+                Remembered.holder.clear()
+                trim()
+            Remembered.holder = self
+        elif len(self) >= self.most:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        self[word] = value
         return value
 
+
+class WordHashes(Remembered):
+    """64-bit hash of a word."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        return self.put(word, xxhash.xxh3_64_intdigest(word))
+
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 

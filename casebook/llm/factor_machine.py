@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import flat_values, give_back, map_batches, slices, table, texts_as_bytes
+from casebook.llm.common import Remembered, flat_values, give_back, map_batches, slices, table, texts_as_bytes
 from casebook.sources.work import Work
 
 #: Cells that terms are hashed to.
@@ -32,17 +32,14 @@ FACTORS = 6
 _EDGE = b"""!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
 
 
-class TermCells(dict):
-    """word -> the cell of its term, -1 if nothing is left of it; remembered for the words seen of late."""
+class TermCells(Remembered):
+    """word -> the cell of its term, -1 if nothing is left of it."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 600_000:
-            self.clear()
         term = word.strip(_EDGE).decode("utf-8", "replace").lower().encode()
-        value = self[word] = xxhash.xxh3_64_intdigest(term) % CELLS if term else -1
-        return value
+        return self.put(word, xxhash.xxh3_64_intdigest(term) % CELLS if term else -1)
 
 
 _cells = TermCells()

@@ -13,6 +13,8 @@ import re
 
 import numpy as np
 
+from casebook.llm.common import Remembered
+
 _WHITE = re.compile("[\t\n\x0b\x0c\r \u0085   -     　]+")
 #: White space for str.split() alone, ordinary characters for the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -20,7 +22,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _UNCOMMON = re.compile("[^\x00-\x7f\xa0-įı-ſ]|<\\|")
 #: Stands for the end of a word inside the rank table; no UTF-8 text holds this byte.
 _END = b"\xff"
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -31,9 +33,11 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
-class WordIds(dict):
+class WordIds(Remembered):
     """word -> its ids as little-endian unsigned 32-bit integers."""
 
+    most = REMEMBERED
+
     def __init__(self, model: str):
         import regex
         import tiktoken
@@ -71,9 +75,7 @@ class WordIds(dict):
                 ranks += self.bpe._encode_single_piece(piece.encode() + _END)
             value = self.ids[ranks].tobytes() if ranks else b""
         if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = value
+            self.put(word, value)
         return value
 
     def of(self, text: str) -> bytes:

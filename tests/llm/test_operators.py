@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from casebook.llm import contrast_lm, decision_list, factor_machine, filter_cascade, lsh_forest, nn_descent, pattern_packing, source_schedule, suffix_dedup, token_prefixes
+from casebook.llm import common, contrast_lm, decision_list, factor_machine, filter_cascade, lsh_forest, nn_descent, pattern_packing, source_schedule, suffix_dedup, token_prefixes, word_ids
 from casebook.llm.text_stats import stats
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string"
@@ -436,6 +436,33 @@ def test_contrast_counts_every_word_and_pair_by_itself(spark, monkeypatch, block
             assert r[name] == pytest.approx(loss / len(w), rel=1e-9)
 
 
+def test_a_worker_remembers_the_words_of_one_step_at_a_time(monkeypatch):
+    words = [b"fox", b"ran", b"home"]
+    known = word_ids.word_ids(WORD)
+    memories = (factor_machine._cells, common.word_hashes(), known)
+    first = factor_machine.cells_of(b" ".join(words)).tolist(), common.word_hashes().of(words).tolist(), known.of("fox ran home")
+    assert [len(m) for m in memories] == [0, 0, 3]
+    assert factor_machine.cells_of(b" ".join(words)).tolist() == first[0]
+    assert [len(m) for m in memories] == [3, 0, 0]
+    assert (common.word_hashes().of(words).tolist(), known.of("fox ran home")) == first[1:]
+    monkeypatch.setattr(common.WordHashes, "most", 2)
+    assert common.word_hashes().of(words).tolist() == first[1] and len(common.word_hashes()) == 1
+
+
+def test_tasks_hand_freed_memory_back(monkeypatch):
+    class Task:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    given = []
+    monkeypatch.setattr(common, "trim", lambda: given.append(1))
+    monkeypatch.setattr(common, "TRIM_BYTES", 64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())], ["i"]) for n in (3, 0, 20, 5)]
+    run = common.map_batches(Task(), lambda b: b if b.num_rows < 20 else iter([b, b]), "i long")
+    assert [b.num_rows for b in run(iter(batches))] == [3, 20, 20, 5]
+    assert len(given) == 2  # after the large batch and at the end
+
+
 def test_pipeline_stages_return_documents(spark, docs, tmp_path):
     import corpus_pipeline
 
