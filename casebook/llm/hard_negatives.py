@@ -92,7 +92,8 @@ class Codes:
 
 def integer_scores(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers."""
-    most = float(np.abs(rows).max(initial=0)) * float(np.abs(anchor).max(initial=0)) * max(1, anchor.size)
+    largest = lambda x: max(float(x.max(initial=0)), -float(x.min(initial=0)))
+    most = largest(rows) * largest(anchor) * max(1, anchor.size)
     if most < 2**53:  # a double holds every sum
         return (rows.astype(np.float64) @ anchor.astype(np.float64)).astype(np.int64)
     return rows @ anchor
@@ -144,9 +145,11 @@ def _numbers(data: bytes, width: int | None = None) -> np.ndarray:
 
 def _cells(anchors: DataFrame, blocks: DataFrame, fn: Callable[[dict, dict, Codes], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``fn(anchors, rows, codes of the rows)`` for every block of anchors with every block of rows of the same dim."""
-    there = blocks.groupBy("dim").agg(F.collect_list("block").alias("_blocks"))  # one number for each BLOCK rows
-    own = [F.col(c).alias(f"a_{c}") for c in anchors.columns if c not in ("block", "dim")]
-    sent = anchors.join(there, "dim").select(*own, F.explode("_blocks").alias("block"))
+    cells = anchors.select("dim", F.col("block").alias("a_block")).join(blocks.select("dim", "block"), "dim").select("a_block", "block")
+    own = [F.col(c).alias(f"a_{c}") for c in anchors.columns if c != "dim"]
+    # files of blocks are small for what they hold, and a block of anchors is needed once for each block of rows: by the
+    # estimate of its size Spark would broadcast that
+    sent = cells.join(anchors.select(*own).hint("merge"), "a_block").drop("a_block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
@@ -161,7 +164,7 @@ def _cells(anchors: DataFrame, blocks: DataFrame, fn: Callable[[dict, dict, Code
                 if out is not None:
                     yield out
 
-    return sent.join(blocks, "block").mapInArrow(run, schema)
+    return sent.join(blocks.hint("merge"), "block").mapInArrow(run, schema)
 
 
 def _estimated(row: dict, codes: Codes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -203,18 +206,26 @@ def best_different(row: dict, rows: dict, codes: Codes, most: int, share: tuple[
     asked = _numbers(row["a_asked"], 3 * positives).reshape(-1, positives, 3)  # place (0: none), id and score of each positive
     out = []
     for n, anchor, lows, highs in _estimated(row, codes):
-        different = (rows["label"] != labels[n]) & (rows["id"] != ids[n])
+        different = np.flatnonzero((rows["label"] != labels[n]) & (rows["id"] != ids[n]))
+        lows, highs = lows[different], highs[different]
+        ranges = []
         for place, positive, score in asked[n].tolist():
             least, largest = -(-share[0] * score // 100), share[1] * score // 100
-            if not place or least > largest:
-                continue
-            sure = different & (lows >= least) & (highs <= largest)
-            floor = max(least, _kth(lows[sure], most))
-            at = np.flatnonzero(different & (highs >= floor) & (lows <= largest))
-            scores = integer_scores(rows["v"][at], anchor)
-            inside = (scores >= least) & (scores <= largest)
-            at, scores = at[inside], scores[inside]
-            best = _best(scores, rows, at, most)
+            if place and least <= largest:
+                floor = max(least, _kth(lows[(lows >= least) & (highs <= largest)], most))
+                ranges.append((place, positive, score, least, largest, floor))
+        if not ranges:
+            continue
+        # the ranges of an anchor's positives lie in each other for the most part: a row is scored once for all of them
+        at = different[(highs >= min(r[-1] for r in ranges)) & (lows <= max(r[-2] for r in ranges))]
+        scores = integer_scores(rows["v"][at], anchor)
+        order = np.argsort(scores)
+        in_order = scores[order]
+        for place, positive, score, least, largest, _ in ranges:
+            first, last = np.searchsorted(in_order, least), np.searchsorted(in_order, largest, side="right")
+            first = max(first, np.searchsorted(in_order, in_order[max(first, last - most)])) if first < last else last
+            inside = order[first:last]  # the best of the range and all that tie with the last of them
+            best = inside[_best(scores[inside], rows, at[inside], most)]
             same = [np.full(best.size, x) for x in (ids[n], keys[n], place, positive, score)]
             out.append((*same, rows["id"][at[best]], rows["row"][at[best]], scores[best]))
     if not out:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
@@ -9,6 +10,7 @@ import numpy as np
 
 from casebook.llm import hard_negatives
 from casebook.llm.hard_negatives import Codes, integer_scores
+from casebook.sources.work import Work
 
 SCHEMA = "vec_id long, embedding array<double>, label int, id long, row string, v int, dim int, rank int"
 
@@ -93,3 +95,17 @@ def test_intervals_hold():
 def test_whole_numbers_are_scored_exactly():
     big = np.array([[2**31 - 1, 3], [2**31, 5]], np.int64)
     assert integer_scores(big, np.array([2**30, 7])).tolist() == [(2**31 - 1) * 2**30 + 21, 2**61 + 35]
+
+
+def test_blocks_are_never_broadcast(spark):
+    work = Work(spark)
+    usable = work.keep(hard_negatives._usable(frame(spark, made(300, 20, 4)), "vec_id", "label", "embedding", 256), "rows")
+    columns = ("id", "row", "label"), ("v",)
+    blocks, asking = (work.keep(hard_negatives._packed(usable, size, *columns), "blocks") for size in (16, 4))
+    cells = hard_negatives._cells(asking, blocks, lambda row, rows, codes: None, "id long")
+    depths = [(line.find("- ") + 1, line) for line in cells._jdf.queryExecution().executedPlan().toString().splitlines()]
+    sent = [n for n, (_, line) in enumerate(depths) if "BroadcastExchange" in line]
+    for n in sent:
+        inside = itertools.takewhile(lambda x, top=depths[n][0]: x[0] > top, depths[n + 1 :])
+        assert not any("binary" in line for _, line in inside)
+    assert sum("SortMergeJoin" in line for _, line in depths) >= 2
