@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import Remembered, flat_values, give_back, map_batches, slices, table, texts_as_bytes
+from casebook.llm.common import Remembered, ascending, flat_values, give_back, map_batches, slices, table, texts_as_bytes
 from casebook.sources.work import Work
 
 #: Cells that terms are hashed to.
@@ -32,24 +32,40 @@ FACTORS = 6
 _EDGE = b"""!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
 
 
-class TermCells(Remembered):
-    """word -> the cell of its term, -1 if nothing is left of it."""
+def _cell(term: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(term) % CELLS
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        term = word.strip(_EDGE).decode("utf-8", "replace").lower().encode()
-        return self.put(word, xxhash.xxh3_64_intdigest(term) % CELLS if term else -1)
+class TermCells(Remembered):
+    """term -> its cell."""
+
+    def __missing__(self, term: bytes) -> int:
+        return self.put(term, _cell(term))
 
 
 _cells = TermCells()
 
 
+def terms_of(text: bytes) -> set[bytes]:
+    """The distinct terms of a text: its words in lower case without punctuation at their ends."""
+    words = set(text.decode("utf-8", "replace").lower().encode().split())
+    return {word.strip(_EDGE) for word in words} - {b""}
+
+
 def cells_of(text: bytes) -> np.ndarray:
     """The distinct cells of a text's terms, ascending."""
-    words = set(text.split())
-    found = np.unique(np.fromiter(map(_cells.__getitem__, words), np.int64, len(words)))
-    return found[found >= 0]
+    terms = terms_of(text)
+    return ascending(np.fromiter(map(_cells.__getitem__, terms), np.int64, len(terms)))
+
+
+def all_cells(texts: list[bytes]) -> list[np.ndarray]:
+    """``cells_of`` of each text, for a whole table: most terms are rare there, and to hash one takes less than to remember it."""
+    import xxhash
+
+    hashed = (np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms)) for terms in map(terms_of, texts))
+    return [ascending((own % np.uint64(CELLS)).astype(np.int64)) for own in hashed]
 
 
 @dataclass
@@ -262,7 +278,7 @@ def with_scores(docs: DataFrame, model: Model, columns: tuple[str, ...], text_co
     def run(batch: pa.RecordBatch):
         own = Model(*shared.value)
         for part in slices(batch, "_scored_text"):
-            scores = own.scores([cells_of(t) for t in texts_as_bytes(part["_scored_text"])])
+            scores = own.scores(all_cells(texts_as_bytes(part["_scored_text"])))
             yield pa.RecordBatch.from_arrays([*(part[f"_kept_{n}"] for n in range(len(columns))), pa.array(scores)], [*columns, score_col])
 
     return map_batches(source, run, schema)

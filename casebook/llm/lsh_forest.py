@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm.common import map_batches, mix64, slices, table, texts_as_bytes, word_hashes
+from casebook.llm.common import ascending, map_batches, mix64, slices, table, texts_as_bytes
 from casebook.llm.components import components
+from casebook.llm.word_stream import hashed_words
 from casebook.sources.work import Work
 
 TREES, LABEL = 16, 6
@@ -38,22 +39,26 @@ NEAR = 2
 BAND = 1.08
 #: Signatures estimate the similarity with a deviation of at most 0.051; a pair is ruled out at this much below.
 MARGIN = 0.22
+#: Bytes of texts whose words are hashed at once: what is computed for them stays in a core's cache.
+HASHED_BYTES = 1 << 19
 _rng = np.random.default_rng(20)
 _XOR, _TIMES = _rng.integers(0, 1 << 32, HASHES, np.uint32), _rng.integers(0, 1 << 31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: bytes, width: int) -> np.ndarray:
-    """Hashes (64 bits, ascending) of a text's distinct shingles; with fewer words, of the whole sequence."""
-    words = word_hashes().of(text.lower().split())
-    if not words.size:
-        return np.zeros(0, np.uint64)
-    n = max(1, words.size - width + 1)
-    take = min(width, words.size)
-    out = words[:n].copy()
-    for k in range(1, take):
-        out = mix64(out + np.uint64(k)) * _STEP + words[k : k + n]
-    return np.unique(mix64(out + np.uint64(take)))
+def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """Hashes (64 bits, ascending) of each text's distinct shingles; with fewer words, of the whole sequence."""
+    words, counts = hashed_words([t.lower() for t in texts])
+    of = np.repeat(np.arange(len(texts)), counts)
+    left = np.cumsum(counts)[of] - np.arange(words.size)  # words of the text from this one on
+    out = words.copy()
+    for k in range(1, min(width, words.size)):
+        head = out[: words.size - k]
+        np.copyto(head, mix64(head + np.uint64(k)) * _STEP + words[k:], where=left[: words.size - k] > k)
+    out = mix64(out + np.minimum(left, width).astype(np.uint64))
+    begins = (left >= width) | (left == counts[of])
+    ends = np.cumsum(np.bincount(of[begins], minlength=len(texts)))
+    return [ascending(own) for own in np.split(out[begins], ends[:-1])]
 
 
 def signature(own: np.ndarray) -> np.ndarray:
@@ -69,24 +74,22 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, HASHES)
 
 
-def node_of(own: np.ndarray) -> int:
-    """The node of a set: 64 bits made from two sums over its shingles and its size."""
-    parts = np.array([own.sum(dtype=np.uint64), mix64(own).sum(dtype=np.uint64), own.size], np.uint64)
-    return int(mix64(mix64(parts[:1] + mix64(parts[2:])) * _STEP + parts[1:2]).view(np.int64)[0])
+def nodes_of(sets: list[np.ndarray]) -> np.ndarray:
+    """The node of each set: 64 bits made from two sums over its shingles and its size."""
+    parts = [(own.sum(dtype=np.uint64), mix64(own).sum(dtype=np.uint64), own.size) for own in sets]
+    first, second, size = np.array(parts, np.uint64).reshape(-1, 3).T
+    return mix64(mix64(first + mix64(size)) * _STEP + second).view(np.int64)
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``node`` and ``signature`` of each row; without shingles no signature."""
 
     def run(batch: pa.RecordBatch):
-        for part in slices(batch, "t"):
-            n, nodes, marks = [], [], []
-            for text in texts_as_bytes(part["t"]):
-                own = shingles(text, width)
-                n.append(own.size)
-                nodes.append(node_of(own))
-                marks.append(signature(own).tobytes() if own.size else None)
-            yield pa.RecordBatch.from_arrays([part["i"], part["h"], pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "text_hash", "n_shingles", "node", "signature"])
+        for part in slices(batch, "t", HASHED_BYTES):
+            sets = shingle_sets(texts_as_bytes(part["t"]), width)
+            marks = [signature(own).tobytes() if own.size else None for own in sets]
+            columns = [part["i"], part["h"], pa.array([own.size for own in sets], pa.int64()), pa.array(nodes_of(sets)), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "signature"])
 
     text = docs["text"].cast("string")
     rows = docs.select(docs["doc_id"].cast("long").alias("i"), F.xxhash64(text).alias("h"), text.alias("t"))
@@ -154,15 +157,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     its least id ``head``. An id may have several texts: only those that make the node count."""
 
     def run(batch: pa.RecordBatch):
-        for part in slices(batch, "t"):
-            nodes, n, items = [], [], []
-            for node, text in zip(part["node"].to_pylist(), texts_as_bytes(part["t"]), strict=True):
-                own = shingles(text, width)
-                if node_of(own) == node:
-                    nodes.append(node)
-                    n.append(own.size)
-                    items.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(items, pa.binary())], ["node", "n", "items"])
+        for part in slices(batch, "t", HASHED_BYTES):
+            sets = shingle_sets(texts_as_bytes(part["t"]), width)
+            found = np.flatnonzero(nodes_of(sets) == part["node"].to_numpy())
+            columns = [part["node"].take(pa.array(found)), pa.array([sets[k].size for k in found], pa.int64()), pa.array([sets[k].tobytes() for k in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "items"])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].cast("string").alias("t")).join(wanted, F.col("_id") == F.col("head"))
     return map_batches(rows.select("node", "t"), run, "node long, n long, items binary").dropDuplicates(["node"])

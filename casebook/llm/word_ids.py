@@ -61,7 +61,7 @@ class WordIds(Remembered):
             if (key := raw(token)) not in order:
                 order[key] = len(ids)
                 ids.append(vocab[token])
-        self.ids = np.array(ids, "<u4")
+        self.ids = [np.array(n, "<u4").tobytes() for n in ids]
         self.bpe = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=order, special_tokens={})
         pattern = next(p["pattern"]["Regex"] for p in whole["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(pattern)
@@ -73,7 +73,7 @@ class WordIds(Remembered):
             low, ranks = word.lower(), []
             for piece in (low,) if low.isalpha() else self.pieces.findall(low):
                 ranks += self.bpe._encode_single_piece(piece.encode() + _END)
-            value = self.ids[ranks].tobytes() if ranks else b""
+            value = b"".join([self.ids[n] for n in ranks])
         if len(word) <= 64:
             self.put(word, value)
         return value

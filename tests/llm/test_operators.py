@@ -478,3 +478,22 @@ def test_pipeline_stages_return_documents(spark, docs, tmp_path):
             assert {1, 4, 5, 6, 31} <= set(ids) and not {2, 3, 7} & set(ids)
             assert ids.count(31) == 1 and ids.count(None) == 1  # equal rows are one document, rows without id stay
     assert now.count() > 0
+
+
+def test_terms_and_shingles_of_many_texts_are_those_of_each():
+    texts = [t.encode() for t in ("", "  ", "One", "one two", "a b c d e f a b c d e", "\u0391\u03a3. (\u0391\u03a3, \u0130x) \u212aa... !!", "x " * 40)] + [b"\xe4\xb8 x \xe4\xb8! \xff"]
+    for text, cells in zip(texts, factor_machine.all_cells(texts), strict=True):
+        terms = {w.strip(factor_machine._EDGE).decode("utf-8", "replace").lower().encode() for w in text.split()} - {b""}
+        assert cells.tolist() == factor_machine.cells_of(text).tolist() == sorted({factor_machine._cell(t) for t in terms})
+    for width in (1, 2, 5):
+        sets = lsh_forest.shingle_sets(texts, width)
+        words = [t.lower().split() for t in texts]
+        want = [{tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set() for w in words]
+        assert [own.size for own in sets] == [len(s) for s in want]
+        assert all((np.diff(own.astype(object)) > 0).all() for own in sets)
+        alone = [lsh_forest.shingle_sets([t], width)[0] for t in texts]
+        assert [own.tolist() for own in sets] == [own.tolist() for own in alone]
+        assert lsh_forest.nodes_of(sets).tolist() == lsh_forest.nodes_of(alone).tolist()
+        for a, x in zip(sets, want, strict=True):
+            for b, y in zip(sets, want, strict=True):
+                assert np.intersect1d(a, b).size == len(x & y)
